@@ -60,7 +60,7 @@ CTE = {
     SELECT e.event_id,
            'u' || e.user_id AS uid,
            CASE WHEN e.event_id % 97 = 0 THEN '{MALFORMED_URL}' ELSE p.url END AS url,
-           epoch_ms(e.ts) AS timestamp,
+           (epoch_us(e.ts) // 1000) AS timestamp,
            strftime(e.ts, '%Y%m%d') AS date,
            e.ts AS ts
     FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages))""",
@@ -83,7 +83,7 @@ CTE = {
            p.p_name AS item_id,
            CAST(round(e.value) AS BIGINT) AS item_price,
            CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE 'u' || e.user_id END AS uid,
-           epoch_ms(e.ts) AS timestamp,
+           (epoch_us(e.ts) // 1000) AS timestamp,
            e.ts AS ts
     FROM events e JOIN part p ON p.p_partkey = e.event_id % (SELECT count(*) FROM part))""",
     "split_visits": """

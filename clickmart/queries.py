@@ -60,3 +60,437 @@ GROUP BY 1, 2""",
 def q_hourly_metrics(spark, sf_dir):
     """Hourly revenue, visitors, purchases, aov (batch)."""
     return metrics.hourly_metrics(D.shop_events(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- shared SQL
+
+SHOP_CATEGORIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+WEB_CATEGORIES = [f"cat_{i}" for i in range(5)]
+
+
+def _shop_col(v: str) -> str:
+    return "shop_" + v.replace("-", "_").replace(" ", "_").lower()
+
+
+SHOP_PIVOT_SQL_COLS = ", ".join(
+    f"CAST(sum(CASE WHEN category = '{v}' THEN 1 END) AS BIGINT) AS {_shop_col(v)}" for v in SHOP_CATEGORIES
+)
+WEB_PIVOT_SQL_COLS = ", ".join(
+    f"CAST(sum(CASE WHEN category = '{v}' THEN 1 END) AS BIGINT) AS web_{v}" for v in WEB_CATEGORIES
+)
+
+SHOP_PIVOT_CTE = f"""
+  shop_pivot AS (
+    SELECT uid, {SHOP_PIVOT_SQL_COLS}
+    FROM shop_visits WHERE uid IS NOT NULL AND category IS NOT NULL GROUP BY uid)"""
+WEB_ROWS_CTE = """
+  web_rows AS (
+    SELECT v.uid, v.domain, c.category
+    FROM visit_domains v JOIN domain_cats c ON c.domain = v.domain
+    WHERE v.uid IS NOT NULL)"""
+WEB_PIVOT_CTE = f"""
+  web_pivot AS (
+    SELECT uid, {WEB_PIVOT_SQL_COLS} FROM web_rows GROUP BY uid)"""
+
+
+def _sql(ctes: list[str], extra: str, body: str) -> str:
+    """``with_ctes`` plus extra hand-written CTEs (``extra`` starts with ',')."""
+    base = O.with_ctes(ctes, "")
+    return base.rstrip("\n") + extra + "\n" + body
+
+
+def matrix_sql(where: str = "TRUE") -> str:
+    return (
+        "SELECT uid, CAST(COALESCE(COLUMNS(* EXCLUDE (uid)), 0) AS BIGINT) FROM "
+        f"(PIVOT (SELECT uid, item_name FROM item_rows WHERE {where}) ON item_name USING count(*) GROUP BY uid)"
+    )
+
+
+# ---------------------------------------------------------------- columns
+
+
+@register(
+    "age_band",
+    O.with_ctes(["clients_banded"], "SELECT uid, gender, age, age_cat FROM clients_banded"),
+)
+def q_age_band(spark, sf_dir):
+    """Age bands of all clients."""
+    c = D.clients(spark, sf_dir)
+    return c.select("uid", "gender", "age", C.age_band("age").alias("age_cat"))
+
+
+@register(
+    "hour_flags",
+    O.with_ctes(["clean_visits"], "SELECT uid, timestamp, work_hours, evening_hours FROM clean_visits"),
+)
+def q_hour_flags(spark, sf_dir):
+    """Work / evening hour flags per visit."""
+    v = visits.clean_visits(D.weblogs(spark, sf_dir))
+    return v.select("uid", "timestamp", "work_hours", "evening_hours")
+
+
+@register(
+    "filter_known_users",
+    O.with_ctes(["shop_visits"], "SELECT uid, category FROM shop_visits WHERE uid IS NOT NULL"),
+)
+def q_filter_known_users(spark, sf_dir):
+    """Shop visits with a known uid."""
+    return D.shop_visits(spark, sf_dir).where(F.col("uid").isNotNull())
+
+
+EVENT_COLS = "event_type, category, item_id, item_price, uid, timestamp"
+
+
+@register(
+    "filter_event_type",
+    O.with_ctes(["shop_events"], f"SELECT {EVENT_COLS} FROM shop_events WHERE event_type = 'view'"),
+)
+def q_filter_event_type(spark, sf_dir):
+    """P5 + P9: decoded messages of one event type."""
+    from clickmart.operators import events as E
+
+    return E.filter_event_type(E.decode_events(D.event_messages(spark, sf_dir)), "view")
+
+
+@register(
+    "normalize_names",
+    O.with_ctes(
+        ["shop_visits", "item_rows"],
+        """
+SELECT DISTINCT category AS raw_name,
+       'shop_' || lower(replace(replace(category, '-', '_'), ' ', '_')) AS name
+FROM shop_visits WHERE category IS NOT NULL
+UNION ALL
+SELECT DISTINCT event_type || ':' || item_id AS raw_name,
+       event_type || '_' || lower(replace(replace(item_id, '-', '_'), ' ', '_')) AS name
+FROM split_visits WHERE item_id IS NOT NULL""",
+    ),
+)
+def q_normalize_names(spark, sf_dir):
+    """Cleaned column names for shop categories and items."""
+    shop = D.shop_visits(spark, sf_dir).where(F.col("category").isNotNull())
+    a = shop.select(F.col("category").alias("raw_name"), C.normalize_name("category", "shop_").alias("name")).distinct()
+    sv = D.split_visits(spark, sf_dir).where(F.col("item_id").isNotNull())
+    b = sv.select(
+        F.concat_ws(":", "event_type", "item_id").alias("raw_name"),
+        C.normalize_name("item_id", F.concat(F.col("event_type"), F.lit("_"))).alias("name"),
+    ).distinct()
+    return a.unionByName(b)
+
+
+@register("flatten_visits", O.with_ctes(["visits"], "SELECT uid, url, timestamp FROM visits"))
+def q_flatten_visits(spark, sf_dir):
+    """One row per visit; NULL/empty visit lists give no row."""
+    return visits.flatten_visits(D.weblogs(spark, sf_dir))
+
+
+@register("visit_domains", O.with_ctes(["visit_domains"], "SELECT uid, domain FROM visit_domains"))
+def q_visit_domains(spark, sf_dir):
+    """URL host -> domain per visit (NULL for malformed URLs)."""
+    return visits.visit_domains(D.weblogs(spark, sf_dir))
+
+
+@register(
+    "decode_event_json",
+    O.with_ctes(
+        ["shop_events"],
+        f"""
+SELECT {EVENT_COLS} FROM shop_events
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL""",
+    ),
+)
+def q_decode_event_json(spark, sf_dir):
+    """JSON messages -> typed events (malformed line -> NULL row)."""
+    from clickmart.operators import events as E
+
+    return E.decode_events(D.event_messages(spark, sf_dir))
+
+
+@register(
+    "event_day_key",
+    O.with_ctes(["shop_events"], "SELECT uid, timestamp, strftime(ts, '%Y%m%d') AS date FROM shop_events"),
+)
+def q_event_day_key(spark, sf_dir):
+    """Epoch ms -> yyyyMMdd day key."""
+    from clickmart.operators import events as E
+
+    ev = E.decode_events(D.event_messages(spark, sf_dir)).where(F.col("timestamp").isNotNull())
+    return E.with_day_key(ev).select("uid", "timestamp", "date")
+
+
+@register(
+    "visit_time_labels",
+    O.with_ctes(["clean_visits"], "SELECT uid, domain, web_week_day, web_hour FROM clean_visits"),
+)
+def q_visit_time_labels(spark, sf_dir):
+    """Weekday and hour labels per visit."""
+    v = visits.clean_visits(D.weblogs(spark, sf_dir))
+    return v.select("uid", "domain", "web_week_day", "web_hour")
+
+
+@register(
+    "hour_fractions",
+    O.with_ctes(
+        ["clean_visits"],
+        """
+SELECT uid,
+       CAST(sum(work_hours) AS DOUBLE) / count(*) AS web_fraction_work_hours,
+       CAST(sum(evening_hours) AS DOUBLE) / count(*) AS web_fraction_evening_hours
+FROM clean_visits GROUP BY uid""",
+    ),
+)
+def q_hour_fractions(spark, sf_dir):
+    """Share of a user's visits in work and evening hours."""
+    return pivots.hour_fractions(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- joins, pivots, mart
+
+
+@register(
+    "join_domain_category",
+    _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE, "SELECT uid, domain, category FROM web_rows"),
+)
+def q_join_domain_category(spark, sf_dir):
+    """Known users' visits joined to the domain catalogue (inner)."""
+    from clickmart.plans import mart
+
+    return mart.web_category_visits(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
+
+
+@register("shop_category_pivot", _sql(["shop_visits"], "," + SHOP_PIVOT_CTE, "SELECT * FROM shop_pivot"))
+def q_shop_category_pivot(spark, sf_dir):
+    """A2: user x shop category counts (NULL when none)."""
+    from clickmart.plans import mart
+
+    return mart.shop_pivot(D.shop_visits(spark, sf_dir), SHOP_CATEGORIES)
+
+
+@register(
+    "web_category_pivot",
+    _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE + "," + WEB_PIVOT_CTE, "SELECT * FROM web_pivot"),
+)
+def q_web_category_pivot(spark, sf_dir):
+    """A2: user x web category counts (NULL when none)."""
+    from clickmart.plans import mart
+
+    return mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir), WEB_CATEGORIES)
+
+
+MART_SQL = _sql(
+    ["clients_banded", "shop_visits", "visit_domains", "domain_cats"],
+    "," + SHOP_PIVOT_CTE + "," + WEB_ROWS_CTE + "," + WEB_PIVOT_CTE
+    + """,
+  mart AS (
+    SELECT c.uid, c.gender, c.age_cat, s.* EXCLUDE (uid), w.* EXCLUDE (uid)
+    FROM clients_banded c
+    LEFT JOIN shop_pivot s ON s.uid = c.uid
+    LEFT JOIN web_pivot w ON w.uid = c.uid)""",
+    "SELECT * FROM mart",
+)
+
+
+def _mart(spark, sf_dir):
+    from clickmart.plans import mart
+
+    return mart.customer_mart(
+        D.clients(spark, sf_dir),
+        D.shop_visits(spark, sf_dir),
+        D.weblogs(spark, sf_dir),
+        D.domain_categories(spark, sf_dir),
+        SHOP_CATEGORIES,
+        WEB_CATEGORIES,
+    )
+
+
+@register("customer_mart", MART_SQL)
+def q_customer_mart(spark, sf_dir):
+    """Every client with shop and web category counts."""
+    return _mart(spark, sf_dir)
+
+
+@register(
+    "count_by_segment",
+    MART_SQL.replace("SELECT * FROM mart", "SELECT gender, age_cat, count(*) AS count FROM mart GROUP BY gender, age_cat"),
+)
+def q_count_by_segment(spark, sf_dir):
+    """A1: mart rows per (gender, age band)."""
+    from clickmart.plans import mart
+
+    return mart.count_by_segment(_mart(spark, sf_dir))
+
+
+@register(
+    "domain_counts",
+    O.with_ctes(["clean_visits"], "SELECT domain, count(*) AS count FROM clean_visits GROUP BY domain"),
+)
+def q_domain_counts(spark, sf_dir):
+    """A1: visits per domain (known users, parsable URLs)."""
+    return visits.domain_counts(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+TOP_CTE = """,
+  top AS (
+    SELECT domain, count FROM (SELECT domain, count(*) AS count FROM clean_visits GROUP BY domain)
+    ORDER BY count DESC, domain LIMIT 1000)"""
+
+
+@register("top_domains", _sql(["clean_visits"], TOP_CTE, "SELECT domain, count FROM top"))
+def q_top_domains(spark, sf_dir):
+    """The 1000 most visited domains, alphabetical."""
+    return visits.top_domains(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+@register(
+    "visits_to_top_domains",
+    _sql(
+        ["clean_visits"],
+        TOP_CTE,
+        "SELECT uid, domain FROM clean_visits WHERE domain IN (SELECT domain FROM top)",
+    ),
+)
+def q_visits_to_top_domains(spark, sf_dir):
+    """Visits restricted to the top domains (left semi join)."""
+    clean = visits.clean_visits(D.weblogs(spark, sf_dir))
+    return visits.visits_to_top_domains(clean, visits.top_domains(clean)).select("uid", "domain")
+
+
+@register(
+    "user_domain_lists",
+    O.with_ctes(
+        ["clean_visits"],
+        """
+SELECT uid, list_sort(list({'domain': domain, 'n': n})) AS domains
+FROM (SELECT uid, domain, count(*) AS n FROM clean_visits GROUP BY uid, domain)
+GROUP BY uid""",
+    ),
+)
+def q_user_domain_lists(spark, sf_dir):
+    """Per-user domain list (as a sorted bag of domain counts)."""
+    return visits.user_domain_lists(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+WEEKDAY_SQL = O.with_ctes(["clean_visits"], f"SELECT uid, {O.weekday_cols()} FROM clean_visits GROUP BY uid")
+HOUR_SQL = O.with_ctes(["clean_visits"], f"SELECT uid, {O.hour_cols()} FROM clean_visits GROUP BY uid")
+
+
+@register("weekday_pivot", WEEKDAY_SQL)
+def q_weekday_pivot(spark, sf_dir):
+    """A4: user x weekday visit counts."""
+    return pivots.weekday_pivot(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+@register("hour_pivot", HOUR_SQL)
+def q_hour_pivot(spark, sf_dir):
+    """A4: user x hour visit counts."""
+    return pivots.hour_pivot(visits.clean_visits(D.weblogs(spark, sf_dir)))
+
+
+DFEAT_CTE = TOP_CTE + """,
+  ucounts AS (
+    SELECT uid, domain, count(*) AS n FROM clean_visits
+    WHERE domain IN (SELECT domain FROM top) GROUP BY uid, domain),
+  dfeat AS (
+    SELECT u.uid, list(CAST(coalesce(c.n, 0) AS DOUBLE) ORDER BY t.domain) AS domain_features
+    FROM (SELECT DISTINCT uid FROM ucounts) u CROSS JOIN top t
+    LEFT JOIN ucounts c ON c.uid = u.uid AND c.domain = t.domain
+    GROUP BY u.uid)"""
+
+
+@register("domain_feature_array", _sql(["clean_visits"], DFEAT_CTE, "SELECT uid, domain_features FROM dfeat"))
+def q_domain_feature_array(spark, sf_dir):
+    """M2: per-user visit counts over the top domains, alphabetical order."""
+    from clickmart.plans import features
+
+    return features.domain_feature_array(features.visit_cube(D.weblogs(spark, sf_dir)))
+
+
+_TFEAT_COLS = ", ".join(
+    [f"CAST(coalesce(sum(CASE WHEN web_week_day = '{c}' THEN 1 END), 0) AS BIGINT) AS {c}" for c in C.WEEKDAY_COLUMNS]
+    + [f"CAST(coalesce(sum(CASE WHEN web_hour = '{c}' THEN 1 END), 0) AS BIGINT) AS {c}" for c in C.HOUR_COLUMNS]
+)
+FEATURES_SQL = _sql(
+    ["clean_visits", "item_rows"],
+    DFEAT_CTE
+    + f""",
+  tfeat AS (
+    SELECT uid, {_TFEAT_COLS},
+           CAST(sum(work_hours) AS DOUBLE) / count(*) AS web_fraction_work_hours,
+           CAST(sum(evening_hours) AS DOUBLE) / count(*) AS web_fraction_evening_hours
+    FROM clean_visits GROUP BY uid)""",
+    f"SELECT * FROM dfeat JOIN tfeat USING (uid) JOIN ({matrix_sql()}) matrix USING (uid)",
+)
+
+
+@register("user_features", FEATURES_SQL)
+def q_user_features(spark, sf_dir):
+    """Feature table = domain counts x time features x item matrix."""
+    from clickmart.operators import matrix
+    from clickmart.plans import features
+
+    m = matrix.user_item_matrix(D.split_visits(spark, sf_dir))
+    return features.user_features(D.weblogs(spark, sf_dir), m)
+
+
+# ---------------------------------------------------------------- item matrix
+
+
+@register("user_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
+def q_user_item_matrix(spark, sf_dir):
+    """A3: user x item view/buy counts, item list found by Spark, 0-filled."""
+    from clickmart.operators import matrix
+
+    return matrix.user_item_matrix(D.split_visits(spark, sf_dir))
+
+
+@register("latest_day", O.with_ctes(["split_visits"], "SELECT max(date) AS max_date FROM split_visits"))
+def q_latest_day(spark, sf_dir):
+    """A5: newest day key."""
+    from clickmart.operators import matrix
+
+    return matrix.latest_day(D.split_visits(spark, sf_dir))
+
+
+@register("distinct_days", O.with_ctes(["split_visits"], "SELECT DISTINCT date FROM split_visits"))
+def q_distinct_days(spark, sf_dir):
+    """Distinct day keys."""
+    from clickmart.operators import events as E
+
+    return E.distinct_days(D.split_visits(spark, sf_dir))
+
+
+@register("distinct_items", O.with_ctes(["item_rows"], "SELECT DISTINCT item_name FROM item_rows"))
+def q_distinct_items(spark, sf_dir):
+    """Distinct item column names."""
+    from clickmart.operators import matrix
+
+    return matrix.item_rows(D.split_visits(spark, sf_dir)).select("item_name").distinct()
+
+
+@register(
+    "union_matrices",
+    O.with_ctes(
+        ["item_rows"],
+        f"({matrix_sql('day_index >= 2')}) UNION ALL BY NAME ({matrix_sql('day_index < 2')})",
+    ),
+)
+def q_union_matrices(spark, sf_dir):
+    """Union of two matrices with different item columns."""
+    from clickmart.operators import matrix
+
+    sv = D.split_visits(spark, sf_dir)
+    a = matrix.user_item_matrix(sv.where(F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY))
+    b = matrix.user_item_matrix(sv.where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY))
+    return matrix.union_matrices(a, b)
+
+
+@register(
+    "events_newest_first",
+    O.with_ctes(["split_visits"], f"SELECT {EVENT_COLS}, date FROM split_visits ORDER BY date DESC"),
+)
+def q_events_newest_first(spark, sf_dir):
+    """Events ordered by day, newest first."""
+    from clickmart.operators import events as E
+
+    return E.newest_first(D.split_visits(spark, sf_dir).drop("day_index"))
