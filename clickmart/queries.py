@@ -494,3 +494,162 @@ def q_events_newest_first(spark, sf_dir):
     from clickmart.operators import events as E
 
     return E.newest_first(D.split_visits(spark, sf_dir).drop("day_index"))
+
+
+# ---------------------------------------------------------------- writes and read-backs
+
+SPLIT_COLS = ["event_type", "category", "item_id", "item_price", "uid", "timestamp", "date"]
+SPLIT_SQL = O.with_ctes(
+    ["shop_events"],
+    f"SELECT {EVENT_COLS}, strftime(ts, '%Y%m%d') AS date FROM shop_events WHERE event_type IN ('view', 'buy')",
+)
+
+
+@register("split_events_by_type_day", SPLIT_SQL)
+def q_split_events_by_type_day(spark, sf_dir):
+    """Messages decoded, written per type/day, read back."""
+    from clickmart.plans import split
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    out = staging_path(spark, "split")
+    split.split_events(D.event_messages(spark, sf_dir), out)
+    return files.read_split_events(spark, out).select(*SPLIT_COLS)
+
+
+@register("overwrite_partitions", SPLIT_SQL)
+def q_overwrite_partitions(spark, sf_dir):
+    """K3: a rerun over part of the days replaces those partitions only."""
+    from clickmart.plans import split
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    out = staging_path(spark, "overwrite")
+    msgs = D.event_messages(spark, sf_dir)
+    split.split_events(msgs, out)
+    first_day = split.decoded_events(msgs).select(F.min("date")).scalar()
+    rerun = split.decoded_events(msgs).where(F.col("date") == first_day)
+    files.write_split_events(rerun, out)
+    return files.read_split_events(spark, out).select(*SPLIT_COLS)
+
+
+def _write_split_visits(spark, sf_dir, name, where=None):
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    sv = D.split_visits(spark, sf_dir)
+    if where is not None:
+        sv = sv.where(where)
+    out = staging_path(spark, name)
+    files.write_split_events(sv.drop("day_index"), out, types=None)
+    return out
+
+
+@register(
+    "scan_visits_json",
+    O.with_ctes(["split_visits"], f"SELECT {EVENT_COLS}, date FROM split_visits"),
+)
+def q_scan_visits_json(spark, sf_dir):
+    """Split event files read with a fixed schema (type/day from folders)."""
+    from clickmart.sources import files
+
+    out = _write_split_visits(spark, sf_dir, "visits")
+    return files.read_split_events(spark, out).select(*SPLIT_COLS)
+
+
+WEBLOG_SQL = O.with_ctes(
+    ["visits"],
+    f"""
+SELECT uid, date, list_sort(list({{'url': url, 'timestamp': timestamp}})) AS visits
+FROM visits GROUP BY uid, date, event_id // {D.VISIT_CHUNK}
+UNION ALL
+SELECT 'u' || c_custkey AS uid, NULL AS date,
+       CASE WHEN c_custkey % 100 = 0 THEN []::STRUCT(url VARCHAR, "timestamp" BIGINT)[] ELSE NULL END AS visits
+FROM customer WHERE c_custkey % 100 IN (0, 1)""",
+)
+
+
+@register("scan_weblogs_json", WEBLOG_SQL)
+def q_scan_weblogs_json(spark, sf_dir):
+    """Web logs written as JSON lines and read back (fixed schema)."""
+    from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    out = staging_path(spark, "weblogs")
+    files.write_json(D.weblogs(spark, sf_dir), out)
+    w = files.read_weblogs(spark, out, DATED_WEBLOG_SCHEMA)
+    return w.select("uid", "date", F.array_sort("visits").alias("visits"))
+
+
+@register("snapshot_roundtrip", O.with_ctes(["item_rows"], matrix_sql()))
+def q_snapshot_roundtrip(spark, sf_dir):
+    """K4/S3: matrix written as a dated parquet snapshot and read back."""
+    from clickmart.operators import matrix
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    sv = D.split_visits(spark, sf_dir)
+    out = staging_path(spark, "matrix")
+    day = matrix.latest_day(sv).first()[0]
+    path = matrix.write_snapshot(matrix.user_item_matrix(sv), out, day)
+    return files.read_parquet(spark, path)
+
+
+def _write_earlier_snapshot(spark, sf_dir):
+    from clickmart.operators import matrix
+    from clickmart.session import staging_path
+
+    sv = D.split_visits(spark, sf_dir).where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY)
+    out = staging_path(spark, "users-items")
+    day = matrix.latest_day(sv).first()[0]
+    matrix.write_snapshot(matrix.user_item_matrix(sv), out, day)
+    return out
+
+
+@register("previous_snapshot", O.with_ctes(["item_rows"], matrix_sql("day_index < 2")))
+def q_previous_snapshot(spark, sf_dir):
+    """Newest snapshot strictly older than the current day."""
+    from clickmart.operators import matrix
+
+    out = _write_earlier_snapshot(spark, sf_dir)
+    current = matrix.latest_day(D.split_visits(spark, sf_dir)).first()[0]
+    return matrix.previous_snapshot(spark, out, current)
+
+
+@register(
+    "carry_over_matrix",
+    O.with_ctes(
+        ["item_rows"],
+        f"({matrix_sql('day_index >= 2')}) UNION ALL BY NAME ({matrix_sql('day_index < 2')})",
+    ),
+)
+def q_carry_over_matrix(spark, sf_dir):
+    """Current matrix plus the previous snapshot, written and read back."""
+    from clickmart.plans import matrix_job
+    from clickmart.sources import files
+
+    out = _write_earlier_snapshot(spark, sf_dir)
+    inp = _write_split_visits(spark, sf_dir, "visits-current", F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY)
+    path = matrix_job.users_items(spark, inp, out, update=True)
+    return files.read_parquet(spark, path)
+
+
+def _json_field(name: str, nullable: bool = True) -> str:
+    v = f"',\"{name}\":' || CAST({name} AS VARCHAR)"
+    return f"coalesce({v}, '')" if nullable else v
+
+
+ENCODE_SQL = HOURLY_SQL.replace("SELECT (timestamp", "SELECT * FROM (SELECT (timestamp", 1) + ") m"
+ENCODE_SQL = (
+    "SELECT '{\"start_ts\":' || CAST(start_ts AS VARCHAR) || "
+    + " || ".join([_json_field("end_ts", False), _json_field("revenue"), _json_field("visitors"),
+                   _json_field("purchases"), _json_field("aov")])
+    + " || '}' AS value FROM (" + HOURLY_SQL + ") m"
+)
+
+
+@register("encode_metrics_json", ENCODE_SQL)
+def q_encode_metrics_json(spark, sf_dir):
+    """P10: metrics rows as JSON text (NULL fields left out)."""
+    return metrics.metrics_json(metrics.hourly_metrics(D.shop_events(spark, sf_dir)))
