@@ -653,3 +653,135 @@ ENCODE_SQL = (
 def q_encode_metrics_json(spark, sf_dir):
     """P10: metrics rows as JSON text (NULL fields left out)."""
     return metrics.metrics_json(metrics.hourly_metrics(D.shop_events(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- model
+
+LABEL_USERS_CTE = """,
+  users AS (
+    SELECT DISTINCT v.uid, c.gender || ':' || c.age_cat AS gender_age
+    FROM clean_visits v JOIN clients_banded c ON c.uid = v.uid)"""
+
+
+def _labelled_bags(spark, sf_dir):
+    from clickmart.plans import model
+
+    return model.labelled_bags(D.labelled_weblogs(spark, sf_dir))
+
+
+@register(
+    "label_index",
+    _sql(
+        ["clean_visits", "clients_banded"],
+        LABEL_USERS_CTE,
+        """SELECT gender_age,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, gender_age) - 1 AS DOUBLE) AS label
+FROM users GROUP BY gender_age""",
+    ),
+)
+def q_label_index(spark, sf_dir):
+    """M3: label -> index, by user frequency (ties alphabetical)."""
+    from clickmart.plans import model
+
+    users = _labelled_bags(spark, sf_dir).select("uid", model.LABEL).distinct()
+    idx = model.label_indexer(users).fit(users)
+    return idx.transform(users).select(model.LABEL, "label").distinct()
+
+
+@register(
+    "train_test_split",
+    _sql(
+        ["clean_visits", "clients_banded"],
+        LABEL_USERS_CTE,
+        """SELECT uid,
+       CASE WHEN ('0x' || substr(md5(uid || ':' || '123456789'), 1, 8))::BIGINT % 100 < 70
+            THEN 'train' ELSE 'test' END AS split
+FROM users""",
+    ),
+)
+def q_train_test_split(spark, sf_dir):
+    """M5: seeded 70/30 split by a hash of uid."""
+    from clickmart.plans import model
+
+    users = _labelled_bags(spark, sf_dir).select("uid").distinct()
+    return users.select("uid", model.split_column().alias("split"))
+
+
+def _trained(spark, sf_dir):
+    """Train, save, load back: the scorers use the loaded model."""
+    from clickmart.plans import model
+    from clickmart.session import staging_path
+
+    m, test_pred = model.train(_labelled_bags(spark, sf_dir))
+    path = staging_path(spark, "model")
+    m.save(path)
+    return model.DomainModel.load(spark, path), test_pred
+
+
+@register("model_accuracy")
+def q_model_accuracy(spark, sf_dir):
+    """M4/M7: accuracy of the classifier on the 30% test share."""
+    from clickmart.plans import model
+
+    _, pred = _trained(spark, sf_dir)
+    return model.accuracy(pred)
+
+
+@register("train_score_roundtrip")
+def q_train_score_roundtrip(spark, sf_dir):
+    """Fit, save, load, score every labelled user."""
+    from clickmart.plans import model
+
+    loaded, _ = _trained(spark, sf_dir)
+    bags = _labelled_bags(spark, sf_dir).drop(model.LABEL)
+    return loaded.score(bags, ("uid",))
+
+
+@register("score_users_by_day")
+def q_score_users_by_day(spark, sf_dir):
+    """Predicted gender/age per user and day from dated web logs."""
+    from clickmart.plans import model
+
+    loaded, _ = _trained(spark, sf_dir)
+    return model.score_by_day(loaded, D.weblogs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streams
+
+
+def _stage_text(spark, df, name, files=4):
+    """Write a ``value`` column as text files (a message log to replay)."""
+    from clickmart.session import staging_path
+
+    path = staging_path(spark, name)
+    df.select("value").repartition(files).write.text(path)
+    return path
+
+
+@register("stream_hourly_metrics", HOURLY_SQL)
+def q_stream_hourly_metrics(spark, sf_dir):
+    """Hourly metrics as a stream (update mode, checkpointed),
+    one message file per micro-batch; final table equals the batch result."""
+    from clickmart.session import staging_path
+    from clickmart.streaming import metrics_stream
+
+    src = _stage_text(spark, D.event_messages(spark, sf_dir), "messages")
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    return metrics_stream.run_to_table(
+        spark, stream, staging_path(spark, "metrics-out"), staging_path(spark, "metrics-ckpt")
+    )
+
+
+@register("stream_score_users")
+def q_stream_score_users(spark, sf_dir):
+    """Per-user state updated from a web-log stream, re-scored on change."""
+    from clickmart.session import staging_path
+    from clickmart.streaming import scoring_stream
+
+    loaded, _ = _trained(spark, sf_dir)
+    logs = D.weblogs(spark, sf_dir).select(F.to_json(F.struct("uid", "visits")).alias("value"))
+    src = _stage_text(spark, logs, "weblog-messages")
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    return scoring_stream.run_to_table(
+        spark, stream, loaded, staging_path(spark, "score-out"), staging_path(spark, "score-ckpt")
+    )
