@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.operators import matrix
+from clickmart.operators.checks import counted
 from clickmart.sources import files
 
 
@@ -20,11 +21,20 @@ def users_items(
     out_dir: str,
     update: bool = True,
     fill_missing: bool = False,
+    stats: dict | None = None,
 ) -> str:
-    """Run the job; returns the written snapshot path."""
+    """Run the job; returns the written snapshot path.
+
+    ``stats`` (optional dict) receives the written row count, observed
+    during the write itself.
+    """
     visits = files.read_split_events(spark, input_dir)
     # One scalar (the folder name of the new snapshot) comes to the driver.
     max_day = visits.agg(F.max("date")).first()[0]
     current = matrix.user_item_matrix(visits)
     result = matrix.carry_over(spark, current, out_dir, max_day, update, fill_missing)
-    return matrix.write_snapshot(result, out_dir, max_day)
+    result, obs = counted(result, "users_items")
+    path = matrix.write_snapshot(result, out_dir, max_day)
+    if stats is not None:
+        stats["rows"] = obs.get["rows"]
+    return path

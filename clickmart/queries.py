@@ -785,3 +785,15 @@ def q_stream_score_users(spark, sf_dir):
     return scoring_stream.run_to_table(
         spark, stream, loaded, staging_path(spark, "score-out"), staging_path(spark, "score-ckpt")
     )
+
+
+@register("scan_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
+def q_scan_item_matrix(spark, sf_dir):
+    """S3: the matrix job's parquet output read back (no carry-over)."""
+    from clickmart.plans import matrix_job
+    from clickmart.session import staging_path
+    from clickmart.sources import files
+
+    inp = _write_split_visits(spark, sf_dir, "visits-all")
+    path = matrix_job.users_items(spark, inp, staging_path(spark, "users-items-all"), update=False)
+    return files.read_parquet(spark, path)

@@ -143,16 +143,26 @@ def labelled_weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weblogs(spark, sf_dir).join(cl, "uid")
 
 
-def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 fields as typed columns (the decoded form of the messages)."""
+# Fixed value: the driver table's name for a purchase event.
+RAW_BUY = "purchase"
+
+
+def shop_events(spark: SparkSession, sf_dir: str, raw_types: tuple[str, ...] | None = None) -> DataFrame:
+    """F5 fields as typed columns (the decoded form of the messages).
+
+    ``raw_types`` filters on the driver table's own ``event_type`` values
+    before the rename, so the filter reaches the parquet scan.
+    """
     e = _events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type", "value")
+    if raw_types is not None:
+        e = e.where(F.col("event_type").isin(*raw_types))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     n_part = table(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar()
     e = e.withColumn("p_partkey", F.col("event_id") % n_part)
     j = e.join(part, "p_partkey")
     return j.select(
         "event_id",
-        F.when(F.col("event_type") == "purchase", F.lit("buy")).otherwise(F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_type") == RAW_BUY, F.lit("buy")).otherwise(F.col("event_type")).alias("event_type"),
         F.col("p_type").alias("category"),
         F.col("p_name").alias("item_id"),
         F.round("value").cast("long").alias("item_price"),
@@ -174,9 +184,8 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6 rows: views and buys with ``date``; the views of day 1 removed."""
-    ev = shop_events(spark, sf_dir)
+    ev = shop_events(spark, sf_dir, raw_types=("view", RAW_BUY))
     day = _day_index(spark, sf_dir, F.col("ts"))
-    ev = ev.where(F.col("event_type").isin("view", "buy"))
     ev = ev.where(~((F.col("event_type") == "view") & (day == REMOVED_VIEW_DAY)))
     return ev.select(
         *[f.name for f in EVENT_SCHEMA.fields],

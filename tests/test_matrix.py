@@ -65,3 +65,12 @@ def test_users_items_job_carries_over(spark):
     assert set(res.columns) == {"uid", "view_a", "buy_b"}
     no_update = matrix_job.users_items(spark, inp, staging_path(spark, "t-out2"), update=False)
     assert spark.read.parquet(no_update).count() == 2
+
+
+def test_users_items_observed_count(spark):
+    inp = staging_path(spark, "t-obs-in")
+    files.write_split_events(_visits(spark, [("view", "c", "a", 1, "u1", 1, "20240101"),
+                                             ("view", "c", "a", 1, "u2", 1, "20240101")]), inp)
+    stats = {}
+    matrix_job.users_items(spark, inp, staging_path(spark, "t-obs-out"), stats=stats)
+    assert stats["rows"] == 2
