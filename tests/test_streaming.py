@@ -49,3 +49,14 @@ def test_scoring_stream_state_is_bag(spark):
     final = sinks.latest(spark, out, ("uid", "domain")).collect()
     got = sorted((r.uid, r.domain, r.n) for r in final)
     assert got == [("u1", "a.com", 2), ("u1", "b.com", 1), ("u2", None, 0)]
+
+
+def test_processing_time_trigger_start(spark):
+    from clickmart.streaming import sinks
+
+    df = S.read_stream(spark, 3, max_batches=2)
+    out = staging_path(spark, "t-pt")
+    q = sinks.start(df, S.UpperCaseSink(out), staging_path(spark, "t-pt-ck"), "append", "100 milliseconds")
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3]
