@@ -36,7 +36,36 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", BATCH_COL)
 
 
-def run_available(stream: DataFrame, sink: Callable, checkpoint: str, output_mode: str = "update", name: str | None = None):
+class _StatePartitions:
+    """Pin the shuffle width a new stateful query records in its checkpoint.
+
+    The number of state partitions is fixed when a query first starts; a
+    key space that stays small (e.g. hour windows) needs few of them, each
+    costing a task per micro-batch. A resumed query keeps the number stored
+    in its checkpoint whatever is set here.
+    """
+
+    def __init__(self, spark: SparkSession, n: int | None):
+        self.spark, self.n, self.old = spark, n, None
+
+    def __enter__(self):
+        if self.n:
+            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+
+    def __exit__(self, *exc):
+        if self.n:
+            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
+def run_available(
+    stream: DataFrame,
+    sink: Callable,
+    checkpoint: str,
+    output_mode: str = "update",
+    name: str | None = None,
+    state_partitions: int | None = None,
+):
     """Process everything available now, then stop (batch-like runs, tests).
 
     The checkpoint is never wiped: a rerun resumes after the last committed
@@ -45,7 +74,8 @@ def run_available(stream: DataFrame, sink: Callable, checkpoint: str, output_mod
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    q = w.trigger(availableNow=True).start()
+    with _StatePartitions(stream.sparkSession, state_partitions):
+        q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
@@ -57,9 +87,11 @@ def start(
     output_mode: str = "update",
     processing_time: str = "5 seconds",
     name: str | None = None,
+    state_partitions: int | None = None,
 ):
     """Start a long-running query with a processing-time trigger."""
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    return w.trigger(processingTime=processing_time).start()
+    with _StatePartitions(stream.sparkSession, state_partitions):
+        return w.trigger(processingTime=processing_time).start()
