@@ -74,3 +74,12 @@ def test_users_items_observed_count(spark):
     stats = {}
     matrix_job.users_items(spark, inp, staging_path(spark, "t-obs-out"), stats=stats)
     assert stats["rows"] == 2
+
+
+def test_union_new_columns_are_null_unless_filled(spark):
+    a = spark.createDataFrame([("u1", 1)], "uid string, view_a long")
+    b = spark.createDataFrame([("u1", 2)], "uid string, buy_b long")
+    rows = {(r.view_a, r.buy_b) for r in X.union_matrices(a, b).collect()}
+    assert rows == {(1, None), (None, 2)}  # the user appears twice
+    filled = {(r.view_a, r.buy_b) for r in X.union_matrices(a, b, fill_missing=True).collect()}
+    assert filled == {(1, 0), (0, 2)}

@@ -54,3 +54,14 @@ def test_stream_equals_batch_and_resumes(spark):
     batch = M.hourly_metrics(ev)
     cols = batch.columns
     assert sorted(map(tuple, final.select(*cols).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_watermark_without_late_rows_changes_nothing(spark):
+    src = staging_path(spark, "t-wm-msgs")
+    _write_messages(spark, _events(spark), src)
+    stream = spark.readStream.schema("value string").text(src)
+    with_wm = metrics_stream.run_to_table(
+        spark, stream, staging_path(spark, "t-wm-out"), staging_path(spark, "t-wm-ck"), watermark="1 day"
+    )
+    batch = M.hourly_metrics(_events(spark))
+    assert sorted(map(tuple, with_wm.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))

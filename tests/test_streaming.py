@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from clickmart.plans import model as Mo
@@ -20,16 +21,19 @@ def test_step_counter_counts(spark):
     assert {f for _, f, _ in rows} == {"HELLO WORLD"}
 
 
-def test_step_counter_ids_once(spark):
-    df = S.read_stream(spark, 7, max_batches=5)
+@pytest.mark.parametrize("step,batches", [(1, 3), (7, 5), (S.ROWS_PER_PARTITION + 1, 3)])
+def test_step_counter_ids_once(spark, step, batches):
+    df = S.read_stream(spark, step, max_batches=batches)
     out = staging_path(spark, "t-ids")
     q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", staging_path(spark, "t-ids-ck"))
          .trigger(processingTime="100 milliseconds").start())
     q.processAllAvailable()
     q.stop()
-    ids = sorted(r.id for r in spark.read.parquet(out).collect())
-    assert ids == list(range(0, 4 * 7 + 1))
+    ids = spark.read.parquet(out)
+    n = (batches - 1) * step + 1
+    stats = ids.agg(F.count("id").alias("c"), F.countDistinct("id").alias("d"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    assert (stats.c, stats.d, stats.lo, stats.hi) == (n, n, 0, n - 1)
 
 
 def test_scoring_stream_state_is_bag(spark):
