@@ -8,12 +8,24 @@ range is cut into partitions that executors generate in parallel (nothing
 is materialised on the driver). ``max_batches`` (optional) stops the
 offset from advancing, which lets a run drain.
 
+Offsets advance in one of two ways:
+
+* counter (default, as the reference): one batch per trigger, counted in
+  the reader's memory. A restarted query would count from 0 again, so use
+  this mode only for runs that are not resumed.
+* clock (``start_ms`` and ``interval_ms`` given): the latest batch is the
+  number of whole intervals since ``start_ms``. The offset only ever grows
+  with time, so a query resumed from its checkpoint carries on where it
+  stopped and every id is emitted once.
+
 Sink semantics: each micro-batch is shown or stored with ``foo``
 upper-cased (``foreachBatch``).
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -37,16 +49,22 @@ class StepCounterReader(DataSourceStreamReader):
             raise ValueError("option 'step' is required")
         self.step = int(options["step"])
         self.max_batches = int(options["max_batches"]) if "max_batches" in options else None
+        self.start_ms = int(options["start_ms"]) if "start_ms" in options else None
+        self.interval_ms = int(options.get("interval_ms", 1000))
         self._next = 0
 
     def initialOffset(self) -> dict:
         return {"batch": -1}
 
     def latestOffset(self) -> dict:
-        n = self._next
+        if self.start_ms is not None:
+            n = (int(time.time() * 1000) - self.start_ms) // self.interval_ms
+        else:
+            n = self._next
         if self.max_batches is not None:
             n = min(n, self.max_batches - 1)
-        self._next = n + 1
+        n = max(n, -1)
+        self._next = max(self._next, n + 1)
         return {"batch": n}
 
     def _ids(self, start: dict, end: dict) -> tuple[int, int]:
@@ -86,11 +104,21 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(StepCounterSource)
 
 
-def read_stream(spark: SparkSession, step: int, max_batches: int | None = None) -> DataFrame:
+def read_stream(
+    spark: SparkSession,
+    step: int,
+    max_batches: int | None = None,
+    start_ms: int | None = None,
+    interval_ms: int | None = None,
+) -> DataFrame:
     register(spark)
     r = spark.readStream.format(FORMAT).option("step", str(step))
     if max_batches is not None:
         r = r.option("max_batches", str(max_batches))
+    if start_ms is not None:
+        r = r.option("start_ms", str(start_ms))
+    if interval_ms is not None:
+        r = r.option("interval_ms", str(interval_ms))
     return r.load()
 
 

@@ -64,3 +64,23 @@ def test_processing_time_trigger_start(spark):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3]
+
+
+def test_step_counter_clock_mode_resumes(spark):
+    import time as _t
+
+    start = int(_t.time() * 1000) - 10_000  # ten 1-second intervals ago
+    out = staging_path(spark, "t-resume")
+    ck = staging_path(spark, "t-resume-ck")
+
+    def run(max_batches):
+        df = S.read_stream(spark, 5, max_batches=max_batches, start_ms=start, interval_ms=1000)
+        q = (df.writeStream.outputMode("append").format("parquet").option("path", out)
+             .option("checkpointLocation", ck).trigger(processingTime="100 milliseconds").start())
+        q.processAllAvailable()
+        q.stop()
+
+    run(2)  # ids 0..5
+    run(4)  # resumed from the checkpoint: ids 6..15 only
+    ids = sorted(r.id for r in spark.read.parquet(out).collect())
+    assert ids == list(range(0, 16))
