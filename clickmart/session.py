@@ -14,12 +14,43 @@ from pyspark.sql import SparkSession
 
 UTC_CONF = {"spark.sql.session.timeZone": "UTC"}
 
+MB = 1 << 20
+TARGET_PARTITION_BYTES = 256 * MB
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = TARGET_PARTITION_BYTES,
+    min_partitions: int = MIN_SHUFFLE_PARTITIONS,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
+) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes``
+    each (the shuffle count is the upper bound; AQE coalesces small ones at
+    run time and splits skewed ones in joins). At 100 TB this gives the
+    200,000 cap; at a few GB the 200 floor.
+    """
+    n = -(-int(input_bytes) // int(target_partition_bytes))
+    n = max(min_partitions, min(max_partitions, n))
+    t = str(int(target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": t,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": t,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": t,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
 
 def get_session(
     app: str = "clickmart",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Return a session with UTC, AQE and Arrow on.
 
@@ -38,6 +69,8 @@ def get_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
