@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmart.operators import visits as V
+from clickmart.session import shared_root
 
 VOCAB_SIZE = 1 << 18
 MIN_DF = 1
@@ -151,12 +152,19 @@ def train(
     tagged = bags.withColumn("_split", split)
     train_bags = tagged.where(F.col("_split") == "train").drop("_split")
     test_bags = tagged.where(F.col("_split") == "test").drop("_split")
-    vocab = fit_vocabulary(train_bags, vocab_size)
+    shared_root(bags.sparkSession)
+    # Computed once and kept: the same vocabulary serves fitting, testing
+    # and saving (it is at most vocab_size rows).
+    vocab = fit_vocabulary(train_bags, vocab_size).checkpoint(eager=True)
     lr = LogisticRegression(
         maxIter=max_iter, regParam=reg_param, labelCol="label", featuresCol="features", predictionCol="prediction"
     )
     to_label = IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=indexer.labels)
-    pipeline = Pipeline(stages=[indexer, lr, to_label]).fit(vectorize(train_bags, vocab, keys, vocab_size))
+    # The optimiser makes up to max_iter passes: cut the lineage first so a
+    # lost executor re-reads the checkpointed vectors from the shared folder
+    # instead of re-running the whole derivation.
+    train_vec = vectorize(train_bags, vocab, keys, vocab_size).checkpoint(eager=True)
+    pipeline = Pipeline(stages=[indexer, lr, to_label]).fit(train_vec)
     model = DomainModel(vocab, pipeline)
     return model, model.transform(test_bags, keys)
 
