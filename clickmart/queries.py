@@ -797,3 +797,62 @@ def q_scan_item_matrix(spark, sf_dir):
     inp = _write_split_visits(spark, sf_dir, "visits-all")
     path = matrix_job.users_items(spark, inp, staging_path(spark, "users-items-all"), update=False)
     return files.read_parquet(spark, path)
+
+
+# ---------------------------------------------------------------- pivots with values found by Spark
+
+
+def _found_pivot_sql(rows_sql: str) -> str:
+    """Dynamic pivot (columns = the values present); absent cells NULL."""
+    return (
+        "(SELECT uid, CAST(COLUMNS(* EXCLUDE (uid)) AS BIGINT) FROM "
+        f"(PIVOT ({rows_sql}) ON name USING sum(1) GROUP BY uid))"
+    )
+
+
+SHOP_ROWS_SQL = (
+    "SELECT uid, 'shop_' || lower(replace(replace(category, '-', '_'), ' ', '_')) AS name "
+    "FROM shop_visits WHERE uid IS NOT NULL AND category IS NOT NULL"
+)
+WEB_ROWS_SQL = "SELECT uid, 'web_' || category AS name FROM web_rows WHERE category IS NOT NULL"
+
+
+@register("shop_category_pivot_found", O.with_ctes(["shop_visits"], "SELECT * FROM " + _found_pivot_sql(SHOP_ROWS_SQL)))
+def q_shop_category_pivot_found(spark, sf_dir):
+    """A2: user x shop category, the category list found by Spark."""
+    from clickmart.plans import mart
+
+    return mart.shop_pivot(D.shop_visits(spark, sf_dir))
+
+
+@register(
+    "web_category_pivot_found",
+    _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE, "SELECT * FROM " + _found_pivot_sql(WEB_ROWS_SQL)),
+)
+def q_web_category_pivot_found(spark, sf_dir):
+    """A2: user x web category, the category list found by Spark."""
+    from clickmart.plans import mart
+
+    return mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
+
+
+@register(
+    "customer_mart_found",
+    _sql(
+        ["clients_banded", "shop_visits", "visit_domains", "domain_cats"],
+        "," + WEB_ROWS_CTE,
+        "SELECT * EXCLUDE (age) FROM clients_banded "
+        f"LEFT JOIN {_found_pivot_sql(SHOP_ROWS_SQL)} s USING (uid) "
+        f"LEFT JOIN {_found_pivot_sql(WEB_ROWS_SQL)} w USING (uid)",
+    ),
+)
+def q_customer_mart_found(spark, sf_dir):
+    """C1 as the reference runs it: both pivots find their own columns."""
+    from clickmart.plans import mart
+
+    return mart.customer_mart(
+        D.clients(spark, sf_dir),
+        D.shop_visits(spark, sf_dir),
+        D.weblogs(spark, sf_dir),
+        D.domain_categories(spark, sf_dir),
+    )
