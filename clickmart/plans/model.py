@@ -83,21 +83,31 @@ def fit_vocabulary(bags: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: int =
     return top.select("domain", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
 
-def vectorize(bags: DataFrame, vocab: DataFrame, keys: tuple[str, ...], vocab_size: int = VOCAB_SIZE) -> DataFrame:
-    """``keys..., features``: term counts over the vocabulary as a sparse vector.
+def index_domains(df: DataFrame, vocab: DataFrame, vocab_size: int = VOCAB_SIZE) -> DataFrame:
+    """Adds ``idx`` (NULL for domains outside the vocabulary) by a left join;
+    the vocabulary (at most ``vocab_size`` rows) is broadcast."""
+    voc = F.broadcast(vocab) if vocab_size <= BROADCAST_VOCAB_MAX else vocab
+    return df.join(voc, "domain", "left")
+
 
-    Domains outside the vocabulary (and NULL domains) add nothing; a key
-    with none left gets an all-zero vector.
+def entries_to_vectors(indexed: DataFrame, vocab: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys..., idx, n`` rows -> ``keys..., features`` (one sparse vector per key).
+
+    Rows with a NULL ``idx`` add nothing; a key with none left gets an
+    all-zero vector. Each key's entry list is at most the vocabulary size.
     """
-    voc = F.broadcast(vocab) if vocab_size <= BROADCAST_VOCAB_MAX else vocab
-    j = bags.join(voc, "domain", "left")
     entry = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx"), F.col("n").cast("double")))
-    per = j.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    per = indexed.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     size = vocab.select(F.count(F.lit(1))).scalar()
     per = per.withColumn("_size", size)
     return per.select(*keys, _to_sparse(F.col("_size"), F.col("entries")).alias("features"))
 
 
+def vectorize(bags: DataFrame, vocab: DataFrame, keys: tuple[str, ...], vocab_size: int = VOCAB_SIZE) -> DataFrame:
+    """``keys..., features``: term counts over the vocabulary as a sparse vector."""
+    return entries_to_vectors(index_domains(bags, vocab, vocab_size), vocab, keys)
+
+
 def split_column(uid: str = "uid", seed: int = SEED, train_fraction: float = TRAIN_FRACTION):
     """``'train'``/``'test'`` from the first 32 bits of md5(uid:seed)."""
     h = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(uid), F.lit(str(seed)))), 1, 8), 16, 10).cast("long")
@@ -131,6 +141,11 @@ class DomainModel:
         out = self.transform(bags, keys)
         return out.select(*keys, F.col("predictedLabel").alias(LABEL))
 
+    def score_indexed(self, indexed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """Like ``score`` for rows that already carry ``idx, n``."""
+        out = self.pipeline.transform(entries_to_vectors(indexed, self.vocabulary, keys))
+        return out.select(*keys, F.col("predictedLabel").alias(LABEL))
+
 
 def label_indexer(users: DataFrame) -> StringIndexer:
     return StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="frequencyDesc")

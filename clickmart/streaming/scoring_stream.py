@@ -1,13 +1,14 @@
 """Streaming scoring of users from web-log messages.
 
-Messages (``value`` = JSON web-log line) -> visits -> domains. Each user's
-state is a bag of domain counts (``applyInPandasWithState``, keyed by
-uid): it holds one entry per distinct domain, so it does not grow with the
-number of visits. After each micro-batch the full bags of the users that
-changed are emitted; the micro-batch sink vectorises them against the
-model's vocabulary (a broadcast join), scores them with the fitted
-pipeline and writes ``uid, gender_age`` (update semantics: newest row per
-user).
+Messages (``value`` = JSON web-log line) -> visits -> domains -> vocabulary
+index (a stream-static join with the model's vocabulary, broadcast: at most
+2^18 rows). Each user's state is a bag of counts per vocabulary index
+(``applyInPandasWithState``, keyed by uid): at most one entry per
+vocabulary term, whatever the user's traffic. Domains outside the
+vocabulary cannot change a score and are not kept. After each micro-batch
+the full bags of the users that changed are emitted; the micro-batch sink
+turns them into vectors, scores them with the fitted pipeline and writes
+``uid, gender_age`` (update semantics: newest row per user).
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clickmart.functions import columns as C
 from clickmart.functions.schemas import WEBLOG_SCHEMA
-from clickmart.plans.model import LABEL, DomainModel
+from clickmart.plans.model import LABEL, DomainModel, index_domains
 from clickmart.streaming import sinks
 
-BAG_SCHEMA = "uid string, domain string, n long"
-STATE_SCHEMA = "domains array<string>, counts array<long>"
+BAG_SCHEMA = "uid string, idx int, n long"
+STATE_SCHEMA = "idx array<int>, counts array<long>"
 
 
 def visit_domain_stream(messages: DataFrame) -> DataFrame:
@@ -36,36 +37,38 @@ def visit_domain_stream(messages: DataFrame) -> DataFrame:
 
 
 def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    counts: dict[str, int] = {}
+    counts: dict[int, int] = {}
     if state.exists:
-        doms, ns = state.get
-        counts = dict(zip(doms, ns))
+        idx, ns = state.get
+        counts = dict(zip(idx, ns))
     for pdf in batches:
-        for d, n in pdf["domain"].dropna().value_counts().items():
-            counts[d] = counts.get(d, 0) + int(n)
-    state.update((list(counts.keys()), [int(x) for x in counts.values()]))
+        for i, n in pdf["idx"].dropna().astype("int64").value_counts().items():
+            counts[int(i)] = counts.get(int(i), 0) + int(n)
+    state.update(([int(i) for i in counts], [int(x) for x in counts.values()]))
     uid = key[0]
     if counts:
-        yield pd.DataFrame({"uid": [uid] * len(counts), "domain": list(counts.keys()), "n": list(counts.values())})
+        yield pd.DataFrame({"uid": [uid] * len(counts), "idx": list(counts.keys()), "n": list(counts.values())})
     else:
-        # A user whose URLs gave no domain is still scored (empty bag).
-        yield pd.DataFrame({"uid": [uid], "domain": [None], "n": [0]})
+        # A user with no in-vocabulary domain is still scored (empty bag).
+        yield pd.DataFrame({"uid": [uid], "idx": pd.array([None], dtype="Int32"), "n": [0]})
 
 
-def user_bag_stream(messages: DataFrame) -> DataFrame:
-    """``uid, domain, n``: full current bag of every user updated in a batch."""
-    return visit_domain_stream(messages).groupBy("uid").applyInPandasWithState(
+def user_bag_stream(messages: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``uid, idx, n``: full current bag of every user updated in a batch."""
+    indexed = index_domains(visit_domain_stream(messages), vocab).select("uid", "idx")
+    return indexed.groupBy("uid").applyInPandasWithState(
         _update_bag, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
     )
 
 
 def scoring_sink(model: DomainModel, out: str) -> sinks.VersionedSink:
     def score(batch: DataFrame) -> DataFrame:
-        return model.score(batch, ("uid",)).select("uid", LABEL)
+        return model.score_indexed(batch, ("uid",)).select("uid", LABEL)
 
     return sinks.VersionedSink(out, score)
 
 
 def run_to_table(spark: SparkSession, messages: DataFrame, model: DomainModel, out: str, checkpoint: str) -> DataFrame:
-    sinks.run_available(user_bag_stream(messages), scoring_sink(model, out), checkpoint, "update")
+    stream = user_bag_stream(messages, model.vocabulary)
+    sinks.run_available(stream, scoring_sink(model, out), checkpoint, "update")
     return sinks.latest(spark, out, ("uid",))

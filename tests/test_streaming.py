@@ -49,10 +49,13 @@ def test_scoring_stream_state_is_bag(spark):
     out = staging_path(spark, "t-bags")
     from clickmart.streaming import sinks
 
-    sinks.run_available(scoring_stream.user_bag_stream(stream), sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"))
-    final = sinks.latest(spark, out, ("uid", "domain")).collect()
-    got = sorted((r.uid, r.domain, r.n) for r in final)
-    assert got == [("u1", "a.com", 2), ("u1", "b.com", 1), ("u2", None, 0)]
+    # b.com is outside the vocabulary: it is not kept in the state
+    vocab = spark.createDataFrame([("a.com", 0), ("c.com", 1)], "domain string, idx int")
+    bags = scoring_stream.user_bag_stream(stream, vocab)
+    sinks.run_available(bags, sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"))
+    final = sinks.latest(spark, out, ("uid", "idx")).collect()
+    got = sorted((r.uid, -1 if r.idx is None else r.idx, r.n) for r in final)
+    assert got == [("u1", 0, 2), ("u2", -1, 0)]
 
 
 def test_processing_time_trigger_start(spark):
@@ -84,3 +87,20 @@ def test_step_counter_clock_mode_resumes(spark):
     run(4)  # resumed from the checkpoint: ids 6..15 only
     ids = sorted(r.id for r in spark.read.parquet(out).collect())
     assert ids == list(range(0, 16))
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from clickmart.operators import visits as V
+
+    sf = "/root/testdata/sf0.001"
+    model, _ = Mo.train(Mo.labelled_bags(D.labelled_weblogs(spark, sf)), max_iter=10)
+    logs = D.weblogs(spark, sf)
+    src = staging_path(spark, "t-score-src")
+    logs.select(F.to_json(F.struct("uid", "visits")).alias("value")).repartition(3).write.text(src)
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    streamed = scoring_stream.run_to_table(
+        spark, stream, model, staging_path(spark, "t-score-out"), staging_path(spark, "t-score-ck")
+    )
+    bags = Mo.domain_bags(V.visit_domains(logs), ("uid",), keep_null_domains=True)
+    batch = model.score(bags, ("uid",))
+    assert sorted(map(tuple, streamed.select("uid", "gender_age").collect())) == sorted(map(tuple, batch.collect()))
