@@ -640,7 +640,6 @@ def _json_field(name: str, nullable: bool = True) -> str:
     return f"coalesce({v}, '')" if nullable else v
 
 
-ENCODE_SQL = HOURLY_SQL.replace("SELECT (timestamp", "SELECT * FROM (SELECT (timestamp", 1) + ") m"
 ENCODE_SQL = (
     "SELECT '{\"start_ts\":' || CAST(start_ts AS VARCHAR) || "
     + " || ".join([_json_field("end_ts", False), _json_field("revenue"), _json_field("visitors"),
