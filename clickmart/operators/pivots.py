@@ -1,10 +1,14 @@
 """Pivots: per-key counts or sums spread into one column per value.
 
-With an explicit value list Spark plans a partial aggregate on
-``(key, value)`` and a pivot of the small result, with no discovery job.
-Without a list Spark first finds the distinct values (capped by
-``spark.sql.pivotMaxValues``), which is what the reference does; callers
-pass a list whenever the domain is known.
+* A short known value list (at most ``SHORT_LIST`` values: weekdays, hours,
+  category lists) becomes one conditional aggregate per value, in a single
+  group-by: one shuffle, partially aggregated per task.
+* A longer list uses Spark's pivot: a partial aggregate on ``(key, value)``,
+  then the pivot of that (smaller) result; no discovery job.
+* Without a list Spark first finds the distinct values (capped by
+  ``spark.sql.pivotMaxValues``), which is what the reference does.
+
+In all three an absent cell is NULL.
 """
 
 from __future__ import annotations
@@ -17,11 +21,17 @@ from pyspark.sql import functions as F
 from clickmart.functions import columns as C
 
 
+SHORT_LIST = 100
+
+
 def pivot_count(
     df: DataFrame, key: str | Sequence[str], pivot_col: str, values: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows per key and value; absent cells are NULL."""
     keys = [key] if isinstance(key, str) else list(key)
+    if values is not None and len(values) <= SHORT_LIST:
+        c = F.col(pivot_col)
+        return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, F.lit(1))).alias(str(v)) for v in values])
     g = df.groupBy(*keys)
     g = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
     return g.count()
@@ -36,6 +46,9 @@ def pivot_sum(
 ) -> DataFrame:
     """Sum of ``value_col`` per key and value; absent cells are NULL."""
     keys = [key] if isinstance(key, str) else list(key)
+    if values is not None and len(values) <= SHORT_LIST:
+        c = F.col(pivot_col)
+        return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, F.col(value_col))).alias(str(v)) for v in values])
     g = df.groupBy(*keys)
     g = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
     return g.agg(F.sum(value_col))
