@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 
 from clickmart import oracle as O
 from clickmart.functions import columns as C
-from clickmart.operators import metrics, pivots, visits
-from clickmart.session import prepare
+from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA
+from clickmart.operators import matrix, metrics, pivots, visits
+from clickmart.operators import events as E
+from clickmart.plans import features, mart, matrix_job, model, split
+from clickmart.session import prepare, staging_path
 from clickmart.sources import derived as D
+from clickmart.sources import files
+from clickmart.streaming import metrics_stream, scoring_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -147,8 +152,6 @@ EVENT_COLS = "event_type, category, item_id, item_price, uid, timestamp"
 )
 def q_filter_event_type(spark, sf_dir):
     """P5 + P9: decoded messages of one event type."""
-    from clickmart.operators import events as E
-
     return E.filter_event_type(E.decode_events(D.event_messages(spark, sf_dir)), "view")
 
 
@@ -202,8 +205,6 @@ SELECT NULL, NULL, NULL, NULL, NULL, NULL""",
 )
 def q_decode_event_json(spark, sf_dir):
     """JSON messages -> typed events (malformed line -> NULL row)."""
-    from clickmart.operators import events as E
-
     return E.decode_events(D.event_messages(spark, sf_dir))
 
 
@@ -213,8 +214,6 @@ def q_decode_event_json(spark, sf_dir):
 )
 def q_event_day_key(spark, sf_dir):
     """Epoch ms -> yyyyMMdd day key."""
-    from clickmart.operators import events as E
-
     ev = E.decode_events(D.event_messages(spark, sf_dir)).where(F.col("timestamp").isNotNull())
     return E.with_day_key(ev).select("uid", "timestamp", "date")
 
@@ -254,16 +253,12 @@ def q_hour_fractions(spark, sf_dir):
 )
 def q_join_domain_category(spark, sf_dir):
     """Known users' visits joined to the domain catalogue (inner)."""
-    from clickmart.plans import mart
-
     return mart.web_category_visits(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
 
 
 @register("shop_category_pivot", _sql(["shop_visits"], "," + SHOP_PIVOT_CTE, "SELECT * FROM shop_pivot"))
 def q_shop_category_pivot(spark, sf_dir):
     """A2: user x shop category counts (NULL when none)."""
-    from clickmart.plans import mart
-
     return mart.shop_pivot(D.shop_visits(spark, sf_dir), SHOP_CATEGORIES)
 
 
@@ -273,8 +268,6 @@ def q_shop_category_pivot(spark, sf_dir):
 )
 def q_web_category_pivot(spark, sf_dir):
     """A2: user x web category counts (NULL when none)."""
-    from clickmart.plans import mart
-
     return mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir), WEB_CATEGORIES)
 
 
@@ -292,8 +285,6 @@ MART_SQL = _sql(
 
 
 def _mart(spark, sf_dir):
-    from clickmart.plans import mart
-
     return mart.customer_mart(
         D.clients(spark, sf_dir),
         D.shop_visits(spark, sf_dir),
@@ -316,8 +307,6 @@ def q_customer_mart(spark, sf_dir):
 )
 def q_count_by_segment(spark, sf_dir):
     """A1: mart rows per (gender, age band)."""
-    from clickmart.plans import mart
-
     return mart.count_by_segment(_mart(spark, sf_dir))
 
 
@@ -401,8 +390,6 @@ DFEAT_CTE = TOP_CTE + """,
 @register("domain_feature_array", _sql(["clean_visits"], DFEAT_CTE, "SELECT uid, domain_features FROM dfeat"))
 def q_domain_feature_array(spark, sf_dir):
     """M2: per-user visit counts over the top domains, alphabetical order."""
-    from clickmart.plans import features
-
     return features.domain_feature_array(features.visit_cube(D.weblogs(spark, sf_dir)))
 
 
@@ -426,9 +413,6 @@ FEATURES_SQL = _sql(
 @register("user_features", FEATURES_SQL)
 def q_user_features(spark, sf_dir):
     """Feature table = domain counts x time features x item matrix."""
-    from clickmart.operators import matrix
-    from clickmart.plans import features
-
     m = matrix.user_item_matrix(D.split_visits(spark, sf_dir))
     return features.user_features(D.weblogs(spark, sf_dir), m)
 
@@ -439,32 +423,24 @@ def q_user_features(spark, sf_dir):
 @register("user_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
 def q_user_item_matrix(spark, sf_dir):
     """A3: user x item view/buy counts, item list found by Spark, 0-filled."""
-    from clickmart.operators import matrix
-
     return matrix.user_item_matrix(D.split_visits(spark, sf_dir))
 
 
 @register("latest_day", O.with_ctes(["split_visits"], "SELECT max(date) AS max_date FROM split_visits"))
 def q_latest_day(spark, sf_dir):
     """A5: newest day key."""
-    from clickmart.operators import matrix
-
     return matrix.latest_day(D.split_visits(spark, sf_dir))
 
 
 @register("distinct_days", O.with_ctes(["split_visits"], "SELECT DISTINCT date FROM split_visits"))
 def q_distinct_days(spark, sf_dir):
     """Distinct day keys."""
-    from clickmart.operators import events as E
-
     return E.distinct_days(D.split_visits(spark, sf_dir))
 
 
 @register("distinct_items", O.with_ctes(["item_rows"], "SELECT DISTINCT item_name FROM item_rows"))
 def q_distinct_items(spark, sf_dir):
     """Distinct item column names."""
-    from clickmart.operators import matrix
-
     return matrix.item_rows(D.split_visits(spark, sf_dir)).select("item_name").distinct()
 
 
@@ -477,8 +453,6 @@ def q_distinct_items(spark, sf_dir):
 )
 def q_union_matrices(spark, sf_dir):
     """Union of two matrices with different item columns."""
-    from clickmart.operators import matrix
-
     sv = D.split_visits(spark, sf_dir)
     a = matrix.user_item_matrix(sv.where(F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY))
     b = matrix.user_item_matrix(sv.where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY))
@@ -491,8 +465,6 @@ def q_union_matrices(spark, sf_dir):
 )
 def q_events_newest_first(spark, sf_dir):
     """Events ordered by day, newest first."""
-    from clickmart.operators import events as E
-
     return E.newest_first(D.split_visits(spark, sf_dir).drop("day_index"))
 
 
@@ -508,10 +480,6 @@ SPLIT_SQL = O.with_ctes(
 @register("split_events_by_type_day", SPLIT_SQL)
 def q_split_events_by_type_day(spark, sf_dir):
     """Messages decoded, written per type/day, read back."""
-    from clickmart.plans import split
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     out = staging_path(spark, "split")
     split.split_events(D.event_messages(spark, sf_dir), out)
     return files.read_split_events(spark, out).select(*SPLIT_COLS)
@@ -520,10 +488,6 @@ def q_split_events_by_type_day(spark, sf_dir):
 @register("overwrite_partitions", SPLIT_SQL)
 def q_overwrite_partitions(spark, sf_dir):
     """K3: a rerun over part of the days replaces those partitions only."""
-    from clickmart.plans import split
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     out = staging_path(spark, "overwrite")
     msgs = D.event_messages(spark, sf_dir)
     split.split_events(msgs, out)
@@ -534,9 +498,6 @@ def q_overwrite_partitions(spark, sf_dir):
 
 
 def _write_split_visits(spark, sf_dir, name, where=None):
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     sv = D.split_visits(spark, sf_dir)
     if where is not None:
         sv = sv.where(where)
@@ -551,8 +512,6 @@ def _write_split_visits(spark, sf_dir, name, where=None):
 )
 def q_scan_visits_json(spark, sf_dir):
     """Split event files read with a fixed schema (type/day from folders)."""
-    from clickmart.sources import files
-
     out = _write_split_visits(spark, sf_dir, "visits")
     return files.read_split_events(spark, out).select(*SPLIT_COLS)
 
@@ -572,10 +531,6 @@ FROM customer WHERE c_custkey % 100 IN (0, 1)""",
 @register("scan_weblogs_json", WEBLOG_SQL)
 def q_scan_weblogs_json(spark, sf_dir):
     """Web logs written as JSON lines and read back (fixed schema)."""
-    from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     out = staging_path(spark, "weblogs")
     files.write_json(D.weblogs(spark, sf_dir), out)
     w = files.read_weblogs(spark, out, DATED_WEBLOG_SCHEMA)
@@ -585,10 +540,6 @@ def q_scan_weblogs_json(spark, sf_dir):
 @register("snapshot_roundtrip", O.with_ctes(["item_rows"], matrix_sql()))
 def q_snapshot_roundtrip(spark, sf_dir):
     """K4/S3: matrix written as a dated parquet snapshot and read back."""
-    from clickmart.operators import matrix
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     sv = D.split_visits(spark, sf_dir)
     out = staging_path(spark, "matrix")
     day = matrix.latest_day(sv).first()[0]
@@ -597,9 +548,6 @@ def q_snapshot_roundtrip(spark, sf_dir):
 
 
 def _write_earlier_snapshot(spark, sf_dir):
-    from clickmart.operators import matrix
-    from clickmart.session import staging_path
-
     sv = D.split_visits(spark, sf_dir).where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY)
     out = staging_path(spark, "users-items")
     day = matrix.latest_day(sv).first()[0]
@@ -610,8 +558,6 @@ def _write_earlier_snapshot(spark, sf_dir):
 @register("previous_snapshot", O.with_ctes(["item_rows"], matrix_sql("day_index < 2")))
 def q_previous_snapshot(spark, sf_dir):
     """Newest snapshot strictly older than the current day."""
-    from clickmart.operators import matrix
-
     out = _write_earlier_snapshot(spark, sf_dir)
     current = matrix.latest_day(D.split_visits(spark, sf_dir)).first()[0]
     return matrix.previous_snapshot(spark, out, current)
@@ -626,9 +572,6 @@ def q_previous_snapshot(spark, sf_dir):
 )
 def q_carry_over_matrix(spark, sf_dir):
     """Current matrix plus the previous snapshot, written and read back."""
-    from clickmart.plans import matrix_job
-    from clickmart.sources import files
-
     out = _write_earlier_snapshot(spark, sf_dir)
     inp = _write_split_visits(spark, sf_dir, "visits-current", F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY)
     path = matrix_job.users_items(spark, inp, out, update=True)
@@ -663,8 +606,6 @@ LABEL_USERS_CTE = """,
 
 
 def _labelled_bags(spark, sf_dir):
-    from clickmart.plans import model
-
     return model.labelled_bags(D.labelled_weblogs(spark, sf_dir))
 
 
@@ -680,8 +621,6 @@ FROM users GROUP BY gender_age""",
 )
 def q_label_index(spark, sf_dir):
     """M3: label -> index, by user frequency (ties alphabetical)."""
-    from clickmart.plans import model
-
     users = _labelled_bags(spark, sf_dir).select("uid", model.LABEL).distinct()
     idx = model.label_indexer(users).fit(users)
     return idx.transform(users).select(model.LABEL, "label").distinct()
@@ -700,17 +639,12 @@ FROM users""",
 )
 def q_train_test_split(spark, sf_dir):
     """M5: seeded 70/30 split by a hash of uid."""
-    from clickmart.plans import model
-
     users = _labelled_bags(spark, sf_dir).select("uid").distinct()
     return users.select("uid", model.split_column().alias("split"))
 
 
 def _trained(spark, sf_dir):
     """Train, save, load back: the scorers use the loaded model."""
-    from clickmart.plans import model
-    from clickmart.session import staging_path
-
     m, test_pred = model.train(_labelled_bags(spark, sf_dir))
     path = staging_path(spark, "model")
     m.save(path)
@@ -720,8 +654,6 @@ def _trained(spark, sf_dir):
 @register("model_accuracy")
 def q_model_accuracy(spark, sf_dir):
     """M4/M7: accuracy of the classifier on the 30% test share."""
-    from clickmart.plans import model
-
     _, pred = _trained(spark, sf_dir)
     return model.accuracy(pred)
 
@@ -729,8 +661,6 @@ def q_model_accuracy(spark, sf_dir):
 @register("train_score_roundtrip")
 def q_train_score_roundtrip(spark, sf_dir):
     """Fit, save, load, score every labelled user."""
-    from clickmart.plans import model
-
     loaded, _ = _trained(spark, sf_dir)
     bags = _labelled_bags(spark, sf_dir).drop(model.LABEL)
     return loaded.score(bags, ("uid",))
@@ -739,8 +669,6 @@ def q_train_score_roundtrip(spark, sf_dir):
 @register("score_users_by_day")
 def q_score_users_by_day(spark, sf_dir):
     """Predicted gender/age per user and day from dated web logs."""
-    from clickmart.plans import model
-
     loaded, _ = _trained(spark, sf_dir)
     return model.score_by_day(loaded, D.weblogs(spark, sf_dir))
 
@@ -750,8 +678,6 @@ def q_score_users_by_day(spark, sf_dir):
 
 def _stage_text(spark, df, name, files=4):
     """Write a ``value`` column as text files (a message log to replay)."""
-    from clickmart.session import staging_path
-
     path = staging_path(spark, name)
     df.select("value").repartition(files).write.text(path)
     return path
@@ -761,9 +687,6 @@ def _stage_text(spark, df, name, files=4):
 def q_stream_hourly_metrics(spark, sf_dir):
     """Hourly metrics as a stream (update mode, checkpointed),
     one message file per micro-batch; final table equals the batch result."""
-    from clickmart.session import staging_path
-    from clickmart.streaming import metrics_stream
-
     src = _stage_text(spark, D.event_messages(spark, sf_dir), "messages")
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
     return metrics_stream.run_to_table(
@@ -774,9 +697,6 @@ def q_stream_hourly_metrics(spark, sf_dir):
 @register("stream_score_users")
 def q_stream_score_users(spark, sf_dir):
     """Per-user state updated from a web-log stream, re-scored on change."""
-    from clickmart.session import staging_path
-    from clickmart.streaming import scoring_stream
-
     loaded, _ = _trained(spark, sf_dir)
     logs = D.weblogs(spark, sf_dir).select(F.to_json(F.struct("uid", "visits")).alias("value"))
     src = _stage_text(spark, logs, "weblog-messages")
@@ -789,10 +709,6 @@ def q_stream_score_users(spark, sf_dir):
 @register("scan_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
 def q_scan_item_matrix(spark, sf_dir):
     """S3: the matrix job's parquet output read back (no carry-over)."""
-    from clickmart.plans import matrix_job
-    from clickmart.session import staging_path
-    from clickmart.sources import files
-
     inp = _write_split_visits(spark, sf_dir, "visits-all")
     path = matrix_job.users_items(spark, inp, staging_path(spark, "users-items-all"), update=False)
     return files.read_parquet(spark, path)
@@ -819,8 +735,6 @@ WEB_ROWS_SQL = "SELECT uid, 'web_' || category AS name FROM web_rows WHERE categ
 @register("shop_category_pivot_found", O.with_ctes(["shop_visits"], "SELECT * FROM " + _found_pivot_sql(SHOP_ROWS_SQL)))
 def q_shop_category_pivot_found(spark, sf_dir):
     """A2: user x shop category, the category list found by Spark."""
-    from clickmart.plans import mart
-
     return mart.shop_pivot(D.shop_visits(spark, sf_dir))
 
 
@@ -830,8 +744,6 @@ def q_shop_category_pivot_found(spark, sf_dir):
 )
 def q_web_category_pivot_found(spark, sf_dir):
     """A2: user x web category, the category list found by Spark."""
-    from clickmart.plans import mart
-
     return mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
 
 
@@ -847,8 +759,6 @@ def q_web_category_pivot_found(spark, sf_dir):
 )
 def q_customer_mart_found(spark, sf_dir):
     """C1 as the reference runs it: both pivots find their own columns."""
-    from clickmart.plans import mart
-
     return mart.customer_mart(
         D.clients(spark, sf_dir),
         D.shop_visits(spark, sf_dir),
