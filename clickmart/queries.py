@@ -765,3 +765,30 @@ def q_customer_mart_found(spark, sf_dir):
         D.weblogs(spark, sf_dir),
         D.domain_categories(spark, sf_dir),
     )
+
+
+COUNT_VECTORS_SQL = _sql(
+    ["clean_visits", "clients_banded"],
+    """,
+  bags AS (
+    SELECT v.uid, v.domain, count(*) AS n
+    FROM clean_visits v JOIN clients_banded c ON c.uid = v.uid
+    GROUP BY v.uid, v.domain),
+  vocab AS (
+    SELECT domain, row_number() OVER (ORDER BY sum(n) DESC, domain) - 1 AS idx
+    FROM bags GROUP BY domain)""",
+    """SELECT u.uid, list(CAST(coalesce(b.n, 0) AS DOUBLE) ORDER BY v.idx) AS features
+FROM (SELECT DISTINCT uid FROM bags) u CROSS JOIN vocab v
+LEFT JOIN bags b ON b.uid = u.uid AND b.domain = v.domain
+GROUP BY u.uid""",
+)
+
+
+@register("count_vectors", COUNT_VECTORS_SQL)
+def q_count_vectors(spark, sf_dir):
+    """M1: labelled users' term-count vectors over the fitted vocabulary."""
+    from pyspark.ml.functions import vector_to_array
+
+    bags = _labelled_bags(spark, sf_dir).drop(model.LABEL)
+    vec = model.vectorize(bags, model.fit_vocabulary(bags), ("uid",))
+    return vec.select("uid", vector_to_array("features").alias("features"))
