@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
-from clickmart.operators.pivots import pivot_count
+from clickmart.operators.pivots import pivot_sum
+from clickmart.session import shared_root
 
 
 def item_rows(visits: DataFrame) -> DataFrame:
@@ -42,10 +43,17 @@ def user_item_matrix(
 ) -> DataFrame:
     """Wide ``uid, <item_name>...`` counts; absent cells 0 when ``fill``.
 
-    Without ``items`` Spark finds the item names itself (one extra job,
-    capped by ``spark.sql.pivotMaxValues``).
+    The visits are read once, into the long form ``(uid, item_name, n)``.
+    Without ``items`` that long form is checkpointed to the shared folder
+    and Spark finds the item names on it (capped by
+    ``spark.sql.pivotMaxValues``) instead of on the raw visits, so the
+    discovery does not cost a second pass over the input.
     """
-    m = pivot_count(item_rows(visits), "uid", "item_name", items)
+    long = item_counts(visits)
+    if items is None:
+        shared_root(visits.sparkSession)
+        long = long.checkpoint(eager=True)
+    m = pivot_sum(long, "uid", "item_name", "n", items)
     return m.na.fill(0) if fill else m
 
 

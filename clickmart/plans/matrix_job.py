@@ -29,8 +29,11 @@ def users_items(
     during the write itself.
     """
     visits = files.read_split_events(spark, input_dir)
-    # One scalar (the folder name of the new snapshot) comes to the driver.
-    max_day = visits.agg(F.max("date")).first()[0]
+    # The newest day names the snapshot: taken from the day folders (a
+    # listing, no data read); for files that carry the day inside, one
+    # scalar aggregate.
+    days = files.partition_values(spark, input_dir, "date")
+    max_day = days[-1] if days else visits.agg(F.max("date")).first()[0]
     current = matrix.user_item_matrix(visits)
     result = matrix.carry_over(spark, current, out_dir, max_day, update, fill_missing)
     result, obs = counted(result, "users_items")

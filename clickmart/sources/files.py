@@ -71,6 +71,33 @@ def read_split_events(spark: SparkSession, path: str, schema=VISIT_FILE_SCHEMA)
     return spark.read.schema(schema).json(path)
 
 
+def partition_values(spark: SparkSession, path: str, column: str, depth: int = 2) -> list[str]:
+    """Values of a ``column=value`` folder level under ``path`` (metadata only).
+
+    Looks ``depth`` levels down; e.g. the days of a type/day split. Returns
+    a sorted list (empty when the folder does not exist).
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found, level = set(), [root]
+    for _ in range(depth):
+        nxt = []
+        for d in level:
+            for st in fs.listStatus(d):
+                if not st.isDirectory():
+                    continue
+                name = st.getPath().getName()
+                if name.startswith(column + "="):
+                    found.add(name[len(column) + 1:])
+                else:
+                    nxt.append(st.getPath())
+        level = nxt
+    return sorted(found)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).parquet(path)
     return path

@@ -25,3 +25,14 @@ def test_split_files_in_plain_type_day_folders(spark):
         ev.where((F.col("event_type") == t) & (F.col("date") == d)).write.json(f"{base}/{t}/{d}")
     back = files.read_split_events(spark, f"{base}/*/*")
     assert sorted((r.event_type, r.date, r.item_price) for r in back.collect()) == [("buy", "20240102", 2), ("view", "20240101", 1)]
+
+
+def test_partition_values_from_listing(spark):
+    base = staging_path(spark, "t-pv")
+    ev = spark.createDataFrame(
+        [("view", "20240101"), ("buy", "20240103"), ("view", "20240102")], "event_type string, date string"
+    ).withColumn("x", F.lit(1))
+    ev.write.partitionBy("event_type", "date").parquet(base)
+    assert files.partition_values(spark, base, "date") == ["20240101", "20240102", "20240103"]
+    assert files.partition_values(spark, base, "event_type") == ["buy", "view"]
+    assert files.partition_values(spark, staging_path(spark, "t-none"), "date") == []
