@@ -92,7 +92,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _day_index(spark: SparkSession, sf_dir: str, ts: Column) -> Column:
     """Days since the first event day (scalar subquery, no driver collect)."""
-    first_day = _events(spark, sf_dir).select(F.min(F.to_date("ts"))).scalar()
+    # to_date is monotonic, so the day of the earliest timestamp is the first day.
+    first_day = _events(spark, sf_dir).select(F.to_date(F.min("ts"))).scalar()
     return F.datediff(F.to_date(ts), first_day)
 
 
