@@ -75,7 +75,11 @@ def domain_feature_array(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     top = top_domain_list(cube, n)
     vocab = top.select(F.array_sort(F.collect_list("domain"))).scalar()
     per_domain = cube.groupBy("uid", "domain").agg(F.sum("n").alias("n"))
-    kept = V.visits_to_top_domains(per_domain, top, n)
+    # An inner join with the (unique, at most n) top domains keeps the same
+    # rows as a semi join, but is not pushed below the aggregate: the visit
+    # aggregate's shuffle stays shared with the other feature branches.
+    keys = top.select("domain")
+    kept = per_domain.join(F.broadcast(keys) if n <= V.BROADCAST_TOP_MAX else keys, "domain")
     per_user = kept.groupBy("uid").agg(
         F.map_from_entries(F.collect_list(F.struct("domain", F.col("n").cast("double")))).alias("m")
     )
