@@ -161,13 +161,16 @@ def train(
 ) -> tuple[DomainModel, DataFrame]:
     """Fit on the train share; returns the model and the test predictions."""
     keys = ("uid", LABEL)
+    shared_root(bags.sparkSession)
+    # The bags feed the indexer, the vocabulary, the vectors and the test
+    # share: computed once and kept in the shared folder.
+    bags = bags.checkpoint(eager=True)
     users = bags.select(*keys).distinct()
     indexer = label_indexer(users).fit(users)
     split = split_column(seed=seed, train_fraction=train_fraction)
     tagged = bags.withColumn("_split", split)
     train_bags = tagged.where(F.col("_split") == "train").drop("_split")
     test_bags = tagged.where(F.col("_split") == "test").drop("_split")
-    shared_root(bags.sparkSession)
     # Computed once and kept: the same vocabulary serves fitting, testing
     # and saving (it is at most vocab_size rows).
     vocab = fit_vocabulary(train_bags, vocab_size).checkpoint(eager=True)
