@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
 
+# Fixed value: the tumbling window length.
 WINDOW = "1 hour"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
 
+# Fixed value: width of the domain feature (top-N domains).
 TOP_DOMAINS = 1000
 # Broadcast the top-N list only while N is at most this many rows.
 BROADCAST_TOP_MAX = 100_000

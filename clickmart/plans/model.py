@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 from clickmart.operators import visits as V
 from clickmart.session import shared_root
 
+# Vocabulary defaults (count vectoriser: 2^18 terms, min 1
+# document), training parameters, split share and seed, label column.
 VOCAB_SIZE = 1 << 18
 MIN_DF = 1
 MAX_ITER = 100
