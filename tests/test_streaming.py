@@ -104,3 +104,27 @@ def test_stream_scoring_equals_batch_scoring(spark):
     bags = Mo.domain_bags(V.visit_domains(logs), ("uid",), keep_null_domains=True)
     batch = model.score(bags, ("uid",))
     assert sorted(map(tuple, streamed.select("uid", "gender_age").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_scoring_stream_resumes_with_state(spark):
+    from clickmart.operators import visits as V
+    from clickmart.streaming import sinks
+
+    sf = "/root/testdata/sf0.001"
+    model, _ = Mo.train(Mo.labelled_bags(D.labelled_weblogs(spark, sf)), max_iter=10)
+    logs = D.weblogs(spark, sf).withColumn("_h", F.abs(F.xxhash64("uid", "date")) % 2)
+    src, out, ck = (staging_path(spark, f"t-resume-{k}") for k in ("src", "out", "ck"))
+
+    def run():
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        sinks.run_available(scoring_stream.user_bag_stream(stream, model.vocabulary),
+                            scoring_stream.scoring_sink(model, out), ck, "update")
+
+    for half in (0, 1):  # a user's lines arrive in both halves
+        part = logs.where(F.col("_h") == half).select(F.to_json(F.struct("uid", "visits")).alias("value"))
+        part.coalesce(1).write.mode("append").text(src)
+        run()
+    streamed = sinks.latest(spark, out, ("uid",)).select("uid", "gender_age")
+    bags = Mo.domain_bags(V.visit_domains(logs), ("uid",), keep_null_domains=True)
+    batch = model.score(bags, ("uid",))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
