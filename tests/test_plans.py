@@ -27,9 +27,12 @@ def test_no_cross_or_nested_loop_joins(plans):
     assert not bad
 
 
-def test_no_row_python_outside_the_classifier(plans):
-    bad = {n for n, p in plans.items() if "BatchEvalPython" in p and n not in PYTHON_OK}
-    assert not bad
+def test_no_row_at_a_time_python(plans):
+    assert not {n for n, p in plans.items() if "BatchEvalPython" in p}
+
+
+def test_arrow_python_only_in_the_classifier(plans):
+    assert not {n for n, p in plans.items() if "ArrowEvalPython" in p and n not in PYTHON_OK}
 
 
 def test_unused_columns_are_pruned(plans):
@@ -41,7 +44,8 @@ def test_unused_columns_are_pruned(plans):
 
 
 def test_event_type_filter_reaches_the_scan(plans):
-    assert "PushedFilters: [In(event_type, [purchase,view])]" in plans["user_item_matrix"]
+    assert "PushedFilters: [In(event_type, [purchase,view])]" in plans["distinct_items"]
+    assert "PushedFilters: [In(event_type, [purchase,view])]" in plans["events_newest_first"]
 
 
 def test_top_n_is_a_bounded_top_k(plans):
