@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,12 +12,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from clickmart.session import get_session
 
-    ckpt = tempfile.mkdtemp(prefix="clickmart-test-ckpt-")
+    # The shared folder comes from the session's own spark.checkpoint.dir;
+    # clickmart.session.shared_root makes a local one only when it is unset.
     s = get_session(
         app="clickmart-tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"},
+        extra={"spark.driver.memory": "4g"},
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
