@@ -33,6 +33,8 @@ from clickmart.functions import columns as C
 from clickmart.functions.schemas import EVENT_SCHEMA, VISIT_STRUCT
 
 MALFORMED_URL = "http://a b/[x"
+# The driver table's name for a purchase event (renamed "buy").
+RAW_BUY = "purchase"
 MALFORMED_MESSAGE = '{"event_type": "buy", "item_price": '
 # A user's visits of one day are grouped in chunks of at most this many
 # consecutive event ids, so no web-log row (array) grows with the data.
@@ -145,10 +147,6 @@ def labelled_weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weblogs(spark, sf_dir).join(cl, "uid")
 
 
-# Fixed value: the driver table's name for a purchase event.
-RAW_BUY = "purchase"
-
-
 def shop_events(spark: SparkSession, sf_dir: str, raw_types: tuple[str, ...] | None = None) -> DataFrame:
     """F5 fields as typed columns (the decoded form of the messages).
 
