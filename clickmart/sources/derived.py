@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from clickmart.functions import columns as C
 from clickmart.functions.schemas import EVENT_SCHEMA, VISIT_STRUCT
 
+# Fixed values (the fixture rules above).
 MALFORMED_URL = "http://a b/[x"
 # The driver table's name for a purchase event (renamed "buy").
 RAW_BUY = "purchase"
