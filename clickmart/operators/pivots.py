@@ -5,8 +5,11 @@
   group-by: one shuffle, partially aggregated per task.
 * A longer list uses Spark's pivot: a partial aggregate on ``(key, value)``,
   then the pivot of that (smaller) result; no discovery job.
-* Without a list Spark first finds the distinct values (capped by
-  ``spark.sql.pivotMaxValues``), which is what the reference does.
+* Without a list the values are found in the data, as the reference does
+  (capped by ``spark.sql.pivotMaxValues``). The rows are first counted into
+  the long form ``(key, value, n)``, which is checkpointed to the shared
+  folder; the discovery and the pivot then read that small table, so the
+  input is read once, not twice.
 
 In all three an absent cell is NULL.
 """
@@ -19,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
+from clickmart.session import shared_root
 
 
 SHORT_LIST = 100
@@ -32,9 +36,11 @@ def pivot_count(
     if values is not None and len(values) <= SHORT_LIST:
         c = F.col(pivot_col)
         return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, F.lit(1))).alias(str(v)) for v in values])
-    g = df.groupBy(*keys)
-    g = g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)
-    return g.count()
+    long = df.groupBy(*keys, pivot_col).agg(F.count(F.lit(1)).alias("_n"))
+    if values is None:
+        shared_root(df.sparkSession)
+        long = long.checkpoint(eager=True)
+    return pivot_sum(long, keys, pivot_col, "_n", values)
 
 
 def pivot_sum(
