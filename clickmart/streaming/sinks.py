@@ -14,6 +14,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmart.session import shared_root
+from clickmart.sources import files
+
 BATCH_COL = "batch"
 
 
@@ -29,6 +32,22 @@ class VersionedSink:
         out.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
 
 
+BASE_SUFFIX = "__base"
+BASE_COL = "upto"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """All rows still needed: the newest compacted base (if any) plus the
+    batches written after it (older batch folders are pruned, not read)."""
+    bases = [int(v) for v in files.partition_values(spark, path + BASE_SUFFIX, BASE_COL, depth=1)]
+    batches = spark.read.parquet(path)
+    if not bases:
+        return batches
+    upto = max(bases)
+    base = spark.read.parquet(f"{path}{BASE_SUFFIX}/{BASE_COL}={upto}").withColumn(BATCH_COL, F.lit(upto))
+    return base.unionByName(batches.where(F.col(BATCH_COL) > upto), allowMissingColumns=True)
+
+
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Newest row per key across all written batches.
 
@@ -36,12 +55,32 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     before the shuffle, so a key updated in many batches costs one row per
     task rather than a sort of all its versions.
     """
-    df = spark.read.parquet(path)
+    df = _versions(spark, path)
     values = [c for c in df.columns if c not in keys and c != BATCH_COL]
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_v"))
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
+    """Write the current table as a base covering every batch so far.
+
+    Later reads start from the newest base and only read batches after it,
+    so reading cost stays bounded however long the stream runs. Nothing is
+    deleted; rerunning is harmless (the base folder is overwritten with the
+    same rows). Returns the last batch id covered, or None if there is none.
+    """
+    ids = [int(v) for v in files.partition_values(spark, path, BATCH_COL, depth=1)]
+    if not ids:
+        return None
+    upto = max(ids)
+    current = latest(spark, path, keys)
+    shared_root(spark)
+    # Cut from its inputs first, so overwriting a base never reads itself.
+    current = current.checkpoint(eager=True)
+    current.write.mode("overwrite").parquet(f"{path}{BASE_SUFFIX}/{BASE_COL}={upto}")
+    return upto
+
+
 class _StatePartitions:
     """Pin the shuffle width a new stateful query records in its checkpoint.
 
