@@ -16,3 +16,10 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     row count once an action over it has run."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def counted_with(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
+    """Like ``counted`` with extra named aggregate metrics (e.g. ``count_if``)."""
+    obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("rows")] + [m.alias(k) for k, m in metrics.items()]
+    return df.observe(obs, *exprs), obs

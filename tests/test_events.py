@@ -45,3 +45,11 @@ def test_rerun_replaces_only_its_partitions(spark):
     split.split_events(_msgs(spark).limit(1), out)  # rerun for the first view day only
     back = files.read_split_events(spark, out)
     assert back.count() == 3  # no duplicates, other partitions untouched
+
+
+def test_split_observes_counts(spark):
+    out = staging_path(spark, "t-split-obs")
+    msgs = _msgs(spark).unionByName(spark.createDataFrame([("not json",)], "value string"))
+    stats = {}
+    split.split_events(msgs, out, stats=stats)
+    assert stats == {"rows": 4, "malformed": 1}
