@@ -1,0 +1 @@
+"""Column expressions (Column -> Column) and the fixed payload schemas."""

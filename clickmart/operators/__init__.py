@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: visits, pivots, metrics, item matrices, events, checks."""

@@ -1,0 +1 @@
+"""Composite jobs: customer mart, event split, item matrix, features, classifier."""

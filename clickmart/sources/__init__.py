@@ -1,0 +1 @@
+"""Readers, writers, connector options, derived inputs and the stepped-counter source."""
