@@ -111,7 +111,7 @@ def job_features(spark: SparkSession, a) -> None:
     f = features.user_features(
         files.read_weblogs(spark, a.weblogs, WEBLOG_SCHEMA), spark.read.parquet(a.matrix), a.top
     )
-    f.write.mode("overwrite").parquet(a.out)
+    f.sortWithinPartitions("uid").write.mode("overwrite").parquet(a.out)
 
 
 def job_train(spark: SparkSession, a) -> None:

@@ -83,3 +83,13 @@ def test_union_new_columns_are_null_unless_filled(spark):
     assert rows == {(1, None), (None, 2)}  # the user appears twice
     filled = {(r.view_a, r.buy_b) for r in X.union_matrices(a, b, fill_missing=True).collect()}
     assert filled == {(1, 0), (0, 2)}
+
+
+def test_snapshot_uid_lookup_is_pushed(spark):
+    out = staging_path(spark, "t-lookup")
+    m = spark.createDataFrame([(f"u{i}", i) for i in range(50)], "uid string, view_a long")
+    path = X.write_snapshot(m, out, "20240101")
+    q = spark.read.parquet(path).where("uid = 'u7'")
+    assert "PushedFilters: [IsNotNull(uid), EqualTo(uid,u7)]" in q._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert q.first().view_a == 7
