@@ -12,4 +12,17 @@ Sub-packages:
 * ``streaming``  the streaming jobs
 """
 
+import sys as _sys
+
+# Executors must run the few Python pieces (the vector pandas UDF, the
+# streaming state function, the counter data source) without clickmart
+# being installed on them: register the package so Spark's cloudpickle
+# ships those functions and classes by value instead of by module name.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without the hook
+    pass
+
 __all__ = ["session"]

@@ -140,9 +140,11 @@ def job_test(spark: SparkSession, a) -> None:
             out = m.score_indexed(batch, ("uid",)).select(F.to_json(F.struct("uid", "gender_age")).alias("value"))
             out.write.format(K.KAFKA).options(**K.kafka_write_options(a.kafka_servers, a.out_topic)).save()
 
-        q = sinks.start(bags, to_kafka, a.checkpoint, "update", a.trigger)
+        q = sinks.start(bags, to_kafka, a.checkpoint, "update", a.trigger,
+                        state_partitions=scoring_stream.state_partitions(spark))
     else:
-        q = sinks.start(bags, scoring_stream.scoring_sink(m, a.out), a.checkpoint, "update", a.trigger)
+        q = sinks.start(bags, scoring_stream.scoring_sink(m, a.out), a.checkpoint, "update", a.trigger,
+                        state_partitions=scoring_stream.state_partitions(spark))
     if a.available_now:
         q.processAllAvailable()
         q.stop()

@@ -68,7 +68,21 @@ def scoring_sink(model: DomainModel, out: str) -> sinks.VersionedSink:
     return sinks.VersionedSink(out, score)
 
 
-def run_to_table(spark: SparkSession, messages: DataFrame, model: DomainModel, out: str, checkpoint: str) -> DataFrame:
+def state_partitions(spark: SparkSession) -> int:
+    """One state partition per available core: the uid-keyed state is then
+    spread over every executor core, whatever the cluster size."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def run_to_table(
+    spark: SparkSession,
+    messages: DataFrame,
+    model: DomainModel,
+    out: str,
+    checkpoint: str,
+    partitions: int | None = None,
+) -> DataFrame:
     stream = user_bag_stream(messages, model.vocabulary)
-    sinks.run_available(stream, scoring_sink(model, out), checkpoint, "update")
+    n = partitions or state_partitions(spark)
+    sinks.run_available(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=n)
     return sinks.latest(spark, out, ("uid",))
