@@ -36,7 +36,11 @@ def visit_domain_stream(messages: DataFrame) -> DataFrame:
     return v.select("uid", C.url_domain(F.col("v.url")).alias("domain"))
 
 
-def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int | None = None) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        # idle longer than the time-to-live: forget the user, emit nothing
+        state.remove()
+        return
     counts: dict[int, int] = {}
     if state.exists:
         idx, ns = state.get
@@ -45,6 +49,8 @@ def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         for i, n in pdf["idx"].dropna().astype("int64").value_counts().items():
             counts[int(i)] = counts.get(int(i), 0) + int(n)
     state.update(([int(i) for i in counts], [int(x) for x in counts.values()]))
+    if ttl_ms is not None:
+        state.setTimeoutDuration(ttl_ms)
     uid = key[0]
     if counts:
         yield pd.DataFrame({"uid": [uid] * len(counts), "idx": list(counts.keys()), "n": list(counts.values())})
@@ -53,11 +59,25 @@ def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         yield pd.DataFrame({"uid": [uid], "idx": pd.array([None], dtype="Int32"), "n": [0]})
 
 
-def user_bag_stream(messages: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``uid, idx, n``: full current bag of every user updated in a batch."""
+def user_bag_stream(messages: DataFrame, vocab: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
+    """``uid, idx, n``: full current bag of every user updated in a batch.
+
+    By default a user's state is kept for ever (as in the reference).
+    ``state_ttl_ms`` bounds it instead: a user idle for longer (processing
+    time) is forgotten, and a returning user starts a fresh bag.
+    """
     indexed = index_domains(visit_domain_stream(messages), vocab).select("uid", "idx")
+    if state_ttl_ms is None:
+        return indexed.groupBy("uid").applyInPandasWithState(
+            _update_bag, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+        )
+    ttl = int(state_ttl_ms)
+
+    def update(key, batches, state):
+        return _update_bag(key, batches, state, ttl)
+
     return indexed.groupBy("uid").applyInPandasWithState(
-        _update_bag, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+        update, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
@@ -81,8 +101,10 @@ def run_to_table(
     out: str,
     checkpoint: str,
     partitions: int | None = None,
+    state_ttl_ms: int | None = None,
 ) -> DataFrame:
-    stream = user_bag_stream(messages, model.vocabulary)
+    stream = user_bag_stream(messages, model.vocabulary, state_ttl_ms)
     n = partitions or state_partitions(spark)
-    sinks.run_available(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=n)
+    drain = sinks.run_available if state_ttl_ms is None else sinks.run_until_caught_up
+    drain(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=n)
     return sinks.latest(spark, out, ("uid",))

@@ -9,6 +9,7 @@ the key, never gathered in one task.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,6 +126,46 @@ def run_available(
     return q
 
 
+def run_until_caught_up(
+    stream: DataFrame,
+    sink: Callable,
+    checkpoint: str,
+    output_mode: str = "update",
+    state_partitions: int | None = None,
+    processing_time: str = "100 milliseconds",
+    max_wait_s: float = 3600.0,
+):
+    """Process everything available, then stop, for queries with state
+    timeouts. Those keep scheduling no-data batches to evaluate timeouts, so
+    neither an available-now run nor ``processAllAvailable`` ever ends. The
+    first batch that reads nothing new (input offsets unchanged) shows the
+    input is drained; the query is stopped there."""
+    q = start(stream, sink, checkpoint, output_mode, processing_time, state_partitions=state_partitions)
+    deadline = time.monotonic() + max_wait_s
+    try:
+        while time.monotonic() < deadline:
+            if not q.isActive:
+                err = q.exception()
+                if err is not None:
+                    raise err
+                break
+            if any(_drained(p) for p in q.recentProgress):
+                break
+            time.sleep(0.2)
+        else:
+            raise TimeoutError(f"stream not drained within {max_wait_s} s")
+    finally:
+        q.stop()
+    return q
+
+
+def _drained(progress: dict) -> bool:
+    srcs = progress.get("sources") or []
+    return progress.get("numInputRows", 1) == 0 and bool(srcs) and all(
+        s.get("startOffset") == s.get("endOffset") for s in srcs
+    )
+
+
 def start(
     stream: DataFrame,
     sink: Callable,

@@ -128,3 +128,32 @@ def test_scoring_stream_resumes_with_state(spark):
     bags = Mo.domain_bags(V.visit_domains(logs), ("uid",), keep_null_domains=True)
     batch = model.score(bags, ("uid",))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_scoring_state_ttl_forgets_idle_users(spark):
+    import time as _t
+
+    from clickmart.streaming import sinks
+
+    vocab = spark.createDataFrame([("a.com", 0)], "domain string, idx int")
+    src, out, ck = (staging_path(spark, f"t-ttl-{k}") for k in ("src", "out", "ck"))
+
+    def add(uid, n):
+        visits = ",".join('{"url":"http://a.com/","timestamp":1}' for _ in range(n))
+        spark.createDataFrame([(f'{{"uid":"{uid}","visits":[{visits}]}}',)], "value string").coalesce(1) \
+            .write.mode("append").text(src)
+
+    def run():
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        bags = scoring_stream.user_bag_stream(stream, vocab, state_ttl_ms=1000)
+        sinks.run_until_caught_up(bags, sinks.VersionedSink(out), ck)
+
+    add("u1", 2)
+    run()
+    _t.sleep(2.5)
+    add("u2", 1)  # this batch finds u1 idle for longer than the TTL
+    run()
+    add("u1", 1)
+    run()
+    got = {(r.uid, r.n) for r in sinks.latest(spark, out, ("uid", "idx")).collect()}
+    assert got == {("u1", 1), ("u2", 1)}  # u1 restarted from an empty bag
