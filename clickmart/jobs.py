@@ -132,19 +132,22 @@ def job_test(spark: SparkSession, a) -> None:
     m = model.DomainModel.load(spark, a.model)
     src = (spark.readStream.schema("value string").text(a.messages) if a.messages
            else K.read_kafka_stream(spark, a.kafka_servers, a.topic, "latest"))
-    bags = scoring_stream.user_bag_stream(src, m.vocabulary)
+    bags = scoring_stream.user_bag_stream(src, m.vocabulary, a.state_ttl_ms)
     if a.out_topic:
 
-        def to_kafka(batch: DataFrame, batch_id: int) -> None:
+        def sink(batch: DataFrame, batch_id: int) -> None:
             # scored per micro-batch and sent as JSON lines
             out = m.score_indexed(batch, ("uid",)).select(F.to_json(F.struct("uid", "gender_age")).alias("value"))
             out.write.format(K.KAFKA).options(**K.kafka_write_options(a.kafka_servers, a.out_topic)).save()
 
-        q = sinks.start(bags, to_kafka, a.checkpoint, "update", a.trigger,
-                        state_partitions=scoring_stream.state_partitions(spark))
     else:
-        q = sinks.start(bags, scoring_stream.scoring_sink(m, a.out), a.checkpoint, "update", a.trigger,
-                        state_partitions=scoring_stream.state_partitions(spark))
+        sink = scoring_stream.scoring_sink(m, a.out)
+    n = scoring_stream.state_partitions(spark)
+    if a.available_now and a.state_ttl_ms:
+        # timeouts keep no-data batches coming: stop once the input is drained
+        sinks.run_until_caught_up(bags, sink, a.checkpoint, "update", state_partitions=n)
+        return
+    q = sinks.start(bags, sink, a.checkpoint, "update", a.trigger, state_partitions=n)
     if a.available_now:
         q.processAllAvailable()
         q.stop()
@@ -221,6 +224,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--watermark")
         else:
             s.add_argument("--model", required=True)
+            s.add_argument("--state-ttl-ms", type=int, help="forget users idle for longer (default: keep for ever)")
 
     s = sub.add_parser("users_items")
     s.add_argument("--input-dir", required=True)
