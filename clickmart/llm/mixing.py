@@ -20,8 +20,8 @@ from clickmart.llm.common import shuffle_partitions, stage, text_of, word_count
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
-#: Hex digits of the hash prefix: one prefix of a source holds 1/65536 of its documents.
-PREFIX = 4
+#: Hex digits of the hash prefix: one prefix of a source holds 1/4096 of its documents.
+PREFIX = 3
 
 
 def ranked_sources(sources: DataFrame) -> DataFrame:
