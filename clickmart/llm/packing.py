@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import running_before, stage, text_of
-from clickmart.llm.tokens import encoder, tokenizer_path
+from clickmart.llm.tokens import encoded, encoder, tokenizer_path
 
 WINDOW = 1024
 END_ID = 0
@@ -56,8 +56,8 @@ def tokenise(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int
         seen = np.zeros(window, dtype=np.int64)
         for batch in batches:
             out = []
-            for text in batch.column("text").to_pylist():
-                ids = enc.encode(text) + end
+            for ids in encoded(enc, batch.column("text")):
+                ids += end
                 n = len(ids) // 4
                 rest = n % window
                 sums = np.array([zlib.crc32(ids[i : i + 4 * window]) for i in range(0, len(ids), 4 * window)], dtype="<u4").tobytes()

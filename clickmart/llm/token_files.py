@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import block_of, range_cuts, running_before, shuffle_partitions, text_of
-from clickmart.llm.tokens import encoder, tokenizer_path
+from clickmart.llm.tokens import encoded, encoder, tokenizer_path
 from clickmart.session import staging_path
 
 MAGIC = b"TIDZ0001"
@@ -65,8 +65,8 @@ def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int | No
         pack = None if raw is None else zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
         for batch in batches:
             n, frames = [], []
-            for text in batch.column("text").to_pylist():
-                ids = enc.encode(text) + end
+            for ids in encoded(enc, batch.column("text")):
+                ids += end
                 n.append(len(ids) // 4)
                 data = np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes()
                 frames.append(data[:limit] if pack is None else pack.compress(data))

@@ -11,8 +11,11 @@ import os
 import re
 import sys
 import types
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Pieces a worker keeps before it starts anew (about 200 bytes each).
 CACHE_PIECES = 800_000
@@ -31,6 +34,10 @@ def worker_store() -> types.ModuleType:
     return sys.modules.setdefault("_clickmart_worker", types.ModuleType("_clickmart_worker"))
 
 
+#: Unknown pieces that are encoded as one string.
+JOINED = 500
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
@@ -42,29 +49,79 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.drops_space = self.tokenizer.normalizer is not None
         self.pieces: dict[str, bytes] = {}
+        # Tokens are written with one character a byte; "</w>" marks a word's end.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token.removesuffix("</w>") if self.drops_space else token)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _join(self, pieces: list[str]) -> list[bytes]:
+        """Encode many pieces as one string and part its ids by the bytes they stand for."""
+        def size(piece: str) -> int:
+            if piece.isascii():
+                return len(piece)
+            return len((unicodedata.normalize("NFC", piece).lower() if self.drops_space else piece).encode("utf-8", "surrogatepass"))
+
+        text = (" " if self.drops_space else "").join(pieces)
+        ends = np.cumsum([size(p) for p in pieces])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.cumsum(self.bytes_of[ids])
+        cuts = np.searchsorted(at, ends, side="left") + 1
+        if not len(ids) or cuts[-1] != len(ids) or (at[cuts - 1] != ends).any():
+            return self._plain(pieces)  # a character whose normal form has another length
+        return [ids[i:j].tobytes() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+
+    def _encode_new(self, pieces: list[str]) -> None:
+        """Learn pieces. Those that start with white space (or any, where it is dropped) can stand side by side."""
+        side = [p for p in pieces if self.drops_space or (p[0] in " \n" and p[-1] not in " \n")]
+        alone = [] if self.drops_space else [p for p in pieces if not (p[0] in " \n" and p[-1] not in " \n")]
+        for at in range(0, len(side), JOINED):
+            part = side[at : at + JOINED]
+            self.pieces.update(zip(part, self._join(part), strict=True))
+        self.pieces.update(zip(alone, self._plain(alone), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        pattern = _WORD_PIECES if self.drops_space else _BYTE_PIECES
+        out: list[bytes | None] = [None] * len(texts)
+        lists: dict[int, list[str]] = {}
+        for i, text in enumerate(texts):
+            if not self.drops_space and _OTHER_SPACE.search(text):
+                out[i] = self._plain([text])[0]
+            else:
+                lists[i] = pattern.findall(text)
+        every = set().union(*lists.values())
+        new = every.difference(self.pieces)
+        if len(self.pieces) + len(new) > CACHE_PIECES:
+            self.pieces.clear()
+            new = every
+        self._encode_new(list(new))
+        look = self.pieces.__getitem__
+        for i, pieces in lists.items():
+            out[i] = b"".join(map(look, pieces))
+        return out
+
     def encode(self, text: str) -> bytes:
-        if not self.drops_space and _OTHER_SPACE.search(text):
-            return self._plain([text])[0]
-        pieces = (_WORD_PIECES if self.drops_space else _BYTE_PIECES).findall(text)
-        known = self.pieces
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._plain(new), strict=True))
-        return b"".join(map(known.__getitem__, pieces))
+        return self.encode_all([text])[0]
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
 
+#: Texts that are encoded at a time.
+TEXTS = 256
+
+
+def encoded(enc: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of a column of texts, a few hundred at a time."""
+    for at in range(0, len(texts), TEXTS):
+        yield from enc.encode_all(texts.slice(at, TEXTS).to_pylist())
+
+
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a tokenizer file."""
     store = worker_store().__dict__.setdefault("encoders", {})
