@@ -47,26 +47,25 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
         hashed.select("h1", "h2", F.struct("doc_id").alias("doc")).distinct()
         .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
     )
-    drop = hashed.join(frequent, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("_drop"))
+    drop = hashed.join(frequent, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
 
-    out = docs.withColumns({"_k1": k1, "_k2": k2}).join(drop.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), ["_k1", "_k2"], "left")
-    ends = F.concat(F.array(F.lit(-1)), F.col("_drop"), F.array(F.size(F.col("_lines"))))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    out = rows.join(drop, ["k1", "k2"], "left").select("row", "drop", F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), "\n", -1).alias("lines"))
+    ends = F.concat(F.array(F.lit(-1)), F.col("drop"), F.array(F.size("lines")))
+    out = out.withColumn("ends", ends)
     # What lies between two dropped positions stays: linear in the lines, however many go.
     kept = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), F.size("_drop") + 1),
-            lambda i: F.slice(F.col("_lines"), F.get(F.col("_ends"), i - 1) + 2, F.get(F.col("_ends"), i) - F.get(F.col("_ends"), i - 1) - 1),
+            F.sequence(F.lit(1), F.size("drop") + 1),
+            lambda i: F.slice(F.col("lines"), F.get(F.col("ends"), i - 1) + 2, F.get(F.col("ends"), i) - F.get(F.col("ends"), i - 1) - 1),
         )
     )
-    out = out.withColumn("_lines", lines).withColumn("_ends", ends)
-    out = out.withColumns(
-        {
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dropped": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long"),
-            "text": F.when(F.col("_drop").isNull(), text_of()).otherwise(F.array_join(kept, "\n")),
-        }
+    left = F.when(F.col("drop").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(kept, "\n"))
+    return out.select(
+        *(left.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_dropped"),
     )
-    return out.select(*docs.columns, "n_lines", "n_dropped")
 
 
 def query(docs: DataFrame) -> DataFrame:

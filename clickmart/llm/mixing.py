@@ -76,10 +76,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     pass through; those with the names above are replaced. Reruns agree: the
     draw is a hash of the seed and ``doc_id``.
     """
-    own = ["size", "source_size", "target", "copies", "taken", "_draw"]
-    docs = docs.drop(*own)
+    docs = docs.drop("size", "source_size", "target", "copies", "taken")
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.withColumns({"size": word_count(text_of()), "_draw": draw})
+    sized = docs.select(F.struct(*docs.columns).alias("row"), "source", word_count(text_of()).alias("size"), draw.alias("_draw"))
     small = stage(sized.select("source", "size", "_draw"), "sizes")  # all later sums read this, not the texts
 
     by_source = small.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -112,7 +111,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     once = F.when(F.col("first").isNull(), F.col("rest") > 0).otherwise((F.col("_draw") <= F.col("last")) | (F.col("_draw") < F.col("first")))
     copies = (F.col("whole") + F.coalesce(once, F.lit(False)).cast("int")).cast("long")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*docs.columns, "size", "source_size", "target", "copies", "taken")
+    return out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), "size", "source_size", "target", "copies", "taken")
 
 
 #: Largest table of sources, in rows, that is broadcast; above it Spark joins by shuffle.
