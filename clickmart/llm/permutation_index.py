@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from clickmart.llm.common import shuffle_partitions, stage
 
 #: Pivots, how many of them a vector keeps, and rows that pivots are drawn from.
-PIVOTS, KEPT, SAMPLE = 256, 24, 4_096
+PIVOTS, KEPT, SAMPLE = 256, 32, 4_096
 #: Rows of a block and queries of a batch: what one task holds of each.
 BLOCK, BATCH = 16_384, 1_024
 #: Share of a block that is reranked, and how many rows of it at least.
-SHARE, LEAST = 0.06, 512
+SHARE, LEAST = 0.2, 1_024
 TOP, EVERY = 20, 20
 
 

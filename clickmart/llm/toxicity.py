@@ -27,10 +27,10 @@ from clickmart.llm.common import text_of
 from clickmart.llm.tokens import worker_store
 
 BUCKETS, WIDTH = 1 << 17, 8
-SHORTEST, LONGEST = 3, 6
+SHORTEST, LONGEST = 3, 5
 #: Most training documents of each class (taken by a hash of their id), and most distinct words of one (by a hash too).
 SAMPLE_DOCS, SAMPLE_WORDS = (6_000, 3_000), 4_096
-EPOCHS, RATE, DECAY = 60, 0.1, 3e-6
+EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.5, 1e-6
 FOLDS = 5
 CACHE_WORDS = 800_000
 _WORD = re.compile(r"\w+")
@@ -55,7 +55,7 @@ def words_of(text: str) -> list[str]:
 
 
 def train(bags: list[tuple[list[str], list[int]]], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> Model:
-    """Joint training of embeddings and softmax: full-batch Adam on the weighted log loss.
+    """Joint training of embeddings and softmax: Adagrad on the weighted log loss, a batch of documents at a time.
 
     ``bags`` has distinct words and counts of each document, ``weights`` what a
     document counts for. With one class only, or none, the model knows no words.
@@ -66,49 +66,46 @@ def train(bags: list[tuple[list[str], list[int]]], labels: np.ndarray, weights:
     prior = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
-    index: dict[str, int] = {}
-    word = np.concatenate([np.array([index.setdefault(w, len(index)) for w in ws], dtype=np.int64) for ws, _ in bags])
-    doc = np.repeat(np.arange(len(bags)), [len(ws) for ws, _ in bags])
-    part = np.concatenate([np.array(c, dtype=np.float32) / max(1, sum(c)) for _, c in bags])
-    grams = [subwords(w) for w in index]
-    sizes = np.array([len(g) for g in grams])
-    gram_word = np.repeat(np.arange(len(grams)), sizes)
-    gram = np.concatenate([np.array(g, dtype=np.int64) for g in grams])
-    inverse = (1.0 / sizes).astype(np.float32)
-    # Only buckets that occur are trained; the others keep the mean vector 0.
-    used, gram = np.unique(gram, return_inverse=True)
+    known: dict[str, np.ndarray] = {}
+    rows, parts = [], []
+    for words, counts in bags:
+        grams = [known[w] if w in known else known.setdefault(w, np.array(subwords(w), dtype=np.int32)) for w in words]
+        n = max(1, sum(counts))
+        part = [np.full(len(g), SCALE * c / n / len(g), dtype=np.float32) for g, c in zip(grams, counts, strict=True)]
+        used, at = np.unique(np.concatenate(grams) if grams else np.zeros(0, dtype=np.int32), return_inverse=True)
+        rows.append(used)
+        parts.append(np.bincount(at, np.concatenate(part) if part else None, minlength=len(used)).astype(np.float32))
 
     rng = np.random.default_rng(7)
-    table = rng.normal(0, 1.0 / WIDTH, (len(used), WIDTH)).astype(np.float32)
+    table = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     soft = rng.normal(0, 1.0, WIDTH).astype(np.float32)  # the two classes' difference
     bias = np.float32(prior)
-    weight = (weights / total).astype(np.float32)
-    by_word, by_gram = np.argsort(word, kind="stable"), np.argsort(gram, kind="stable")
-
-    def sums(values: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(keys, values[:, j], minlength=n) for j in range(values.shape[1])], axis=1).astype(np.float32)
-
-    moments = [[np.zeros_like(table), np.zeros_like(table)], [np.zeros_like(soft), np.zeros_like(soft)], [np.float32(0), np.float32(0)]]
-    doc_w, word_w, part_w = doc[by_word], word[by_word], part[by_word]
-    gram_g, word_g = gram[by_gram], gram_word[by_gram]
-    for epoch in range(1, epochs + 1):
-        vectors = sums(table[gram], gram_word, len(grams)) * inverse[:, None]
-        texts = sums(vectors[word] * part[:, None], doc, len(bags)) * np.float32(SCALE)
-        odds = texts @ soft + bias
-        error = (1 / (1 + np.exp(-odds)) - labels).astype(np.float32) * weight
-        to_texts = error[:, None] * soft[None, :] * np.float32(SCALE)
-        to_words = sums(to_texts[doc_w] * part_w[:, None], word_w, len(grams)) * inverse[:, None]
-        gradients = [sums(to_words[word_g], gram_g, len(used)) + DECAY * table, texts.T @ error + DECAY * soft, error.sum()]
-        rate = RATE * (1 - (epoch - 1) / epochs)
-        new = []
-        for value, gradient, m in zip((table, soft, bias), gradients, moments, strict=True):
-            m[0] = 0.9 * m[0] + 0.1 * gradient
-            m[1] = 0.99 * m[1] + 0.01 * gradient * gradient
-            step = (m[0] / (1 - 0.9**epoch)) / (np.sqrt(m[1] / (1 - 0.99**epoch)) + 1e-8)
-            new.append((value - rate * step).astype(np.float32))
-        table, soft, bias = new
-    margins = np.zeros(BUCKETS, dtype=np.float32)
-    margins[used] = table @ soft * np.float32(SCALE)
+    seen, seen_soft, seen_bias = np.full(BUCKETS, 1e-8, dtype=np.float32), np.full(WIDTH, 1e-8, dtype=np.float32), np.float32(1e-8)
+    weight = (weights / weights.mean()).astype(np.float32)
+    trained = np.zeros(BUCKETS, dtype=bool)
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
+        order = rng.permutation(len(bags))
+        for at in range(0, len(order), BATCH):
+            docs = order[at : at + BATCH]
+            row, part = np.concatenate([rows[i] for i in docs]), np.concatenate([parts[i] for i in docs])
+            doc = np.repeat(np.arange(len(docs)), [len(rows[i]) for i in docs])
+            project = table[row] @ soft  # of each entry
+            odds = np.bincount(doc, part * project, minlength=len(docs)) + bias
+            error = ((1 / (1 + np.exp(-odds)) - labels[docs]) * weight[docs] / len(docs)).astype(np.float32)
+            pull = error[doc] * part
+            used, where = np.unique(row, return_inverse=True)
+            by_row = np.bincount(where, pull, minlength=len(used)).astype(np.float32)
+            to_soft = by_row @ table[used] + DECAY * soft
+            to_rows = by_row[:, None] * soft[None, :] + DECAY * table[used]
+            seen[used] += (to_rows * to_rows).mean(axis=1)
+            table[used] -= rate / np.sqrt(seen[used])[:, None] * to_rows
+            seen_soft += to_soft * to_soft
+            soft -= rate / np.sqrt(seen_soft) * to_soft
+            seen_bias += error.sum() ** 2
+            bias -= rate / np.sqrt(seen_bias) * error.sum()
+            trained[used] = True
+    margins = np.where(trained, table @ soft * np.float32(SCALE), 0).astype(np.float32)
     return Model(margins, float(bias))
 
 
@@ -174,7 +171,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     kept = docs.drop(column)
     schema = kept.schema.add(column, "double")
-    return kept.withColumn("_text_to_score", text_of()).mapInArrow(run, schema)
+    return kept.select("*", text_of().alias(f"_{'_'.join(kept.columns)}")).mapInArrow(run, schema)  # a name that is in no table
 
 
 def training_rows(labels: DataFrame) -> DataFrame:

@@ -19,11 +19,19 @@ from clickmart.llm.tokens import tokenizer_path
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it is trained on the labelled documents outside its held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, toxicity.training_rows(labels))
-    return toxicity.score(docs, model, "_toxic").where(F.col("_toxic") < 0.5).select(*docs.columns)
+    new = fresh(docs, "toxic")
+    return toxicity.score(docs, model, new).where(F.col(new) < 0.5).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,15 +48,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     groups = parity_join.jaccard_groups(docs, NEAR_WORDS, NEAR_PERCENT)
     first = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_text", F.xxhash64(text_of()))
-    kept = kept.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))).where("_row = 1")
+    place, text = fresh(docs, "place"), F.xxhash64(text_of())
+    kept = docs.join(first, "doc_id", "left_semi").withColumn(place, F.row_number().over(Window.partitionBy("doc_id", text).orderBy("doc_id"))).where(F.col(place) == 1)
     return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     mixed = mixing.mix(docs).where(F.col("copies") > 0)
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return mixed.withColumn(fresh(mixed, "copy"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
