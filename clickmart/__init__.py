@@ -22,7 +22,9 @@ try:
     from pyspark import cloudpickle as _cloudpickle
 
     _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle without the hook
-    pass
+except (ImportError, AttributeError):  # older cloudpickle without the hook
+    import logging as _logging
+
+    _logging.getLogger(__name__).warning("install clickmart on the executors: it can't be shipped by value")
 
 __all__ = ["session"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA, LABELLED_WEBLOG_SCHEMA, WEBLOG_SCHEMA
-from clickmart.session import get_session
+from clickmart.session import apply_scale, get_session, input_bytes
 from clickmart.sources import connectors as K
 from clickmart.sources import files
 
@@ -37,7 +37,10 @@ def _read_clients(spark: SparkSession, a) -> DataFrame:
 def _read_domain_cats(spark: SparkSession, a) -> DataFrame:
     if a.domain_cats_parquet:
         return spark.read.parquet(a.domain_cats_parquet)
-    return K.read_jdbc(spark, url=a.jdbc_url, table=a.jdbc_table, user=a.jdbc_user, password=_secret(a.jdbc_password_env))
+    split = {}
+    if a.jdbc_partition_column:
+        split = {"partition_column": a.jdbc_partition_column, "lower_bound": a.jdbc_lower, "upper_bound": a.jdbc_upper, "num_partitions": a.jdbc_partitions}
+    return K.read_jdbc(spark, url=a.jdbc_url, table=a.jdbc_table, user=a.jdbc_user, password=_secret(a.jdbc_password_env), driver=a.jdbc_driver, **split)
 
 
 def _read_shop(spark: SparkSession, a) -> DataFrame:
@@ -60,7 +63,7 @@ def job_mart(spark: SparkSession, a) -> None:
         m.write.mode("overwrite").parquet(a.out_parquet)
     else:
         K.append_jdbc(m, url=a.out_jdbc_url, table=a.out_jdbc_table, user=a.jdbc_user,
-                      password=_secret(a.jdbc_password_env))
+                      password=_secret(a.jdbc_password_env), driver=a.jdbc_driver)
 
 
 def job_split(spark: SparkSession, a) -> None:
@@ -84,17 +87,17 @@ def job_agg(spark: SparkSession, a) -> None:
     src = (spark.readStream.schema("value string").text(a.messages) if a.messages
            else K.read_kafka_stream(spark, a.kafka_servers, a.topic))
     metrics = metrics_stream.hourly_metrics_stream(src, a.watermark)
+    n = metrics_stream.STATE_PARTITIONS
     if a.out_topic:
-        q = K.write_kafka_stream(metrics_stream.kafka_value_stream(metrics), a.kafka_servers, a.out_topic,
-                                 a.checkpoint, "update", a.trigger)
-    else:
-        q = sinks.start(metrics, sinks.VersionedSink(a.out), a.checkpoint, "update", a.trigger,
-                        state_partitions=metrics_stream.STATE_PARTITIONS)
-    if a.available_now:
-        q.processAllAvailable()
-        q.stop()
-    else:
+        with sinks.state_width(spark, n):
+            q = K.write_kafka_stream(metrics_stream.kafka_value_stream(metrics), a.kafka_servers, a.out_topic,
+                                     a.checkpoint, "update", a.trigger, available_now=a.available_now)
         q.awaitTermination()
+    elif a.available_now:
+        sinks.run_available(metrics, sinks.VersionedSink(a.out), a.checkpoint, "update", state_partitions=n)
+    else:
+        sink = sinks.VersionedSink(a.out, compact_every=a.compact_every, keys=metrics_stream.KEYS)
+        sinks.start(metrics, sink, a.checkpoint, "update", a.trigger, state_partitions=n).awaitTermination()
 
 
 def job_users_items(spark: SparkSession, a) -> None:
@@ -119,7 +122,7 @@ def job_train(spark: SparkSession, a) -> None:
     from clickmart.plans import model
 
     logs = files.read_json(spark, a.input, LABELLED_WEBLOG_SCHEMA)
-    m, pred = model.train(model.labelled_bags(logs), seed=a.seed)
+    m, pred = model.train(model.labelled_bags(logs), seed=a.seed, vocab_size=a.vocab_size)
     print(json.dumps(model.accuracy(pred).first().asDict()))
     m.save(a.model)
 
@@ -132,27 +135,23 @@ def job_test(spark: SparkSession, a) -> None:
     m = model.DomainModel.load(spark, a.model)
     src = (spark.readStream.schema("value string").text(a.messages) if a.messages
            else K.read_kafka_stream(spark, a.kafka_servers, a.topic, "latest"))
-    bags = scoring_stream.user_bag_stream(src, m.vocabulary, a.state_ttl_ms)
+    bags = scoring_stream.user_bag_stream(src, a.state_ttl_ms)
     if a.out_topic:
 
         def sink(batch: DataFrame, batch_id: int) -> None:
             # scored per micro-batch and sent as JSON lines
-            out = m.score_indexed(batch, ("uid",)).select(F.to_json(F.struct("uid", "gender_age")).alias("value"))
+            out = m.score(batch, ("uid",)).select(F.to_json(F.struct("uid", "gender_age")).alias("value"))
             out.write.format(K.KAFKA).options(**K.kafka_write_options(a.kafka_servers, a.out_topic)).save()
 
     else:
-        sink = scoring_stream.scoring_sink(m, a.out)
-    n = scoring_stream.state_partitions(spark)
-    if a.available_now and a.state_ttl_ms:
-        # timeouts keep no-data batches coming: stop once the input is drained
-        sinks.run_until_caught_up(bags, sink, a.checkpoint, "update", state_partitions=n)
-        return
-    q = sinks.start(bags, sink, a.checkpoint, "update", a.trigger, state_partitions=n)
+        sink = scoring_stream.scoring_sink(m, a.out, a.compact_every if not a.available_now else None)
+    n = a.state_partitions
     if a.available_now:
-        q.processAllAvailable()
-        q.stop()
+        # timeouts would keep batches without data coming
+        drain = sinks.run_until_caught_up if a.state_ttl_ms else sinks.run_available
+        drain(bags, sink, a.checkpoint, "update", state_partitions=n)
     else:
-        q.awaitTermination()
+        sinks.start(bags, sink, a.checkpoint, "update", a.trigger, state_partitions=n).awaitTermination()
 
 
 def job_dashboard(spark: SparkSession, a) -> None:
@@ -164,8 +163,11 @@ def job_dashboard(spark: SparkSession, a) -> None:
     if a.out_parquet:
         scored.write.mode("overwrite").parquet(a.out_parquet)
     else:
-        K.append_elastic(scored, a.es_index, nodes=a.es_nodes, user=a.es_user, password=_secret(a.es_password_env))
+        K.append_elastic(scored, a.es_index, nodes=a.es_nodes, port=a.es_port, user=a.es_user, password=_secret(a.es_password_env))
+
 
+# Arguments that name input files; their total size sets the shuffle width.
+INPUTS = ("weblogs", "clients_parquet", "domain_cats_parquet", "shop_parquet", "messages", "input_dir", "matrix", "input", "data")
 
 JOBS = {
     "mart": job_mart,
@@ -183,6 +185,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="clickmart.jobs")
     p.add_argument("--master")
     p.add_argument("--checkpoint-dir", help="shared folder when spark.checkpoint.dir is unset")
+    p.add_argument("--input-bytes", type=int, help="size of the input where it isn't files (Kafka, JDBC, ...); else it is measured")
     sub = p.add_subparsers(dest="job", required=True)
 
     s = sub.add_parser("mart")
@@ -195,6 +198,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-table")
     s.add_argument("--jdbc-user")
     s.add_argument("--jdbc-password-env")
+    s.add_argument("--jdbc-driver")
+    s.add_argument("--jdbc-partition-column", help="numeric column to split the catalogue read by")
+    s.add_argument("--jdbc-lower", type=int)
+    s.add_argument("--jdbc-upper", type=int)
+    s.add_argument("--jdbc-partitions", type=int)
     s.add_argument("--shop-parquet")
     s.add_argument("--es-index")
     s.add_argument("--es-nodes")
@@ -220,11 +228,13 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--trigger", default="5 seconds" if name == "agg" else "10 seconds")
         s.add_argument("--available-now", action="store_true")
+        s.add_argument("--compact-every", type=int, default=1000, help="batches between compactions of a file table")
         if name == "agg":
             s.add_argument("--watermark")
         else:
             s.add_argument("--model", required=True)
             s.add_argument("--state-ttl-ms", type=int, help="forget users idle for longer (default: keep for ever)")
+            s.add_argument("--state-partitions", type=int, default=200, help="of a new checkpoint; fixed for its life")
 
     s = sub.add_parser("users_items")
     s.add_argument("--input-dir", required=True)
@@ -241,6 +251,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--input", required=True)
     s.add_argument("--model", required=True)
     s.add_argument("--seed", type=int, default=123456789)
+    s.add_argument("--vocab-size", type=int, default=1 << 18)
 
     s = sub.add_parser("dashboard")
     s.add_argument("--model", required=True)
@@ -248,6 +259,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--out-parquet")
     s.add_argument("--es-index")
     s.add_argument("--es-nodes")
+    s.add_argument("--es-port")
     s.add_argument("--es-user")
     s.add_argument("--es-password-env")
     return p
@@ -257,6 +269,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     a = parser().parse_args(argv)
     extra = {"spark.checkpoint.dir": a.checkpoint_dir} if a.checkpoint_dir else None
     spark = spark or get_session(app=f"clickmart-{a.job}", master=a.master, extra=extra)
+    bytes_in = a.input_bytes if a.input_bytes is not None else input_bytes(spark, *(getattr(a, k, None) for k in INPUTS))
+    if bytes_in:
+        apply_scale(spark, bytes_in)
     JOBS[a.job](spark, a)
 
 

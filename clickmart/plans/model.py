@@ -9,8 +9,8 @@ produce (term counts over the vocabulary).
 
 * Vocabulary: domains by total visits (desc, then domain), at most
   ``vocab_size`` (the count vectoriser's default, 2^18), with
-  ``min_df`` documents. It is a small DataFrame with a proven size bound;
-  it is broadcast to the per-user join and saved next to the model.
+  ``min_df`` documents. Whether it is broadcast to the per-user join is left
+  to AQE; it is saved next to the model with its size.
 * Label indexer: fitted on all labelled users before the split (as the
   reference does), frequency order with alphabetical ties.
 * Split: a hash of ``uid`` and the seed, stable under repartitioning.
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmart.operators import visits as V
+from clickmart.operators.ranking import top_rows
 from clickmart.session import shared_root
 
 # Vocabulary defaults (count vectoriser: 2^18 terms, min 1
@@ -50,8 +51,6 @@ REG_PARAM = 0.001
 TRAIN_FRACTION = 0.7
 SEED = 123456789
 LABEL = "gender_age"
-# Above this many vocabulary rows the per-user join shuffles instead.
-BROADCAST_VOCAB_MAX = VOCAB_SIZE
 
 
 @F.pandas_udf(VectorUDT())
@@ -86,17 +85,15 @@ def fit_vocabulary(bags: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: int =
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= min_df)
     )
-    top = totals.orderBy(F.col("total").desc(), F.col("domain").asc()).limit(vocab_size)
+    top = top_rows(totals, vocab_size, "total", "domain")
     # At most vocab_size rows: numbering them in one ordered window is bounded.
     w = Window.orderBy(F.col("total").desc(), F.col("domain").asc())
     return top.select("domain", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
 
-def index_domains(df: DataFrame, vocab: DataFrame, vocab_size: int = VOCAB_SIZE) -> DataFrame:
-    """Adds ``idx`` (NULL for domains outside the vocabulary) by a left join;
-    the vocabulary (at most ``vocab_size`` rows) is broadcast."""
-    voc = F.broadcast(vocab) if vocab_size <= BROADCAST_VOCAB_MAX else vocab
-    return df.join(voc, "domain", "left")
+def index_domains(df: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Adds ``idx`` (NULL for domains outside the vocabulary) by a left join."""
+    return df.join(vocab, "domain", "left")
 
 
 def entries_to_vectors(indexed: DataFrame, vocab: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -114,9 +111,9 @@ def entries_to_vectors(indexed: DataFrame, vocab: DataFrame, keys: tuple[str, ..
     return per.select(*keys, _to_sparse(F.col("_size"), idx, val).alias("features"))
 
 
-def vectorize(bags: DataFrame, vocab: DataFrame, keys: tuple[str, ...], vocab_size: int = VOCAB_SIZE) -> DataFrame:
+def vectorize(bags: DataFrame, vocab: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """``keys..., features``: term counts over the vocabulary as a sparse vector."""
-    return entries_to_vectors(index_domains(bags, vocab, vocab_size), vocab, keys)
+    return entries_to_vectors(index_domains(bags, vocab), vocab, keys)
 
 
 def split_column(uid: str = "uid", seed: int = SEED, train_fraction: float = TRAIN_FRACTION):
@@ -133,12 +130,26 @@ class DomainModel:
     pipeline: PipelineModel
 
     def save(self, path: str) -> None:
+        """Vocabulary, pipeline, and a manifest that ties the two together."""
         self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = self.vocabulary.sparkSession
+        print_of = vocabulary_print(spark.read.parquet(f"{path}/vocabulary"))
+        manifest = print_of.withColumn("features", F.lit(self.n_features))
+        manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "DomainModel":
-        return cls(spark.read.parquet(f"{path}/vocabulary"), PipelineModel.load(f"{path}/pipeline"))
+        model = cls(spark.read.parquet(f"{path}/vocabulary"), PipelineModel.load(f"{path}/pipeline"))
+        kept = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest").first()
+        found = vocabulary_print(model.vocabulary).first()
+        if (kept.size, kept.fingerprint, kept.features) != (found.size, found.fingerprint, model.n_features):
+            raise ValueError(f"{path}: vocabulary and pipeline do not belong together")
+        return model
+
+    @property
+    def n_features(self) -> int:
+        return int(self.pipeline.stages[1].numFeatures)
 
     @property
     def labels(self) -> list[str]:
@@ -152,10 +163,14 @@ class DomainModel:
         out = self.transform(bags, keys)
         return out.select(*keys, F.col("predictedLabel").alias(LABEL))
 
-    def score_indexed(self, indexed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        """Like ``score`` for rows that already carry ``idx, n``."""
-        out = self.pipeline.transform(entries_to_vectors(indexed, self.vocabulary, keys))
-        return out.select(*keys, F.col("predictedLabel").alias(LABEL))
+
+MANIFEST_SCHEMA = "size long, fingerprint string, features long"
+
+
+def vocabulary_print(vocab: DataFrame) -> DataFrame:
+    """One row: ``size`` and an order-free ``fingerprint`` of the vocabulary."""
+    total = F.sum(F.xxhash64("domain", "idx").cast("decimal(38,0)"))
+    return vocab.agg(F.count(F.lit(1)).alias("size"), F.coalesce(total.cast("string"), F.lit("0")).alias("fingerprint"))
 
 
 def label_indexer(users: DataFrame) -> StringIndexer:
@@ -192,7 +207,7 @@ def train(
     # The optimiser makes up to max_iter passes: cut the lineage first so a
     # lost executor re-reads the checkpointed vectors from the shared folder
     # instead of re-running the whole derivation.
-    train_vec = vectorize(train_bags, vocab, keys, vocab_size).checkpoint(eager=True)
+    train_vec = vectorize(train_bags, vocab, keys).checkpoint(eager=True)
     pipeline = Pipeline(stages=[indexer, lr, to_label]).fit(train_vec)
     model = DomainModel(vocab, pipeline)
     return model, model.transform(test_bags, keys)

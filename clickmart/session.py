@@ -6,7 +6,6 @@ labels and window bounds all depend on it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,24 +16,25 @@ UTC_CONF = {"spark.sql.session.timeZone": "UTC"}
 MB = 1 << 20
 TARGET_PARTITION_BYTES = 256 * MB
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def scale_conf(
     input_bytes: int,
     target_partition_bytes: int = TARGET_PARTITION_BYTES,
     min_partitions: int = MIN_SHUFFLE_PARTITIONS,
-    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
+    max_partitions: int | None = None,
 ) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of input.
 
     Scan splits and shuffle partitions aim at ``target_partition_bytes``
     each (the shuffle count is the upper bound; AQE coalesces small ones at
-    run time and splits skewed ones in joins). At 100 TB this gives the
-    200,000 cap; at a few GB the 200 floor.
+    run time and splits skewed ones in joins). At 100 TB this gives about
+    370,000; at a few GB the 200 floor. ``max_partitions`` is a cap for
+    clusters that need one; there is none by default.
     """
-    n = -(-int(input_bytes) // int(target_partition_bytes))
-    n = max(min_partitions, min(max_partitions, n))
+    n = max(min_partitions, -(-int(input_bytes) // int(target_partition_bytes)))
+    if max_partitions is not None:
+        n = min(n, max_partitions)
     t = str(int(target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
@@ -81,18 +81,44 @@ def get_session(
     return spark
 
 
+def input_bytes(spark: SparkSession, *paths: str | None) -> int:
+    """Total size of the files under ``paths`` (globs allowed; a listing, no data read)."""
+    total = 0
+    for path in paths:
+        if path:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+            total += sum(fs.getContentSummary(st.getPath()).getLength() for st in fs.globStatus(p) or [])
+    return total
+
+
+def apply_scale(spark: SparkSession, size: int) -> None:
+    """Set ``scale_conf`` on a session; a local session keeps its own smaller shuffle width."""
+    conf = scale_conf(size)
+    if is_local(spark.sparkContext.master):
+        conf.pop("spark.sql.shuffle.partitions")
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin UTC on an existing session (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[...]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and staged outputs.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir) as
-    the cluster names it. Only when neither is set (local runs, tests) a
-    fresh local folder is created and registered.
+    the cluster names it. Only when neither is set, a local master gets a
+    fresh local folder; on a cluster that folder would be one machine's own,
+    so there it is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -101,6 +127,8 @@ def shared_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None
         )
         if not root:
+            if not is_local(sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="clickmart-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -110,12 +138,3 @@ def shared_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/clickmart-staging/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -51,13 +51,14 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str, offsets=Non
 
 
 def write_kafka_stream(values: DataFrame, servers: str, topic: str, checkpoint: str,
-                       output_mode: str = "update", processing_time: str = "5 seconds"):
+                       output_mode: str = "update", processing_time: str = "5 seconds", available_now: bool = False):
     """Start a ``value``-column stream into a topic (checkpoint never wiped)."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     return (
         values.writeStream.format(KAFKA)
         .options(**kafka_write_options(servers, topic, checkpoint))
         .outputMode(output_mode)
-        .trigger(processingTime=processing_time)
+        .trigger(**trigger)
         .start()
     )
 

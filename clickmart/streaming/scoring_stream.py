@@ -1,14 +1,15 @@
 """Streaming scoring of users from web-log messages.
 
-Messages (``value`` = JSON web-log line) -> visits -> domains -> vocabulary
-index (a stream-static join with the model's vocabulary, broadcast: at most
-2^18 rows). Each user's state is a bag of counts per vocabulary index
-(``applyInPandasWithState``, keyed by uid): at most one entry per
-vocabulary term, whatever the user's traffic. Domains outside the
-vocabulary cannot change a score and are not kept. After each micro-batch
-the full bags of the users that changed are emitted; the micro-batch sink
-turns them into vectors, scores them with the fitted pipeline and writes
-``uid, gender_age`` (update semantics: newest row per user).
+Messages (``value`` = JSON web-log line) -> visits -> domains. Visits are
+counted per ``(uid, domain)`` inside each Arrow batch before the shuffle, so
+a busy user sends one row a domain and batch to the state, not one a visit.
+Each user's state is a bag of counts per domain (``applyInPandasWithState``,
+keyed by uid) with every domain seen, as in the reference; it knows no
+model, so a retrained one can be used on an old checkpoint. After each
+micro-batch the full bags of the users that changed are emitted; the
+micro-batch sink looks the domains up in the model's vocabulary, scores the
+vectors with the fitted pipeline and writes ``uid, gender_age`` (update
+semantics: newest row per user).
 """
 
 from __future__ import annotations
@@ -16,17 +17,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clickmart.functions import columns as C
 from clickmart.functions.schemas import WEBLOG_SCHEMA
-from clickmart.plans.model import LABEL, DomainModel, index_domains
+from clickmart.plans.model import LABEL, DomainModel
 from clickmart.streaming import sinks
 
-BAG_SCHEMA = "uid string, idx int, n long"
-STATE_SCHEMA = "idx array<int>, counts array<long>"
+BAG_SCHEMA = "uid string, domain string, n long"
+STATE_SCHEMA = "domains array<string>, counts array<long>"
+# State partitions of a new checkpoint (fixed for its life): enough for a
+# large cluster, whatever number of cores is there when the query first starts.
+STATE_PARTITIONS = 200
 
 
 def visit_domain_stream(messages: DataFrame) -> DataFrame:
@@ -36,39 +41,46 @@ def visit_domain_stream(messages: DataFrame) -> DataFrame:
     return v.select("uid", C.url_domain(F.col("v.url")).alias("domain"))
 
 
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Visits per ``(uid, domain)`` of each Arrow batch."""
+    for batch in batches:
+        counted = pa.Table.from_batches([batch]).group_by(["uid", "domain"]).aggregate([([], "count_all")])
+        yield from counted.select(["uid", "domain", "count_all"]).rename_columns(["uid", "domain", "n"]).to_batches()
+
+
 def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int | None = None) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         # idle longer than the time-to-live: forget the user, emit nothing
         state.remove()
         return
-    counts: dict[int, int] = {}
+    counts: dict[str, int] = {}
     if state.exists:
-        idx, ns = state.get
-        counts = dict(zip(idx, ns))
+        domains, ns = state.get
+        counts = dict(zip(domains, ns))
     for pdf in batches:
-        for i, n in pdf["idx"].dropna().astype("int64").value_counts().items():
-            counts[int(i)] = counts.get(int(i), 0) + int(n)
-    state.update(([int(i) for i in counts], [int(x) for x in counts.values()]))
+        for d, n in pdf.dropna(subset=["domain"]).groupby("domain")["n"].sum().items():
+            counts[d] = counts.get(d, 0) + int(n)
+    state.update((list(counts), [int(x) for x in counts.values()]))
     if ttl_ms is not None:
         state.setTimeoutDuration(ttl_ms)
     uid = key[0]
     if counts:
-        yield pd.DataFrame({"uid": [uid] * len(counts), "idx": list(counts.keys()), "n": list(counts.values())})
+        yield pd.DataFrame({"uid": [uid] * len(counts), "domain": list(counts), "n": list(counts.values())})
     else:
-        # A user with no in-vocabulary domain is still scored (empty bag).
-        yield pd.DataFrame({"uid": [uid], "idx": pd.array([None], dtype="Int32"), "n": [0]})
+        # A user without any usable domain is still scored (empty bag).
+        yield pd.DataFrame({"uid": [uid], "domain": pd.array([None], dtype="string"), "n": [0]})
 
 
-def user_bag_stream(messages: DataFrame, vocab: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
-    """``uid, idx, n``: full current bag of every user updated in a batch.
+def user_bag_stream(messages: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
+    """``uid, domain, n``: full current bag of every user updated in a batch.
 
     By default a user's state is kept for ever (as in the reference).
     ``state_ttl_ms`` bounds it instead: a user idle for longer (processing
     time) is forgotten, and a returning user starts a fresh bag.
     """
-    indexed = index_domains(visit_domain_stream(messages), vocab).select("uid", "idx")
+    counted = visit_domain_stream(messages).mapInArrow(_combine, BAG_SCHEMA)
     if state_ttl_ms is None:
-        return indexed.groupBy("uid").applyInPandasWithState(
+        return counted.groupBy("uid").applyInPandasWithState(
             _update_bag, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
         )
     ttl = int(state_ttl_ms)
@@ -76,22 +88,16 @@ def user_bag_stream(messages: DataFrame, vocab: DataFrame, state_ttl_ms: int | N
     def update(key, batches, state):
         return _update_bag(key, batches, state, ttl)
 
-    return indexed.groupBy("uid").applyInPandasWithState(
+    return counted.groupBy("uid").applyInPandasWithState(
         update, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
-def scoring_sink(model: DomainModel, out: str) -> sinks.VersionedSink:
+def scoring_sink(model: DomainModel, out: str, compact_every: int | None = None) -> sinks.VersionedSink:
     def score(batch: DataFrame) -> DataFrame:
-        return model.score_indexed(batch, ("uid",)).select("uid", LABEL)
-
-    return sinks.VersionedSink(out, score)
-
+        return model.score(batch, ("uid",)).select("uid", LABEL)
 
-def state_partitions(spark: SparkSession) -> int:
-    """One state partition per available core: the uid-keyed state is then
-    spread over every executor core, whatever the cluster size."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    return sinks.VersionedSink(out, score, compact_every, ("uid",))
 
 
 def run_to_table(
@@ -100,11 +106,10 @@ def run_to_table(
     model: DomainModel,
     out: str,
     checkpoint: str,
-    partitions: int | None = None,
+    partitions: int = STATE_PARTITIONS,
     state_ttl_ms: int | None = None,
 ) -> DataFrame:
-    stream = user_bag_stream(messages, model.vocabulary, state_ttl_ms)
-    n = partitions or state_partitions(spark)
+    stream = user_bag_stream(messages, state_ttl_ms)
     drain = sinks.run_available if state_ttl_ms is None else sinks.run_until_caught_up
-    drain(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=n)
+    drain(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=partitions)
     return sinks.latest(spark, out, ("uid",))

@@ -9,7 +9,6 @@ the key, never gathered in one task.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +21,28 @@ BATCH_COL = "batch"
 
 
 class VersionedSink:
-    """``foreachBatch`` target; ``transform`` is applied to each batch first."""
+    """``foreachBatch`` target; ``transform`` is applied to each batch first.
 
-    def __init__(self, path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
+    With ``compact_every`` the table of ``keys`` is compacted after that many
+    batches, so a stream that runs for ever keeps its reads short.
+    """
+
+    def __init__(
+        self,
+        path: str,
+        transform: Callable[[DataFrame], DataFrame] | None = None,
+        compact_every: int | None = None,
+        keys: Sequence[str] = (),
+    ):
         self.path = path.rstrip("/")
         self.transform = transform
+        self.compact_every, self.keys = compact_every, tuple(keys)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         out = self.transform(batch) if self.transform else batch
         out.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={batch_id}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            compact(batch.sparkSession, self.path, self.keys)
 
 
 BASE_SUFFIX = "__base"
@@ -49,6 +61,12 @@ def _versions(spark: SparkSession, path: str) -> DataFrame:
     return base.unionByName(batches.where(F.col(BATCH_COL) > upto), allowMissingColumns=True)
 
 
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last batch: the whole result of a complete-mode query."""
+    ids = [int(v) for v in files.partition_values(spark, path, BATCH_COL, depth=1)]
+    return spark.read.parquet(f"{path}/{BATCH_COL}={max(ids)}")
+
+
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Newest row per key across all written batches.
 
@@ -82,7 +100,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     return upto
 
 
-class _StatePartitions:
+class state_width:  # noqa: N801 - used as a function
     """Pin the shuffle width a new stateful query records in its checkpoint.
 
     The number of state partitions is fixed when a query first starts; a
@@ -120,50 +138,36 @@ def run_available(
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    with _StatePartitions(stream.sparkSession, state_partitions):
+    with state_width(stream.sparkSession, state_partitions):
         q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run_until_caught_up(
     stream: DataFrame,
     sink: Callable,
     checkpoint: str,
     output_mode: str = "update",
     state_partitions: int | None = None,
-    processing_time: str = "100 milliseconds",
-    max_wait_s: float = 3600.0,
 ):
-    """Process everything available, then stop, for queries with state
-    timeouts. Those keep scheduling no-data batches to evaluate timeouts, so
-    neither an available-now run nor ``processAllAvailable`` ever ends. The
-    first batch that reads nothing new (input offsets unchanged) shows the
-    input is drained; the query is stopped there."""
-    q = start(stream, sink, checkpoint, output_mode, processing_time, state_partitions=state_partitions)
-    deadline = time.monotonic() + max_wait_s
+    """Process everything available, then stop, for queries with state timeouts.
+
+    Such a query would go on with batches without data to evaluate timeouts,
+    and an available-now run of it never end. This run makes none: timeouts are
+    evaluated in the batches that have data. A batch that an earlier run left
+    unfinished is replayed first, and all input after it is still read.
+    """
+    spark = stream.sparkSession
+    old = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
     try:
-        while time.monotonic() < deadline:
-            if not q.isActive:
-                err = q.exception()
-                if err is not None:
-                    raise err
-                break
-            if any(_drained(p) for p in q.recentProgress):
-                break
-            time.sleep(0.2)
-        else:
-            raise TimeoutError(f"stream not drained within {max_wait_s} s")
+        return run_available(stream, sink, checkpoint, output_mode, state_partitions=state_partitions)
     finally:
-        q.stop()
-    return q
-
-
-def _drained(progress: dict) -> bool:
-    srcs = progress.get("sources") or []
-    return progress.get("numInputRows", 1) == 0 and bool(srcs) and all(
-        s.get("startOffset") == s.get("endOffset") for s in srcs
-    )
+        spark.conf.set(NO_DATA_BATCHES, old)
 
 
 def start(
@@ -179,5 +183,5 @@ def start(
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    with _StatePartitions(stream.sparkSession, state_partitions):
+    with state_width(stream.sparkSession, state_partitions):
         return w.trigger(processingTime=processing_time).start()

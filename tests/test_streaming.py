@@ -51,9 +51,9 @@ def test_scoring_stream_state_is_bag(spark):
 
     # b.com is outside the vocabulary: it is not kept in the state
     vocab = spark.createDataFrame([("a.com", 0), ("c.com", 1)], "domain string, idx int")
-    bags = scoring_stream.user_bag_stream(stream, vocab)
+    bags = scoring_stream.user_bag_stream(stream)
     sinks.run_available(bags, sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"))
-    final = sinks.latest(spark, out, ("uid", "idx")).collect()
+    final = sinks.latest(spark, out, ("uid", "domain")).collect()
     got = sorted((r.uid, -1 if r.idx is None else r.idx, r.n) for r in final)
     assert got == [("u1", 0, 2), ("u2", -1, 0)]
 
@@ -99,7 +99,7 @@ def test_stream_scoring_equals_batch_scoring(spark):
     logs.select(F.to_json(F.struct("uid", "visits")).alias("value")).repartition(3).write.text(src)
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
     streamed = scoring_stream.run_to_table(
-        spark, stream, model, staging_path(spark, "t-score-out"), staging_path(spark, "t-score-ck")
+        spark, stream, model, staging_path(spark, "t-score-out"), staging_path(spark, "t-score-ck"), partitions=4
     )
     bags = Mo.domain_bags(V.visit_domains(logs), ("uid",), keep_null_domains=True)
     batch = model.score(bags, ("uid",))
@@ -117,7 +117,7 @@ def test_scoring_stream_resumes_with_state(spark):
 
     def run():
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
-        sinks.run_available(scoring_stream.user_bag_stream(stream, model.vocabulary),
+        sinks.run_available(scoring_stream.user_bag_stream(stream),
                             scoring_stream.scoring_sink(model, out), ck, "update")
 
     for half in (0, 1):  # a user's lines arrive in both halves
@@ -135,7 +135,6 @@ def test_scoring_state_ttl_forgets_idle_users(spark):
 
     from clickmart.streaming import sinks
 
-    vocab = spark.createDataFrame([("a.com", 0)], "domain string, idx int")
     src, out, ck = (staging_path(spark, f"t-ttl-{k}") for k in ("src", "out", "ck"))
 
     def add(uid, n):
@@ -145,7 +144,7 @@ def test_scoring_state_ttl_forgets_idle_users(spark):
 
     def run():
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
-        bags = scoring_stream.user_bag_stream(stream, vocab, state_ttl_ms=1000)
+        bags = scoring_stream.user_bag_stream(stream, state_ttl_ms=1000)
         sinks.run_until_caught_up(bags, sinks.VersionedSink(out), ck)
 
     add("u1", 2)
@@ -155,5 +154,71 @@ def test_scoring_state_ttl_forgets_idle_users(spark):
     run()
     add("u1", 1)
     run()
-    got = {(r.uid, r.n) for r in sinks.latest(spark, out, ("uid", "idx")).collect()}
+    got = {(r.uid, r.n) for r in sinks.latest(spark, out, ("uid", "domain")).collect()}
     assert got == {("u1", 1), ("u2", 1)}  # u1 restarted from an empty bag
+
+
+def _message(uid, *domains):
+    visits = ",".join(f'{{"url":"http://{d}/","timestamp":1}}' for d in domains)
+    return f'{{"uid":"{uid}","visits":[{visits}]}}'
+
+
+def test_retrained_model_reads_an_old_checkpoint(spark):
+    """State holds domains: a model whose vocabulary has another order sees the same bags."""
+    from clickmart.streaming import sinks
+
+    src, out, ck = (staging_path(spark, f"t-retrain-{k}") for k in ("src", "out", "ck"))
+    seen = []
+    for vocabulary, message in (({"a.com": 0, "b.com": 1}, _message("u", "a.com")), ({"b.com": 0, "c.com": 1, "a.com": 2}, _message("u", "c.com", "z.com"))):
+        spark.createDataFrame([(message,)], "value string").coalesce(1).write.mode("append").text(src)
+        vocab = spark.createDataFrame(list(vocabulary.items()), "domain string, idx int")
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        sink = sinks.VersionedSink(out, lambda batch, vocab=vocab: Mo.index_domains(batch, vocab))
+        sinks.run_available(scoring_stream.user_bag_stream(stream), sink, ck)
+        seen.append({(r.domain, r.idx, r.n) for r in sinks.newest(spark, out).collect()})
+    assert seen == [{("a.com", 0, 1)}, {("a.com", 2, 1), ("c.com", 1, 1), ("z.com", None, 1)}]
+
+
+def test_drain_reads_new_input_after_an_unfinished_batch(spark):
+    """A batch that was planned but not committed is replayed, and what came later is still read."""
+    import time as _t
+
+    from clickmart.streaming import sinks
+
+    src, out, ck = (staging_path(spark, f"t-unfinished-{k}") for k in ("src", "out", "ck"))
+
+    def bags():
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        return scoring_stream.user_bag_stream(stream, state_ttl_ms=60_000)
+
+    def add(*uids):
+        spark.createDataFrame([(_message(u, "a.com"),) for u in uids], "value string").coalesce(1).write.mode("append").text(src)
+
+    add("u1")
+    fail = {"on": False}
+
+    def sink(batch, batch_id):
+        if fail["on"] and batch_id > 0:
+            raise RuntimeError("lost")
+        sinks.VersionedSink(out)(batch, batch_id)
+
+    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2)
+    fail["on"] = True
+    q = sinks.start(bags(), sink, ck, processing_time="100 milliseconds", state_partitions=2)  # plans a batch without data, which fails
+    deadline = _t.monotonic() + 60
+    while q.isActive and _t.monotonic() < deadline:
+        _t.sleep(0.2)
+    q.stop()
+    fail["on"] = False
+    add("u2")
+    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2)
+    assert {r.uid for r in sinks.latest(spark, out, ("uid", "domain")).collect()} == {"u1", "u2"}
+
+
+def test_busy_user_is_counted_before_the_shuffle(spark):
+    """A user with a third of all visits sends one row a domain and Arrow batch to the state."""
+    lines = [_message("hot", *["a.com", "b.com"] * 50) for _ in range(20)] + [_message(f"u{i}", "a.com") for i in range(100)]
+    visits = scoring_stream.visit_domain_stream(spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1))
+    counted = visits.mapInArrow(scoring_stream._combine, scoring_stream.BAG_SCHEMA).collect()
+    hot = [r for r in counted if r.uid == "hot"]
+    assert len(hot) == 2 and sum(r.n for r in hot) == 2000 and len(counted) == 102
