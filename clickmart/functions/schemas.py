@@ -41,18 +41,6 @@ DATED_WEBLOG_SCHEMA = T.StructType(WEBLOG_SCHEMA.fields + [T.StructField("date",
 # Labelled web log (training input).
 LABELLED_WEBLOG_SCHEMA = T.StructType(WEBLOG_SCHEMA.fields + [T.StructField("gender_age", T.StringType())])
 
-# Hourly metrics row.
-METRICS_SCHEMA = T.StructType(
-    [
-        T.StructField("start_ts", T.LongType()),
-        T.StructField("end_ts", T.LongType()),
-        T.StructField("revenue", T.LongType()),
-        T.StructField("visitors", T.LongType()),
-        T.StructField("purchases", T.LongType()),
-        T.StructField("aov", T.DoubleType()),
-    ]
-)
-
 # Stepped counter stream rows.
 COUNTER_SCHEMA = T.StructType(
     [T.StructField("id", T.LongType()), T.StructField("foo", T.StringType())]

@@ -28,8 +28,11 @@ def filter_event_type(events: DataFrame, event_type: str) -> DataFrame:
 
 
 def newest_first(events: DataFrame) -> DataFrame:
-    """Events ordered by day key, newest first (a range-partitioned sort)."""
-    return events.orderBy(F.col("date").desc())
+    """Events ordered by day key, newest first (a range-partitioned sort).
+
+    Inside a day the newest come first too, so a day is split over tasks.
+    """
+    return events.orderBy(F.col("date").desc(), F.col("timestamp").desc(), "uid")
 
 
 def distinct_days(events: DataFrame) -> DataFrame:

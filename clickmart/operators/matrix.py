@@ -43,9 +43,8 @@ def user_item_matrix(
     """Wide ``uid, <item_name>...`` counts; absent cells 0 when ``fill``.
 
     The visits are read once, into the long form ``(uid, item_name, n)``.
-    Without ``items`` that long form is checkpointed to the shared folder
-    and Spark finds the item names on it (capped by
-    ``spark.sql.pivotMaxValues``) instead of on the raw visits, so the
+    Without ``items`` that long form is written to the shared folder and the
+    item names are read from it instead of from the raw visits, so the
     discovery does not cost a second pass over the input.
     """
     m = pivot_count(item_rows(visits), "uid", "item_name", items)

@@ -5,11 +5,10 @@
   group-by: one shuffle, partially aggregated per task.
 * A longer list uses Spark's pivot: a partial aggregate on ``(key, value)``,
   then the pivot of that (smaller) result; no discovery job.
-* Without a list the values are found in the data, as the reference does
-  (capped by ``spark.sql.pivotMaxValues``). The rows are first counted into
-  the long form ``(key, value, n)``, which is checkpointed to the shared
-  folder; the discovery and the pivot then read that small table, so the
-  input is read once, not twice.
+* Without a list the values are found in the data. The rows are first
+  counted into the long form ``(key, value, n)``, which is written to the
+  shared folder; the discovery reads its value column and the pivot gets the
+  names as its list, so the input is read once and any number of names works.
 
 In all three an absent cell is NULL.
 """
@@ -22,24 +21,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
-from clickmart.session import shared_root
-
+from clickmart.session import staging_path
 
 SHORT_LIST = 100
 
 
 def pivot_count(
-    df: DataFrame, key: str | Sequence[str], pivot_col: str, values: Sequence[str] | None = None
+    df: DataFrame, key: str | Sequence[str], pivot_col: str, values: Sequence[str] | None = None, weight: str | None = None
 ) -> DataFrame:
-    """Rows per key and value; absent cells are NULL."""
+    """Rows per key and value; absent cells are NULL. Found values are the
+    non-NULL ones, in order; their number is the width of the result. A row
+    counts ``weight`` times if that column is given."""
     keys = [key] if isinstance(key, str) else list(key)
     if values is not None and len(values) <= SHORT_LIST:
         c = F.col(pivot_col)
-        return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, F.lit(1))).alias(str(v)) for v in values])
-    long = df.groupBy(*keys, pivot_col).agg(F.count(F.lit(1)).alias("_n"))
+        one = F.col(weight) if weight else F.lit(1)
+        return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, one)).alias(str(v)) for v in values])
+    long = df.groupBy(*keys, pivot_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     if values is None:
-        shared_root(df.sparkSession)
-        long = long.checkpoint(eager=True)
+        path = staging_path(df.sparkSession, "long")
+        long.write.parquet(path)
+        long = df.sparkSession.read.schema(long.schema).parquet(path)
+        found = long.select(pivot_col).where(F.col(pivot_col).isNotNull()).distinct()
+        values = sorted(r[0] for r in found.toLocalIterator())
     return pivot_sum(long, keys, pivot_col, "_n", values)
 
 
@@ -85,7 +89,7 @@ def hour_fractions(labelled_visits: DataFrame) -> DataFrame:
 
 
 def category_pivot(
-    df: DataFrame, prefix: str, values: Sequence[str] | None = None, clean: bool = True
+    df: DataFrame, prefix: str, values: Sequence[str] | None = None, clean: bool = True, weight: str | None = None
 ) -> DataFrame:
     """``uid, <prefix><category>...``: visits per user and category.
 
@@ -94,10 +98,10 @@ def category_pivot(
     category are dropped. ``values`` are the raw category values.
     """
     name = C.normalize_name("category", prefix) if clean else F.concat(F.lit(prefix), F.col("category"))
-    rows = df.where(F.col("uid").isNotNull() & F.col("category").isNotNull()).select("uid", name.alias("name"))
+    rows = df.where(F.col("uid").isNotNull() & F.col("category").isNotNull()).select("uid", name.alias("name"), *([weight] if weight else []))
     cols = None
     if values is not None:
         cols = [
             (prefix + v.replace("-", "_").replace(" ", "_").lower()) if clean else prefix + v for v in values
         ]
-    return pivot_count(rows, "uid", "name", cols)
+    return pivot_count(rows, "uid", "name", cols, weight)

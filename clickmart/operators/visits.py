@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
+from clickmart.operators.ranking import top_rows
 
 # Fixed value: width of the domain feature (top-N domains).
 TOP_DOMAINS = 1000
-# Broadcast the top-N list only while N is at most this many rows.
-BROADCAST_TOP_MAX = 100_000
 
 
 def flatten_visits(weblogs: DataFrame, keep: tuple[str, ...] = ("uid",)) -> DataFrame:
@@ -71,24 +70,17 @@ def top_domains(visits: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     """The ``n`` most visited domains, returned alphabetically.
 
     Ties on the count are broken by domain so the set is stable. The limit
-    is the feature; it plans as a per-partition top-N then one merge of at
-    most ``n`` rows per partition.
+    is the feature; a cut-off count is found first (``ranking.top_rows``).
     """
-    counts = domain_counts(visits)
-    top = counts.orderBy(F.col("count").desc(), F.col("domain").asc()).limit(n)
-    return top.orderBy("domain")
+    return top_rows(domain_counts(visits), n, "count", "domain").orderBy("domain")
 
 
-def visits_to_top_domains(visits: DataFrame, top: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
+def visits_to_top_domains(visits: DataFrame, top: DataFrame) -> DataFrame:
     """Visits whose domain is in ``top`` (left semi join).
 
-    ``top`` has at most ``n`` rows by construction; it is broadcast only
-    when ``n`` is within ``BROADCAST_TOP_MAX``, otherwise it shuffles.
+    Whether the list is broadcast is left to AQE, which knows its size.
     """
-    keys = top.select("domain")
-    if n <= BROADCAST_TOP_MAX:
-        keys = F.broadcast(keys)
-    return visits.join(keys, "domain", "left_semi")
+    return visits.join(top.select("domain"), "domain", "left_semi")
 
 
 def user_domain_counts(visits: DataFrame, keys: tuple[str, ...] = ("uid",)) -> DataFrame:

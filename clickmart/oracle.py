@@ -92,9 +92,7 @@ CTE = {
            strftime(ts, '%Y%m%d') AS date,
            date_diff('day', (SELECT min(ts)::DATE FROM events), ts::DATE) AS day_index
     FROM shop_events
-    WHERE event_type IN ('view', 'buy')
-      AND NOT (event_type = 'view'
-               AND date_diff('day', (SELECT min(ts)::DATE FROM events), ts::DATE) = 1))""",
+    WHERE event_type IN ('view', 'buy'))""",
     "item_rows": """
   item_rows AS (
     SELECT uid, event_type || '_' || lower(replace(replace(item_id, '-', '_'), ' ', '_')) AS item_name, day_index, date

@@ -9,46 +9,44 @@ domain and a matrix row (inner joins).
 Plan: visits are pre-aggregated once to ``(uid, domain, weekday, hour)``
 counts; the time features, the domain counts and the top-N list are all
 derived from that one aggregate (its shuffle is reused, not recomputed).
-The top-N vocabulary is at most N rows: it is broadcast and turned into
-an array by a scalar subquery, and each user's dense feature array is
-built from a map with at most N entries. No per-row Python.
+Weekday and hour are small integers in the aggregate; their names, and the
+work and evening flags that follow from the hour, come after it. The top-N
+list carries each domain's place, and a user's dense array is laid out from
+its sorted (place, count) entries and the zeros between them. No Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
 from clickmart.operators import visits as V
+from clickmart.operators.ranking import top_rows
 
 TOP_DOMAINS = V.TOP_DOMAINS
 
 
 def visit_cube(weblogs: DataFrame) -> DataFrame:
-    """``uid, domain, web_week_day, web_hour, work_hours, evening_hours, n``."""
-    clean = V.clean_visits(weblogs)
-    keys = ["uid", "domain", "web_week_day", "web_hour", "work_hours", "evening_hours"]
-    return clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """``uid, domain, day, hour, n``: known users' visits by weekday (0 = Monday) and hour."""
+    v = V.with_domain(V.flatten_visits(weblogs)).where(F.col("domain").isNotNull() & F.col("uid").isNotNull())
+    ts = C.millis_to_ts("timestamp")
+    v = v.select("uid", "domain", F.weekday(ts).cast("tinyint").alias("day"), F.hour(ts).cast("tinyint").alias("hour"))
+    return v.groupBy("uid", "domain", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
 def time_features(cube: DataFrame) -> DataFrame:
     """Weekday and hour counts (0 when none) and work/evening fractions."""
-    n = F.col("n")
-    day_cols = [
-        F.coalesce(F.sum(F.when(F.col("web_week_day") == c, n)), F.lit(0)).cast("long").alias(c)
-        for c in C.WEEKDAY_COLUMNS
-    ]
-    hour_cols = [
-        F.coalesce(F.sum(F.when(F.col("web_hour") == c, n)), F.lit(0)).cast("long").alias(c)
-        for c in C.HOUR_COLUMNS
-    ]
+
+    def total(where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0)).cast("long")
+
     agg = cube.groupBy("uid").agg(
-        *day_cols,
-        *hour_cols,
-        F.sum(F.col("work_hours") * n).alias("_work"),
-        F.sum(F.col("evening_hours") * n).alias("_evening"),
-        F.sum(n).alias("_total"),
+        *[total(F.col("day") == i).alias(c) for i, c in enumerate(C.WEEKDAY_COLUMNS)],
+        *[total(F.col("hour") == i).alias(c) for i, c in enumerate(C.HOUR_COLUMNS)],
+        total(C.in_hours(F.col("hour"), C.WORK_HOURS) == 1).alias("_work"),
+        total(C.in_hours(F.col("hour"), C.EVENING_HOURS) == 1).alias("_evening"),
+        F.sum("n").alias("_total"),
     )
     return agg.select(
         "uid",
@@ -60,34 +58,35 @@ def time_features(cube: DataFrame) -> DataFrame:
 
 
 def top_domain_list(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
-    """``domain, count`` of the ``n`` most visited domains, alphabetical."""
+    """``domain, place`` of the ``n`` most visited domains, in alphabetical order."""
     counts = cube.groupBy("domain").agg(F.sum("n").alias("count"))
-    return counts.orderBy(F.col("count").desc(), F.col("domain").asc()).limit(n).orderBy("domain")
+    # At most n rows: numbering them in one ordered window is bounded.
+    place = F.row_number().over(Window.orderBy("domain")) - 1
+    return top_rows(counts, n, "count", "domain").select("domain", place.alias("place"))
 
 
 def domain_feature_array(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     """``uid, domain_features array<double>`` over the top-``n`` domains.
 
     Equal to a count vectoriser fitted on the users' top-domain lists with
-    its vector reordered alphabetically. Users without a top domain are
+    its vocabulary in alphabetical order. Users without a top domain are
     absent.
     """
     top = top_domain_list(cube, n)
-    vocab = top.select(F.array_sort(F.collect_list("domain"))).scalar()
     per_domain = cube.groupBy("uid", "domain").agg(F.sum("n").alias("n"))
     # An inner join with the (unique, at most n) top domains keeps the same
     # rows as a semi join, but is not pushed below the aggregate: the visit
     # aggregate's shuffle stays shared with the other feature branches.
-    keys = top.select("domain")
-    kept = per_domain.join(F.broadcast(keys) if n <= V.BROADCAST_TOP_MAX else keys, "domain")
-    per_user = kept.groupBy("uid").agg(
-        F.map_from_entries(F.collect_list(F.struct("domain", F.col("n").cast("double")))).alias("m")
-    )
-    # The vocabulary is projected as a column first: a subquery may not sit
-    # inside a higher-order function's arguments.
-    per_user = per_user.withColumn("vocab", vocab)
-    features = F.transform("vocab", lambda d: F.coalesce(F.try_element_at(F.col("m"), d), F.lit(0.0)))
-    return per_user.select("uid", features.alias("domain_features"))
+    kept = per_domain.join(top, "domain")
+    entry = F.struct("place", F.col("n").cast("double").alias("n"))
+    per_user = kept.groupBy("uid").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    per_user = per_user.withColumn("width", top.select(F.count(F.lit(1))).scalar())
+    e = F.col("e")
+    before = F.transform(e, lambda x, i: x["place"] - F.when(i == 0, 0).otherwise(F.get(e, i - 1)["place"] + 1))
+    per_user = per_user.withColumn("gaps", before)
+    cells = F.transform(e, lambda x, i: F.concat(F.array_repeat(F.lit(0.0), F.get(F.col("gaps"), i)), F.array(x["n"])))
+    tail = F.array_repeat(F.lit(0.0), (F.col("width") - F.element_at(e, -1)["place"] - 1).cast("int"))
+    return per_user.select("uid", F.concat(F.flatten(cells), tail).alias("domain_features"))
 
 
 def user_features(weblogs: DataFrame, item_matrix: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import oracle as O
@@ -22,7 +22,7 @@ from clickmart.plans import features, mart, matrix_job, model, split
 from clickmart.session import prepare, staging_path
 from clickmart.sources import derived as D
 from clickmart.sources import files
-from clickmart.streaming import metrics_stream, scoring_stream
+from clickmart.streaming import metrics_stream, scoring_stream, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,11 +104,45 @@ def _sql(ctes: list[str], extra: str, body: str) -> str:
     return base.rstrip("\n") + extra + "\n" + body
 
 
-def matrix_sql(where: str = "TRUE") -> str:
-    return (
-        "SELECT uid, CAST(COALESCE(COLUMNS(* EXCLUDE (uid)), 0) AS BIGINT) FROM "
-        f"(PIVOT (SELECT uid, item_name FROM item_rows WHERE {where}) ON item_name USING count(*) GROUP BY uid)"
-    )
+def item_cells_sql(where: str = "TRUE") -> str:
+    """Non-zero cells of a zero-filled item matrix, with each row's width, zeros and nulls."""
+    return f"""
+SELECT c.uid, c.item_name, c.n, w.width, w.width - count(*) OVER (PARTITION BY c.uid) AS zeros, CAST(0 AS BIGINT) AS nulls
+FROM (SELECT uid, item_name, count(*) AS n FROM item_rows WHERE {where} GROUP BY uid, item_name) c,
+     (SELECT count(DISTINCT item_name) AS width FROM item_rows WHERE {where}) w"""
+
+
+def union_cells_sql() -> str:
+    """The same of both parts' matrices under one another: items of the other part only are NULL."""
+    return """
+SELECT c.uid, c.item_name, c.n, w.width, p.own - count(*) OVER (PARTITION BY c.uid, c.part) AS zeros, w.width - p.own AS nulls
+FROM (SELECT uid, item_name, day_index < 2 AS part, count(*) AS n FROM item_rows GROUP BY ALL) c
+JOIN (SELECT day_index < 2 AS part, count(DISTINCT item_name) AS own FROM item_rows GROUP BY 1) p ON p.part = c.part,
+     (SELECT count(DISTINCT item_name) AS width FROM item_rows) w"""
+
+
+def found_cells_sql(rows_sql: str) -> str:
+    """Cells of a pivot whose columns are found in the data."""
+    return f"""
+SELECT uid, name, n, width, width - count(*) OVER (PARTITION BY uid) AS nulls
+FROM (SELECT uid, name, count(*) AS n FROM ({rows_sql}) GROUP BY uid, name), (SELECT count(DISTINCT name) AS width FROM ({rows_sql}))"""
+
+
+def _cells(df: DataFrame, names: list[str], keep) -> tuple[Column, Column, Column]:
+    """The kept cells of a wide row as sorted structs of column name and value, and how many are zero and NULL."""
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("long").alias("n")) for c in names])
+    zeros = F.size(F.filter(cells, lambda x: x["n"] == 0)).cast("long")
+    nulls = F.size(F.filter(cells, lambda x: x["n"].isNull())).cast("long")
+    return F.array_sort(F.filter(cells, lambda x: keep(x["n"]))), zeros, nulls
+
+
+def cells_of(df: DataFrame, name: str = "item_name") -> DataFrame:
+    """A wide matrix as its non-zero, non-NULL cells, with width, zeros and nulls of the row each is from."""
+    names = [c for c in df.columns if c != "uid"]
+    cells, zeros, nulls = _cells(df, names, lambda n: n.isNotNull() & (n != 0))
+    rows = df.select("uid", cells.alias("cells"), zeros.alias("zeros"), nulls.alias("nulls"))
+    rows = rows.select("uid", F.explode("cells").alias("cell"), "zeros", "nulls")
+    return rows.select("uid", F.col("cell.name").alias(name), F.col("cell.n").alias("n"), F.lit(len(names)).cast("long").alias("width"), "zeros", "nulls")
 
 
 # ---------------------------------------------------------------- columns
@@ -184,7 +218,7 @@ def q_normalize_names(spark, sf_dir):
 @register("flatten_visits", O.with_ctes(["visits"], "SELECT uid, url, timestamp FROM visits"))
 def q_flatten_visits(spark, sf_dir):
     """One row per visit; NULL/empty visit lists give no row."""
-    return visits.flatten_visits(D.weblogs(spark, sf_dir))
+    return visits.flatten_visits(D.weblogs(spark, sf_dir, grouped=True))
 
 
 @register("visit_domains", O.with_ctes(["visit_domains"], "SELECT uid, domain FROM visit_domains"))
@@ -406,24 +440,32 @@ FEATURES_SQL = _sql(
            CAST(sum(work_hours) AS DOUBLE) / count(*) AS web_fraction_work_hours,
            CAST(sum(evening_hours) AS DOUBLE) / count(*) AS web_fraction_evening_hours
     FROM clean_visits GROUP BY uid)""",
-    f"SELECT * FROM dfeat JOIN tfeat USING (uid) JOIN ({matrix_sql()}) matrix USING (uid)",
+    f"""SELECT * FROM dfeat JOIN tfeat USING (uid)
+JOIN (SELECT uid, list_sort(list({{'name': item_name, 'n': n}})) AS items, any_value(width) AS width, any_value(zeros) AS zeros, any_value(nulls) AS nulls
+      FROM ({item_cells_sql()}) GROUP BY uid) m USING (uid)""",
 )
 
 
 @register("user_features", FEATURES_SQL)
 def q_user_features(spark, sf_dir):
-    """Feature table = domain counts x time features x item matrix."""
+    """Feature table = domain counts x time features x item matrix.
+
+    The item columns come back as the row's sorted non-zero cells."""
     m = matrix.user_item_matrix(D.split_visits(spark, sf_dir))
-    return features.user_features(D.weblogs(spark, sf_dir), m)
+    names = [c for c in m.columns if c != "uid"]
+    wide = features.user_features(D.weblogs(spark, sf_dir), m)
+    cells, zeros, nulls = _cells(wide, names, lambda n: n.isNotNull() & (n != 0))
+    fixed = [c for c in wide.columns if c not in set(names)]
+    return wide.select(*fixed, cells.alias("items"), F.lit(len(names)).cast("long").alias("width"), zeros.alias("zeros"), nulls.alias("nulls"))
 
 
 # ---------------------------------------------------------------- item matrix
 
 
-@register("user_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
+@register("user_item_matrix", O.with_ctes(["item_rows"], item_cells_sql()))
 def q_user_item_matrix(spark, sf_dir):
     """A3: user x item view/buy counts, item list found by Spark, 0-filled."""
-    return matrix.user_item_matrix(D.split_visits(spark, sf_dir))
+    return cells_of(matrix.user_item_matrix(D.split_visits(spark, sf_dir)))
 
 
 @register("latest_day", O.with_ctes(["split_visits"], "SELECT max(date) AS max_date FROM split_visits"))
@@ -446,17 +488,14 @@ def q_distinct_items(spark, sf_dir):
 
 @register(
     "union_matrices",
-    O.with_ctes(
-        ["item_rows"],
-        f"({matrix_sql('day_index >= 2')}) UNION ALL BY NAME ({matrix_sql('day_index < 2')})",
-    ),
+    O.with_ctes(["item_rows"], union_cells_sql()),
 )
 def q_union_matrices(spark, sf_dir):
     """Union of two matrices with different item columns."""
     sv = D.split_visits(spark, sf_dir)
     a = matrix.user_item_matrix(sv.where(F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY))
     b = matrix.user_item_matrix(sv.where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY))
-    return matrix.union_matrices(a, b)
+    return cells_of(matrix.union_matrices(a, b))
 
 
 @register(
@@ -532,19 +571,19 @@ FROM customer""",
 def q_scan_weblogs_json(spark, sf_dir):
     """Web logs written as JSON lines and read back (fixed schema)."""
     out = staging_path(spark, "weblogs")
-    files.write_json(D.weblogs(spark, sf_dir), out)
+    files.write_json(D.weblogs(spark, sf_dir, grouped=True), out)
     w = files.read_weblogs(spark, out, DATED_WEBLOG_SCHEMA)
     return w.select("uid", "date", F.array_sort("visits").alias("visits"))
 
 
-@register("snapshot_roundtrip", O.with_ctes(["item_rows"], matrix_sql()))
+@register("snapshot_roundtrip", O.with_ctes(["item_rows"], item_cells_sql()))
 def q_snapshot_roundtrip(spark, sf_dir):
     """K4/S3: matrix written as a dated parquet snapshot and read back."""
     sv = D.split_visits(spark, sf_dir)
     out = staging_path(spark, "matrix")
     day = matrix.latest_day(sv).first()[0]
     path = matrix.write_snapshot(matrix.user_item_matrix(sv), out, day)
-    return files.read_parquet(spark, path)
+    return cells_of(files.read_parquet(spark, path))
 
 
 def _write_earlier_snapshot(spark, sf_dir):
@@ -555,27 +594,24 @@ def _write_earlier_snapshot(spark, sf_dir):
     return out
 
 
-@register("previous_snapshot", O.with_ctes(["item_rows"], matrix_sql("day_index < 2")))
+@register("previous_snapshot", O.with_ctes(["item_rows"], item_cells_sql("day_index < 2")))
 def q_previous_snapshot(spark, sf_dir):
     """Newest snapshot strictly older than the current day."""
     out = _write_earlier_snapshot(spark, sf_dir)
     current = matrix.latest_day(D.split_visits(spark, sf_dir)).first()[0]
-    return matrix.previous_snapshot(spark, out, current)
+    return cells_of(matrix.previous_snapshot(spark, out, current))
 
 
 @register(
     "carry_over_matrix",
-    O.with_ctes(
-        ["item_rows"],
-        f"({matrix_sql('day_index >= 2')}) UNION ALL BY NAME ({matrix_sql('day_index < 2')})",
-    ),
+    O.with_ctes(["item_rows"], union_cells_sql()),
 )
 def q_carry_over_matrix(spark, sf_dir):
     """Current matrix plus the previous snapshot, written and read back."""
     out = _write_earlier_snapshot(spark, sf_dir)
     inp = _write_split_visits(spark, sf_dir, "visits-current", F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY)
     path = matrix_job.users_items(spark, inp, out, update=True)
-    return files.read_parquet(spark, path)
+    return cells_of(files.read_parquet(spark, path))
 
 
 def _json_field(name: str, nullable: bool = True) -> str:
@@ -644,33 +680,50 @@ def q_train_test_split(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    """Train, save, load back: the scorers use the loaded model."""
-    m, test_pred = model.train(_labelled_bags(spark, sf_dir))
+    """Train, save, load back: the scorers use the loaded model. Also the test predictions and the bags, which are written once."""
+    bags = files.read_parquet(spark, files.write_parquet(_labelled_bags(spark, sf_dir), staging_path(spark, "bags")))
+    m, test_pred = model.train(bags)
     path = staging_path(spark, "model")
     m.save(path)
-    return model.DomainModel.load(spark, path), test_pred
+    return model.DomainModel.load(spark, path), test_pred, bags
 
 
-@register("model_accuracy")
+def _is_label(m: model.DomainModel) -> Column:
+    """Whether the predicted label is one the model was fitted on."""
+    return F.coalesce(F.col(model.LABEL).isin(m.labels), F.lit(False)).alias("fitted_label")
+
+
+@register(
+    "model_accuracy",
+    _sql(
+        ["clean_visits", "clients_banded"],
+        LABEL_USERS_CTE,
+        """SELECT gender_age, count(*) AS n_test, TRUE AS equals_evaluator FROM users
+WHERE ('0x' || substr(md5(uid || ':' || '123456789'), 1, 8))::BIGINT % 100 >= 70 GROUP BY gender_age""",
+    ),
+)
 def q_model_accuracy(spark, sf_dir):
-    """M4/M7: accuracy of the classifier on the 30% test share."""
-    _, pred = _trained(spark, sf_dir)
-    return model.accuracy(pred)
+    """M4/M7: test users per actual label, and whether the accuracy on the 30% test share is the evaluator's."""
+    _, pred, _ = _trained(spark, sf_dir)
+    same = abs(model.accuracy(pred).first().accuracy - model.evaluator_accuracy(pred)) < 1e-9
+    return pred.groupBy(model.LABEL).agg(F.count(F.lit(1)).alias("n_test")).withColumn("equals_evaluator", F.lit(same))
 
 
-@register("train_score_roundtrip")
+@register(
+    "train_score_roundtrip",
+    _sql(["clean_visits", "clients_banded"], LABEL_USERS_CTE, "SELECT uid, TRUE AS fitted_label FROM users"),
+)
 def q_train_score_roundtrip(spark, sf_dir):
     """Fit, save, load, score every labelled user."""
-    loaded, _ = _trained(spark, sf_dir)
-    bags = _labelled_bags(spark, sf_dir).drop(model.LABEL)
-    return loaded.score(bags, ("uid",))
+    loaded, _, bags = _trained(spark, sf_dir)
+    return loaded.score(bags.drop(model.LABEL), ("uid",)).select("uid", _is_label(loaded))
 
 
-@register("score_users_by_day")
+@register("score_users_by_day", O.with_ctes(["visits"], "SELECT DISTINCT uid, date, TRUE AS fitted_label FROM visits"))
 def q_score_users_by_day(spark, sf_dir):
-    """Predicted gender/age per user and day from dated web logs."""
-    loaded, _ = _trained(spark, sf_dir)
-    return model.score_by_day(loaded, D.weblogs(spark, sf_dir))
+    """Predicted gender/age per user and day from dated web logs (users without a usable domain too)."""
+    loaded, _, _ = _trained(spark, sf_dir)
+    return model.score_by_day(loaded, D.weblogs(spark, sf_dir)).select("uid", "date", _is_label(loaded))
 
 
 # ---------------------------------------------------------------- streams
@@ -694,37 +747,56 @@ def q_stream_hourly_metrics(spark, sf_dir):
     )
 
 
-@register("stream_score_users")
+@register("stream_score_users", O.with_ctes(["visits"], "SELECT DISTINCT uid, TRUE AS same_as_batch FROM visits"))
 def q_stream_score_users(spark, sf_dir):
-    """Per-user state updated from a web-log stream, re-scored on change."""
-    loaded, _ = _trained(spark, sf_dir)
-    logs = D.weblogs(spark, sf_dir).select(F.to_json(F.struct("uid", "visits")).alias("value"))
-    src = _stage_text(spark, logs, "weblog-messages")
+    """Per-user state updated from a web-log stream, re-scored on change; compared with batch scoring."""
+    loaded, _, _ = _trained(spark, sf_dir)
+    logs = D.weblogs(spark, sf_dir)
+    messages = logs.select(F.to_json(F.struct("uid", "visits")).alias("value"))
+    src = _stage_text(spark, messages, "weblog-messages")
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
-    return scoring_stream.run_to_table(
-        spark, stream, loaded, staging_path(spark, "score-out"), staging_path(spark, "score-ckpt")
+    streamed = scoring_stream.run_to_table(
+        spark, stream, loaded, staging_path(spark, "score-out"), staging_path(spark, "score-ckpt"),
+        partitions=int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
+    bags = model.domain_bags(visits.visit_domains(logs), ("uid",), keep_null_domains=True)
+    batch = loaded.score(bags, ("uid",)).withColumnRenamed(model.LABEL, "batch_label")
+    both = streamed.select("uid", model.LABEL).join(batch, "uid", "full")
+    return both.select("uid", F.col(model.LABEL).eqNullSafe(F.col("batch_label")).alias("same_as_batch"))
+
+
+TYPE_COUNTS_SQL = O.with_ctes(
+    ["shop_events"],
+    """
+SELECT upper(event_type) AS event_type, count(*) AS n FROM shop_events GROUP BY 1
+UNION ALL SELECT NULL, 1""",
+)
+
+
+@register("stream_type_counts", TYPE_COUNTS_SQL)
+def q_stream_type_counts(spark, sf_dir):
+    """Events per type as a stream in complete mode, upper-cased in the sink
+    (the malformed message counts as the NULL type); the last batch is the final table."""
+    src = _stage_text(spark, D.event_messages(spark, sf_dir), "type-messages")
+    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    counts = E.decode_events(stream).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = staging_path(spark, "type-counts")
+    sink = sinks.VersionedSink(out, lambda batch: batch.withColumn("event_type", F.upper("event_type")))
+    sinks.run_available(counts, sink, staging_path(spark, "type-ckpt"), "complete", state_partitions=metrics_stream.STATE_PARTITIONS)
+    return sinks.newest(spark, out).select("event_type", "n")
 
 
-@register("scan_item_matrix", O.with_ctes(["item_rows"], matrix_sql()))
+@register("scan_item_matrix", O.with_ctes(["item_rows"], item_cells_sql()))
 def q_scan_item_matrix(spark, sf_dir):
     """S3: the matrix job's parquet output read back (no carry-over)."""
     inp = _write_split_visits(spark, sf_dir, "visits-all")
     path = matrix_job.users_items(spark, inp, staging_path(spark, "users-items-all"), update=False)
-    return files.read_parquet(spark, path)
+    return cells_of(files.read_parquet(spark, path))
 
 
 # ---------------------------------------------------------------- pivots with values found by Spark
 
 
-def _found_pivot_sql(rows_sql: str) -> str:
-    """Dynamic pivot (columns = the values present); absent cells NULL."""
-    return (
-        "(SELECT uid, CAST(COLUMNS(* EXCLUDE (uid)) AS BIGINT) FROM "
-        f"(PIVOT ({rows_sql}) ON name USING sum(1) GROUP BY uid))"
-    )
-
-
 SHOP_ROWS_SQL = (
     "SELECT uid, 'shop_' || lower(replace(replace(category, '-', '_'), ' ', '_')) AS name "
     "FROM shop_visits WHERE uid IS NOT NULL AND category IS NOT NULL"
@@ -732,19 +804,20 @@ SHOP_ROWS_SQL = (
 WEB_ROWS_SQL = "SELECT uid, 'web_' || category AS name FROM web_rows WHERE category IS NOT NULL"
 
 
-@register("shop_category_pivot_found", O.with_ctes(["shop_visits"], "SELECT * FROM " + _found_pivot_sql(SHOP_ROWS_SQL)))
+def _non_null_cells(df: DataFrame, name: str = "name") -> DataFrame:
+    return cells_of(df, name).drop("zeros")
+
+
+@register("shop_category_pivot_found", O.with_ctes(["shop_visits"], found_cells_sql(SHOP_ROWS_SQL)))
 def q_shop_category_pivot_found(spark, sf_dir):
-    """A2: user x shop category, the category list found by Spark."""
-    return mart.shop_pivot(D.shop_visits(spark, sf_dir))
+    """A2: user x shop category, the category list found by Spark (as non-NULL cells)."""
+    return _non_null_cells(mart.shop_pivot(D.shop_visits(spark, sf_dir)))
 
 
-@register(
-    "web_category_pivot_found",
-    _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE, "SELECT * FROM " + _found_pivot_sql(WEB_ROWS_SQL)),
-)
+@register("web_category_pivot_found", _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE, found_cells_sql(WEB_ROWS_SQL)))
 def q_web_category_pivot_found(spark, sf_dir):
-    """A2: user x web category, the category list found by Spark."""
-    return mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
+    """A2: user x web category, the category list found by Spark (as non-NULL cells)."""
+    return _non_null_cells(mart.web_pivot(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir)))
 
 
 @register(
@@ -752,19 +825,23 @@ def q_web_category_pivot_found(spark, sf_dir):
     _sql(
         ["clients_banded", "shop_visits", "visit_domains", "domain_cats"],
         "," + WEB_ROWS_CTE,
-        "SELECT * EXCLUDE (age) FROM clients_banded "
-        f"LEFT JOIN {_found_pivot_sql(SHOP_ROWS_SQL)} s USING (uid) "
-        f"LEFT JOIN {_found_pivot_sql(WEB_ROWS_SQL)} w USING (uid)",
+        f"""
+SELECT c.uid, c.gender, c.age_cat, coalesce(m.counts, []) AS counts
+FROM clients_banded c LEFT JOIN (
+  SELECT uid, list_sort(list({{'name': name, 'n': n}})) AS counts
+  FROM (SELECT uid, name, count(*) AS n FROM ({SHOP_ROWS_SQL} UNION ALL {WEB_ROWS_SQL}) GROUP BY uid, name) GROUP BY uid) m USING (uid)""",
     ),
 )
 def q_customer_mart_found(spark, sf_dir):
-    """C1 as the reference runs it: both pivots find their own columns."""
-    return mart.customer_mart(
+    """C1 as the reference runs it: both pivots find their own columns (as each client's non-NULL cells)."""
+    wide = mart.customer_mart(
         D.clients(spark, sf_dir),
         D.shop_visits(spark, sf_dir),
         D.weblogs(spark, sf_dir),
         D.domain_categories(spark, sf_dir),
     )
+    cells, _, _ = _cells(wide, [c for c in wide.columns if c not in ("uid", "gender", "age_cat")], lambda n: n.isNotNull())
+    return wide.select("uid", "gender", "age_cat", cells.alias("counts"))
 
 
 COUNT_VECTORS_SQL = _sql(
@@ -777,18 +854,15 @@ COUNT_VECTORS_SQL = _sql(
   vocab AS (
     SELECT domain, row_number() OVER (ORDER BY sum(n) DESC, domain) - 1 AS idx
     FROM bags GROUP BY domain)""",
-    """SELECT u.uid, list(CAST(coalesce(b.n, 0) AS DOUBLE) ORDER BY v.idx) AS features
-FROM (SELECT DISTINCT uid FROM bags) u CROSS JOIN vocab v
-LEFT JOIN bags b ON b.uid = u.uid AND b.domain = v.domain
-GROUP BY u.uid""",
+    "SELECT b.uid, CAST(v.idx AS INTEGER) AS idx, CAST(b.n AS DOUBLE) AS n FROM bags b JOIN vocab v ON v.domain = b.domain",
 )
 
 
 @register("count_vectors", COUNT_VECTORS_SQL)
 def q_count_vectors(spark, sf_dir):
     """M1: labelled users' term-count vectors over the fitted vocabulary."""
-    from pyspark.ml.functions import vector_to_array
-
     bags = _labelled_bags(spark, sf_dir).drop(model.LABEL)
     vec = model.vectorize(bags, model.fit_vocabulary(bags), ("uid",))
-    return vec.select("uid", vector_to_array("features").alias("features"))
+    # The vector as its entries: a dense array would be as wide as the vocabulary for every user.
+    parts = vec.select("uid", F.from_json(F.to_json(F.struct("features")), "features struct<indices: array<int>, values: array<double>>").alias("f"))
+    return parts.select("uid", F.explode(F.arrays_zip("f.features.indices", "f.features.values")).alias("e")).select("uid", F.col("e.indices").alias("idx"), F.col("e.values").alias("n"))

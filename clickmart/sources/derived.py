@@ -19,7 +19,6 @@ Fixed values (the derivation rules, as documented in FIXTURES.md):
   event item_price   = round(value); event_type 'purchase' is renamed 'buy'
   event uid          = NULL when event_id % 13 = 0
   edge web-log rows  = one more line per customer: empty visit list when c_custkey % 2 = 0, else NULL
-  split-visit edge   = the views of day index 1 (second day of the data) are removed
   snapshot ranges    = day index < 2 (earlier snapshot), >= 2 (current)
 """
 
@@ -41,7 +40,6 @@ MALFORMED_MESSAGE = '{"event_type": "buy", "item_price": '
 # consecutive event ids, so no web-log row (array) grows with the data.
 VISIT_CHUNK = 4096
 SNAPSHOT_SPLIT_DAY = 2
-REMOVED_VIEW_DAY = 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,19 +114,22 @@ def visit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weblogs(spark: SparkSession, sf_dir: str, grouped: bool = False) -> DataFrame:
     """``uid, date, visits array<struct<url, timestamp>>``.
 
-    Lines are per user, day and chunk of event ids (bounded arrays); every
-    customer adds one more line whose visit list is empty (even key) or NULL
-    (odd key), which flattening must drop.
+    A line has one visit, which costs no shuffle; with ``grouped``, all visits
+    of a user, day and chunk of event ids (bounded arrays). Every customer adds
+    one more line whose visit list is empty (even key) or NULL (odd key), which
+    flattening must drop.
     """
     v = visit_rows(spark, sf_dir)
-    chunk = F.expr(f"event_id div {VISIT_CHUNK}")
-    nested = v.groupBy("uid", "date", chunk.alias("chunk")).agg(
-        F.collect_list(F.struct("url", "timestamp")).alias("visits")
-    )
-    nested = nested.select("uid", "date", "visits")
+    visit = F.struct("url", "timestamp")
+    if grouped:
+        chunk = F.expr(f"event_id div {VISIT_CHUNK}")
+        nested = v.groupBy("uid", "date", chunk.alias("chunk")).agg(F.collect_list(visit).alias("visits"))
+        nested = nested.select("uid", "date", "visits")
+    else:
+        nested = v.select("uid", "date", F.array(visit).alias("visits"))
     c = table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     empty = F.array().cast(T.ArrayType(VISIT_STRUCT))
@@ -184,10 +185,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F6 rows: views and buys with ``date``; the views of day 1 removed."""
+    """F6 rows: all views and buys with ``date`` and ``day_index``."""
     ev = shop_events(spark, sf_dir, raw_types=("view", RAW_BUY))
     day = _day_index(spark, sf_dir, F.col("ts"))
-    ev = ev.where(~((F.col("event_type") == "view") & (day == REMOVED_VIEW_DAY)))
     return ev.select(
         *[f.name for f in EVENT_SCHEMA.fields],
         C.day_key(C.millis_to_ts("timestamp")).alias("date"),

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from clickmart.functions.schemas import VISIT_FILE_SCHEMA, WEBLOG_SCHEMA
 
 SPLIT_COLUMNS = ("event_type", "date")
+# Fixed value: Spark's folder name for a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -75,7 +77,8 @@ def partition_values(spark: SparkSession, path: str, column: str, depth: int = 2
     """Values of a ``column=value`` folder level under ``path`` (metadata only).
 
     Looks ``depth`` levels down; e.g. the days of a type/day split. Returns
-    a sorted list (empty when the folder does not exist).
+    a sorted list (empty when the folder does not exist). The folder of NULL
+    values is no value, as ``max`` ignores NULL.
     """
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -91,7 +94,9 @@ def partition_values(spark: SparkSession, path: str, column: str, depth: int = 2
                     continue
                 name = st.getPath().getName()
                 if name.startswith(column + "="):
-                    found.add(name[len(column) + 1:])
+                    value = name[len(column) + 1:]
+                    if value != NULL_FOLDER:
+                        found.add(value)
                 else:
                     nxt.append(st.getPath())
         level = nxt

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from clickmart.operators import events as E
 from clickmart.plans import split
-from clickmart.session import local_path, staging_path
+from clickmart.session import staging_path
 from clickmart.sources import files
 
 
@@ -31,8 +31,8 @@ def test_split_writes_every_day_of_every_type(spark):
     out = staging_path(spark, "t-split")
     split.split_events(_msgs(spark), out)
     parts = sorted(
-        os.path.relpath(d, local_path(out))
-        for d, _, fs in os.walk(local_path(out)) if any(f.endswith(".json") for f in fs)
+        os.path.relpath(d, out.removeprefix("file:"))
+        for d, _, fs in os.walk(out.removeprefix("file:")) if any(f.endswith(".json") for f in fs)
     )
     assert parts == ["event_type=buy/date=20240101", "event_type=buy/date=20240102", "event_type=view/date=20240101"]
     back = files.read_split_events(spark, out)

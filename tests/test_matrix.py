@@ -93,3 +93,30 @@ def test_snapshot_uid_lookup_is_pushed(spark):
     assert "PushedFilters: [IsNotNull(uid), EqualTo(uid,u7)]" in q._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert q.first().view_a == 7
+
+
+def test_event_without_timestamp_does_not_name_the_snapshot(spark):
+    from clickmart.plans import matrix_job
+    from clickmart.sources import files
+
+    cols = "event_type string, category string, item_id string, item_price long, uid string, timestamp long, date string"
+    rows = [("view", "c", "A", 1, "u1", 1704067200000, "20240101"), ("buy", "c", "A", 1, "u1", None, None)]
+    inp, out = staging_path(spark, "t-null-day"), staging_path(spark, "t-null-day-out")
+    files.write_split_events(spark.createDataFrame(rows, cols), inp)
+    path = matrix_job.users_items(spark, inp, out)
+    assert path.endswith("/20240101") and X.snapshot_days(spark, out) == ["20240101"]
+    assert spark.read.parquet(path).first().asDict() == {"uid": "u1", "view_a": 1, "buy_a": 1}
+
+
+def test_day_with_buys_only(spark):
+    """A day folder may be missing for one type: the matrix has both types' columns all the same."""
+    from clickmart.plans import matrix_job
+    from clickmart.sources import files
+
+    cols = "event_type string, category string, item_id string, item_price long, uid string, timestamp long, date string"
+    rows = [("view", "c", "A", 1, "u1", 1704067200000, "20240101"), ("buy", "c", "B", 1, "u2", 1704153600000, "20240102")]
+    inp = staging_path(spark, "t-buy-day")
+    files.write_split_events(spark.createDataFrame(rows, cols), inp)
+    path = matrix_job.users_items(spark, inp, staging_path(spark, "t-buy-day-out"))
+    assert path.endswith("/20240102")
+    assert {r.uid: (r.view_a, r.buy_b) for r in spark.read.parquet(path).collect()} == {"u1": (1, 0), "u2": (0, 1)}

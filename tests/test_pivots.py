@@ -42,3 +42,9 @@ def test_weekday_pivot_fixed_columns(spark):
     p = P.weekday_pivot(with_time_labels(df))
     assert p.columns == ["uid"] + C.WEEKDAY_COLUMNS
     assert p.first()["web_day_mon"] == 1 and p.first()["web_day_tue"] is None
+
+
+def test_more_than_ten_thousand_found_names(spark):
+    rows = spark.range(10_001).selectExpr("concat('u', id % 3) AS uid", "concat('item', id) AS name")
+    wide = P.pivot_count(rows, "uid", "name")
+    assert len(wide.columns) == 10_002 and wide.count() == 3

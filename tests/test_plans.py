@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from clickmart.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # writes happen while these queries are built, so they are planned separately
@@ -19,7 +19,7 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(q(spark, SF)) for name, q in sorted(entry.queries().items())}
+    return {name: _plan(q(spark, SF)) for name, q in sorted(QUERIES.items())}
 
 
 def test_no_cross_or_nested_loop_joins(plans):

@@ -8,12 +8,13 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, duck_type, type_names  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from clickmart.queries import ORACLE as SQL  # noqa: E402
+from clickmart.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,15 +25,17 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     if name not in SQL:
         assert len(rows) > 0
         return
-    res = con.execute(SQL[name])
+    con.sql(SQL[name]).create_view(f"oracle_{name}")  # the SQL must do as a view
+    res = con.execute(f"SELECT * FROM oracle_{name}")
     ocols = [d[0] for d in res.description]
+    assert dict(type_names(df)) == {c: duck_type(t) for c, t in zip(ocols, con.table(f"oracle_{name}").types)}
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
