@@ -49,13 +49,12 @@ def test_scoring_stream_state_is_bag(spark):
     out = staging_path(spark, "t-bags")
     from clickmart.streaming import sinks
 
-    # b.com is outside the vocabulary: it is not kept in the state
-    vocab = spark.createDataFrame([("a.com", 0), ("c.com", 1)], "domain string, idx int")
+    # every domain is kept, whatever a model's vocabulary holds
     bags = scoring_stream.user_bag_stream(stream)
     sinks.run_available(bags, sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"))
     final = sinks.latest(spark, out, ("uid", "domain")).collect()
-    got = sorted((r.uid, -1 if r.idx is None else r.idx, r.n) for r in final)
-    assert got == [("u1", 0, 2), ("u2", -1, 0)]
+    got = sorted((r.uid, r.domain or "", r.n) for r in final)
+    assert got == [("u1", "a.com", 2), ("u2", "b.com", 1)]
 
 
 def test_processing_time_trigger_start(spark):
