@@ -10,10 +10,12 @@ non-empty blocks of either, one must agree: these blocks are the keys of the
 join. Sketch lengths are fixed per size band; sets near a band's end are put in
 two bands, so every pair with possible sizes meets in one.
 
-Equal sets are one node. A key's members are compared with the smallest member
-only; links make components, and members of one key in different components
-are then compared with each other, sketches first. So groups of copies cost a
-pair a member, and no pair that a key brings together is left out.
+Equal sets are one node. Sketches decide first which pairs are looked at
+closer. A key's members are compared with one member, links make components;
+this is done again with other members for keys that still hold several
+components, and at last all members of one key in different components are
+compared with each other. So groups of copies cost a few pairs a member, and
+no pair that a key brings together is left out.
 
 Hashes have 64 bits (classes 128). With 6 to 11 shingles two linked sets miss
 each other with a chance below 1e-8, else below 1e-15.
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import stage, text_of
@@ -35,7 +37,14 @@ from clickmart.llm.tokens import worker_store
 WORDS, PERCENT = 4, 85
 #: A band's largest size against its smallest.
 BAND = 1.5
-SKETCH_WORDS = 64
+#: 64-bit words of the sketch that pairs are sifted by.
+SKETCH_WORDS = 32
+#: Rounds in which a key's members are compared with one of them, before the rest are compared in pairs.
+ROUNDS = 2
+#: Pairs up to which they are broadcast to the table of sets, first bare and then with a sketch (about 300 bytes each).
+FEW_PAIRS = 50_000
+#: Documents to compare closely, up to which their ids are broadcast to the scan (8 bytes each).
+FEW_IDS = 1_000_000
 CACHE_WORDS = 800_000
 _ALL = (1 << 64) - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -141,7 +150,7 @@ def _long(values: list) -> pa.Array:
 
 
 def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, c1, c2 (hashes of the set) and its join keys."""
+    """doc_id, n, c1, c2 (hashes of the set), its sketch and join keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,25 +159,57 @@ def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sets = shingle_sets(part.column("text").to_pylist(), words)
                 c1 = [np.add.reduce(mix64(s ^ _M3)) for s in sets]
                 c2 = [np.add.reduce(mix64(s + _M1)) for s in sets]
-                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _long(c1), _long(c2), _lists([block_keys(s, percent) for s in sets])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "keys"])
+                columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _long(c1), _long(c2)]
+                columns += [_lists([sketch(s) for s in sets]), _lists([block_keys(s, percent) for s in sets])]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "sketch", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, c1 long, c2 long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, n long, c1 long, c2 long, sketch array<long>, keys array<long>")
 
 
 def with_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, its shingle hashes and sketch."""
+    """id and shingle hashes of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sets = shingle_sets(part.column("text").to_pylist(), words)
-                columns = [part.column("doc_id"), _lists(sets), _lists([sketch(s) for s in sets])]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(sets)], ["id", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>, sketch array<long>")
+    return docs.mapInArrow(run, "id long, shingles array<long>")
+
+
+def sketch_distance(one: str, other: str) -> Column:
+    return F.aggregate(F.zip_with(one, other, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
+def may_link(n1: str, n2: str, sketch1: str, sketch2: str, percent: int) -> Column:
+    """Whether sizes and sketches leave room for the similarity."""
+    sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
+    return sizes & (sketch_distance(sketch1, sketch2) * (100 + percent) <= (F.col(n1) + F.col(n2)) * (100 - percent))
+
+
+def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of representatives whose sets have the similarity."""
+
+    def side(c: str) -> DataFrame:
+        return classes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}"))
+
+    pairs = stage(pairs, "candidates")
+    small = F.broadcast if pairs.count() <= FEW_PAIRS else (lambda x: x)
+    near = side("b").join(small(side("a").join(small(pairs), "a")), "b").where(may_link("na", "nb", "sketcha", "sketchb", percent))
+    near = stage(near.select("a", "b").distinct(), "pairs")
+    if not near.take(1):
+        return near
+    ids = stage(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct(), "ids")
+    few = ids.count() <= FEW_IDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    sets = stage(with_sets(texts, words), "sets")  # rows that repeat an id meet as equal links
+    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    both = near.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    return stage(both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -193,14 +234,6 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity."""
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
-
-
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
@@ -208,42 +241,42 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     ``percent`` / 100 or more, the document itself included. Texts without words
     (NULL and empty ones too) have no shingles and link with nothing. A row without
     an id takes no part in links and has no component. Repeated rows are equal
-    sets. Extra columns are left out; an empty table gives an empty table.
+    sets, and rows of one id with several texts are one document with the links of
+    them all. Extra columns are left out; an empty table gives an empty table.
     """
     nodes = stage(shingled(docs, words, percent), "shingled")
     some = nodes.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stage(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
+    classes = stage(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
-    # One row a set and key; the keys of copies are equal and meet in the window too, so they go by class.
+    # Copies have equal keys: they are posted by class, and keys of one class bring nothing together.
     posted = some.select("c1", F.explode("keys").alias("key"))
     w = Window.partitionBy("key")
-    shared = posted.withColumns({"lead": F.min("c1").over(w), "top": F.max("c1").over(w)}).where("lead <> top").select("key", "c1", "lead")
-    shared = stage(shared, "shared-keys")
-    reps = classes.select("c1", "rep")
-    pairs = shared.where("c1 <> lead").select("c1", "lead").distinct()
-    pairs = pairs.join(reps.withColumnRenamed("rep", "a"), "c1").join(reps.select(F.col("c1").alias("lead"), F.col("rep").alias("b")), "lead").select("a", "b")
-    pairs = stage(pairs, "pairs")
-    chosen = shared.select("c1").distinct().join(reps, "c1").select(F.col("rep").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(chosen, "doc_id", "left_semi")
-    sets = stage(with_sets(texts.dropDuplicates(["doc_id"]), words), "sets")
-    links = stage(linked(pairs, sets, percent), "links")
-    first = stage(components(links), "components")
-
-    # Members of one key in different components: every pair but those with the key's first member, which are done.
-    group = F.coalesce("component", "rep")
-    member = shared.where("c1 <> lead").join(reps, "c1").join(first, F.col("rep") == F.col("id"), "left").select("key", "rep", group.alias("group")).distinct()
-    wk = Window.partitionBy("key")
-    mixed = member.withColumns({"low": F.min("group").over(wk), "high": F.max("group").over(wk)}).where("low <> high").select("key", "rep", "group")
-    mixed = stage(mixed.join(sets.select(F.col("id").alias("rep"), F.size("shingles").alias("n"), "sketch"), "rep"), "mixed")
-    x, y = mixed.select("key", *(F.col(c).alias(f"{c}1") for c in ("rep", "group", "n", "sketch"))), mixed.select("key", *(F.col(c).alias(f"{c}2") for c in ("rep", "group", "n", "sketch")))
-    apart = F.aggregate(F.zip_with("sketch1", "sketch2", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    near = (F.col("rep1") < F.col("rep2")) & (F.col("group1") != F.col("group2")) & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
-    near = near & (apart * (100 + percent) <= (F.col("n1") + F.col("n2")) * (100 - percent))
-    more = x.join(y, (x["key"] == y["key"]) & near).select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
-    late = stage(linked(more, sets, percent), "late-links")
-    found = first
-    if late.take(1):
-        found = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).union(late))
+    shared = posted.withColumns({"low": F.min("c1").over(w), "high": F.max("c1").over(w)}).where("low <> high").select("key", "c1").distinct()
+    members = stage(shared.join(classes.select("c1", "rep"), "c1").select("key", "rep"), "members")
+
+    edges = found = None
+    for r in range(ROUNDS + 1):
+        if found is None:
+            grouped = members.withColumn("group", F.col("rep"))
+        else:
+            grouped = members.join(found, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("group"))
+        grouped = grouped.withColumns({"low": F.min("group").over(w), "high": F.max("group").over(w), "size": F.count(F.lit(1)).over(w)})
+        grouped = grouped.where((F.col("low") != F.col("high")) & (F.col("size") > (1 if r == 0 else 2)))  # the first round has seen pairs
+        if r < ROUNDS:
+            # At first one member for all keys it is in, as far as can be; then another one a key.
+            draw = F.xxhash64(F.lit(r), "rep") if r == 0 else F.xxhash64(F.lit(r), "key", "rep")
+            first = F.min(F.struct(draw.alias("draw"), F.col("rep").alias("a"), "group")).over(w)
+            pairs = grouped.withColumn("first", first).where(F.col("group") != F.col("first.group")).select("first.a", F.col("rep").alias("b"))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        else:
+            full = stage(grouped.select("key", "rep", "group").join(classes.select("rep", "n", "sketch"), "rep"), "mixed")
+            x, y = (full.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("rep", "group", "n", "sketch"))) for i in (1, 2))
+            near = (F.col("rep1") < F.col("rep2")) & (F.col("group1") != F.col("group2")) & may_link("n1", "n2", "sketch1", "sketch2", percent)
+            pairs = x.join(y, (x["key"] == y["key"]) & near).select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
+        links = linked(pairs, docs, classes, words, percent)
+        edges = links if edges is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links)
+        if found is None or links.take(1):
+            found = stage(components(edges), "components")
 
     rep = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep"))
     out = nodes.select("doc_id", "n", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left").withColumn("rep", rep)
