@@ -109,7 +109,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     out = sized.join(F.broadcast(cuts) if _few(targets) else cuts, same, "left")
     # No document straddles (first is NULL) when the rest is nothing or the whole source; else all draws up to the cut.
     once = F.when(F.col("first").isNull(), F.col("rest") > 0).otherwise((F.col("_draw") <= F.col("last")) | (F.col("_draw") < F.col("first")))
-    copies = (F.col("whole") + F.coalesce(once, F.lit(False)).cast("int")).cast("long")
+    once = F.coalesce(once, F.lit(False)) & (F.col("rest") > 0)  # nothing more where whole repetitions are all
+    copies = (F.col("whole") + once.cast("int")).cast("long")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), "size", "source_size", "target", "copies", "taken")
 
