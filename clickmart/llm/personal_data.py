@@ -4,9 +4,10 @@ Strict rules find the plain spans (emails, IP addresses, payment cards, phone
 numbers). Loose generators propose many more, overlapping ones: spelled-out
 emails, phones without a prefix, cards and addresses with other separators.
 Boosted trees score every proposal by its format, written plainly, and by its
-context; they learn from the proposals that have the plain form, which the
-strict rules decide. A threshold per kind, calibrated on proposals not
-trained on, picks what is added; strict spans always stay.
+context. They learn from strict spans, from the same spans rewritten into loose
+spellings, and from proposals that are surely none (see ``labelled``). A
+threshold per kind, calibrated on rows not trained on, is all that picks what
+is added; strict spans always stay.
 
 All steps are SQL expressions and Spark ML on DataFrames.
 """
@@ -38,10 +39,12 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@| ?[(\[{] ?(?:at|AT|@) ?[)\]}] ?| at )[A-Za-z0-9-]{1,63}+(?:(?:\.| ?[(\[{] ?(?:dot|DOT|\.) ?[)\]}] ?| dot )[A-Za-z0-9-]{1,63}+){1,8}+",
     "ip": r"(?<![0-9.,])[0-9]{1,3}+(?: ?[.,] ?[0-9]{1,3}+| ?[(\[] ?(?:dot|\.) ?[)\]] ?[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ ._/-]?[0-9]){11,18}+(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[0-9(](?:[ ().0-9/-]{0,3}[0-9]){6,14}+(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[0-9(](?:[ ()./-]{0,3}[0-9]){6,18}+(?![0-9A-Za-z])",
 }
 #: Words near a span that tell what it is, as a context feature.
 HINTS = {"email": "mail|contact|correo|courriel|write", "ip": "ip|addr|host|server", "card": "card|visa|credit|karte|carte|tarjeta", "phone": "tel|phone|call|fax|fon|mobil|cell"}
+#: Dates, which look like phone numbers without a prefix.
+DATE = r"^(?:(?:19|20)[0-9]{2}[ ./-]?[01][0-9][ ./-]?[0-3][0-9](?:[^0-9].*)?|[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)[0-9]{2}(?:[^0-9].*)?)$"
 CONTEXT = 24
 #: About how many labelled proposals train the trees, and how many calibrate.
 TRAIN_ROWS, CALIBRATE_ROWS = 20_000, 100_000
@@ -51,6 +54,7 @@ PRECISION = 0.99
 FEATURES = (
     "is_email", "is_ip", "is_card", "is_phone", "length", "n_digits", "n_letters", "n_groups", "n_seps", "n_kinds_of_seps", "plus", "parens", "at_signs", "dots",
     "plain_form", "valid_form", "hint", "other_hint", "glued_before", "glued_after", "quoted",
+    "check", "bare", "dated", "like_ip",
 )
 
 
@@ -122,6 +126,10 @@ def features(spans: DataFrame) -> DataFrame:
         "parens": F.contains(m, F.lit("(")),
         "plain_form": whole,
         "valid_form": whole & valid(F.col("kind"), p),
+        "check": valid(F.col("kind"), p),  # without the form: phones need no prefix
+        "bare": p.rlike("^[0-9]+$"),
+        "dated": m.rlike(DATE),
+        "like_ip": m.rlike(f"^(?:{STRICT['ip']})$") & valid(F.lit("ip"), m),
         "hint": hint,
         "other_hint": other,
         "glued_before": F.col("before").rlike("[0-9A-Za-z]$"),
@@ -142,8 +150,59 @@ def features(spans: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(out)
 
 
+def rewritten(spans: DataFrame) -> DataFrame:
+    """Strict spans in the loose spellings that people use, with their contexts: k1, k2, kind, match, before, after.
+
+    Some become what is no phone number: dates, and digits without a prefix or a word for them.
+    """
+    m, before = F.col("match"), F.col("before")
+    digits = F.regexp_replace(m, "[^0-9]", "")
+
+    def made(match: Column, context: str = "") -> Column:
+        return F.struct(match.alias("match"), (F.lit(context) if context else before).alias("before"))
+
+    def mail(at: str, dot: str) -> Column:
+        return made(F.regexp_replace(F.regexp_replace(m, r"\.(?=[^@]*$)", dot), "@", at))
+
+    def each_four(sep: str) -> Column:
+        return made(F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", f"$1{sep}"))
+
+    own = F.regexp_replace(m, r"^\+(?:[0-9]{1,3}(?![0-9])|[0-9])[ .-]*", "")  # without the country's code
+    trunk = F.concat(F.lit("0"), F.translate(own, "()", ""))
+    alone = F.regexp_replace(own, "[^0-9]", "")
+    date = F.concat(F.lit("20"), F.substring(digits, -2, 2), F.lit("-0"), F.substring(digits, -3, 1), F.lit("-1"), F.substring(digits, -4, 1), F.lit(" 1"), F.substring(digits, -5, 1))
+    forms = {
+        "email": [mail(" at ", " dot "), mail(" (at) ", " (dot) "), mail("[at]", "[dot]"), mail(" [at] ", "."), mail(" at ", ".")],
+        "ip": [made(F.regexp_replace(m, r"\.", x)) for x in (" . ", ",", "(dot)", " [.] ")],
+        "card": [each_four(x) for x in (".", "/", "_", "-", " ")],
+        "phone": [
+            made(own), made(own, "call "), made(trunk), made(trunk, "tel "), made(F.regexp_replace(trunk, "^([0-9]+)[ .-]+", "$1/"), "tel "),
+            made(F.regexp_replace(trunk, "^([0-9]+)[ .-]+", "$1/")), made(F.regexp_replace(m, r"[ ().-]+", "/")), made(F.regexp_replace(m, r"^\+", "00")),
+            made(F.regexp_replace(own, r"[ ().-]+", "-")), made(alone), made(alone, "phone "), made(alone, "number "), made(date), made(date, "call "),
+        ],
+    }
+    lists = reduce(lambda c, k: c.when(F.col("kind") == k, F.array(*forms[k])), KINDS[1:], F.when(F.col("kind") == KINDS[0], F.array(*forms[KINDS[0]])))
+    out = spans.select("k1", "k2", "kind", "after", F.explode(lists).alias("f")).select("k1", "k2", "kind", F.ltrim("f.match").alias("match"), F.right("f.before", F.lit(CONTEXT)).alias("before"), "after")
+    like = reduce(lambda c, k: c.when(F.col("kind") == k, F.col("match").rlike(f"^(?:{LOOSE[k]})$")), KINDS[1:], F.when(F.col("kind") == KINDS[0], F.col("match").rlike(f"^(?:{LOOSE[KINDS[0]]})$")))
+    return out.where(like)
+
+
+def labelled(loose: DataFrame, made: DataFrame) -> DataFrame:
+    """Rows that are known to be personal data or not: kind, features, k2, fold, y, ``made`` (rewritten).
+
+    Strict spans are, and so are their rewritten forms. What fails its kind's check is not, nor are dates,
+    addresses and lone digits without a word for them as phone numbers. All other proposals
+    (spelled-out mails, numbers without a prefix) are unknown: the trees are for them, so they are no rows here.
+    """
+    wrong = (F.col("check") == 0.0) | ((F.col("kind") == "phone") & ((F.col("dated") == 1.0) | (F.col("like_ip") == 1.0) | ((F.col("bare") == 1.0) & (F.col("hint") == 0.0))))
+    known = loose.withColumn("y", F.when(F.col("y") == 1, 1).when(wrong, 0)).where(F.col("y").isNotNull()).withColumn("made", F.lit(False))
+    other = made.withColumn("y", F.when(wrong, 0).otherwise(1)).withColumn("made", F.lit(True))
+    columns = ["kind", "features", "k2", "fold", "y", "made"]
+    return known.select(columns).unionByName(other.select(columns))
+
+
 def train(spans: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
-    """Trees and a threshold per kind. ``spans``: features, kind, y (what the strict rules say) and fold (0 trains, 1 calibrates).
+    """Trees and a threshold per kind. ``spans``: the columns of ``labelled``; fold 0 trains, 1 calibrates.
 
     Both folds are samples of bounded size by a hash. Without both answers among the training rows there
     is no model; a kind for which no threshold is precise enough has none.
@@ -159,7 +218,7 @@ def train(spans: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, fl
     if rows.select("label").distinct().count() < 2:
         return None, {}
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(rows)
-    scored = with_score(part(1, CALIBRATE_ROWS), model)
+    scored = with_score(part(1, CALIBRATE_ROWS).where("made or y = 0"), model)  # strict spans are never added
     bins = scored.groupBy("kind", F.floor(F.col("score") * 100).cast("int").alias("bin")).agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("n")).collect()  # 101 a kind
     limits = {}
     for kind in KINDS:
@@ -190,12 +249,13 @@ def redactions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     loose = features(matches.where("not strict")).drop("strict")
     true = base.select("k1", "k2", "kind", "start", "end", F.lit(1).alias("y"))
     loose = stage(loose.join(true, ["k1", "k2", "kind", "start", "end"], "left").fillna({"y": 0}).withColumn("fold", F.pmod("k1", F.lit(2))), "loose-spans")
-    # The strict rules know plain matches only; the others are what the trees are for.
-    model, limits = train(loose.where((F.col("plain") == F.col("match")) & (F.col("plain_form") == 1.0)))
+    strict = matches.where("strict").where(valid(F.col("kind"), F.col("match")))
+    made = features(rewritten(strict)).withColumn("fold", F.pmod("k1", F.lit(2)))
+    model, limits = train(stage(labelled(loose, made), "labelled"))
     if model is None or not limits:
         return keys, base
     limit = reduce(lambda c, k: c.when(F.col("kind") == k, limits[k]), list(limits)[1:], F.when(F.col("kind") == list(limits)[0], limits[list(limits)[0]]))
-    added = with_score(loose.where((F.col("y") == 0) & (F.col("valid_form") == 1.0)), model).where(F.col("score") >= limit)
+    added = with_score(loose.where("y = 0"), model).where(F.col("score") >= limit)
     both = base.unionByName(added.select("k1", "k2", "kind", "start", "end", F.lit(False).alias("base"), "score"))
     w = Window.partitionBy("k1", "k2").orderBy("start", "end", "kind")
     far = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))

@@ -90,3 +90,17 @@ def test_generated_table_and_edge_rows(spark):
 def test_plan_is_native(spark):
     plan = personal_data.query(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_phones_without_a_prefix_are_scored_and_numbers_are_left(spark):
+    docs = [(i, f"Words {i} then call +1 ({200 + i}) 555-{1000 + i}, or +49 {30 + i % 60} {1234567 + 31 * i}, from 10.{i % 250}.3.{i % 200} now") for i in range(400)]
+    phones = ["(415) 555-0100", "030 1234567", "030/1234567", "+49/30/1234567"]
+    docs += [(1000 + i, f"please phone {x} today") for i, x in enumerate(phones)]
+    others = ["2024-03-15 12", "8412345678", "300.200.300.150"]
+    docs += [(2000 + i, f"it was order {x} again") for i, x in enumerate(others)]
+    docs += [(3000, "call 2024-03-15 12 again"), (3001, "call 555 0100 12 now")]
+    got = {r.doc_id: r for r in personal_data.query(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, x in enumerate(phones):
+        s = len("please phone ")
+        assert got[1000 + i].spans == f"phone:{s}:{s + len(x)}" and got[1000 + i].n_phone == 0, (x, got[1000 + i].spans)
+    assert [got[i].spans for i in got if i >= 2000 and i != 3001] == [""] * 4, [got[i].spans for i in got if i >= 2000]
