@@ -46,8 +46,8 @@ HINTS = {"email": "mail|contact|correo|courriel|write", "ip": "ip|addr|host|serv
 #: Dates, which look like phone numbers without a prefix.
 DATE = r"^(?:(?:19|20)[0-9]{2}[ ./-]?[01][0-9][ ./-]?[0-3][0-9](?:[^0-9].*)?|[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)[0-9]{2}(?:[^0-9].*)?)$"
 CONTEXT = 24
-#: About how many labelled proposals train the trees, and how many calibrate.
-TRAIN_ROWS, CALIBRATE_ROWS = 20_000, 100_000
+#: About how many labelled rows train the trees, in equal parts a kind and label; all of the other fold calibrate.
+TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 4, 17
 #: What a kind's threshold must reach on calibration rows.
 PRECISION = 0.99
@@ -204,21 +204,21 @@ def labelled(loose: DataFrame, made: DataFrame) -> DataFrame:
 def train(spans: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
     """Trees and a threshold per kind. ``spans``: the columns of ``labelled``; fold 0 trains, 1 calibrates.
 
-    Both folds are samples of bounded size by a hash. Without both answers among the training rows there
+    The training rows are a sample by a hash, of bounded size for each kind and label; thresholds come from
+    every row of the other fold. Without both answers among the training rows there
     is no model; a kind for which no threshold is precise enough has none.
     """
-    fold = spans.groupBy("fold").count().collect()
-    sizes = {r.fold: r["count"] for r in fold}
-
-    def part(i: int, most: int) -> DataFrame:
-        share = min(1.0, most / max(1, sizes.get(i, 0)))
-        return spans.where((F.col("fold") == i) & (F.pmod(F.col("k2"), F.lit(1 << 30)) < int(share * (1 << 30))))
-
-    rows = stage(part(0, TRAIN_ROWS).select("features", F.col("y").cast("double").alias("label")), "training")
+    sizes = spans.where("fold = 0").groupBy("kind", "y").count().collect()  # two a kind
+    most = TRAIN_ROWS / (2 * len(KINDS))
+    share = F.lit(0)
+    for r in sizes:
+        share = F.when((F.col("kind") == r.kind) & (F.col("y") == r.y), int(min(1.0, most / r["count"]) * (1 << 30))).otherwise(share)
+    sample = spans.where((F.col("fold") == 0) & (F.pmod(F.col("k2"), F.lit(1 << 30)) < share))
+    rows = stage(sample.select("features", F.col("y").cast("double").alias("label")), "training")
     if rows.select("label").distinct().count() < 2:
         return None, {}
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(rows)
-    scored = with_score(part(1, CALIBRATE_ROWS).where("made or y = 0"), model)  # strict spans are never added
+    scored = with_score(spans.where("fold = 1 and (made or y = 0)"), model)  # strict spans are never added
     bins = scored.groupBy("kind", F.floor(F.col("score") * 100).cast("int").alias("bin")).agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("n")).collect()  # 101 a kind
     limits = {}
     for kind in KINDS:

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.ml.feature import VectorAssembler
+
 from clickmart.llm import personal_data
 
 from .edge import edge_docs, empty_docs
@@ -104,3 +106,13 @@ def test_phones_without_a_prefix_are_scored_and_numbers_are_left(spark):
         s = len("please phone ")
         assert got[1000 + i].spans == f"phone:{s}:{s + len(x)}" and got[1000 + i].n_phone == 0, (x, got[1000 + i].spans)
     assert [got[i].spans for i in got if i >= 2000 and i != 3001] == [""] * 4, [got[i].spans for i in got if i >= 2000]
+
+
+def test_a_rare_kind_has_its_threshold(spark):
+    """Cards beside masses of numbers, with hashes that no small sample takes, still calibrate."""
+    many = spark.range(180_000).selectExpr("'phone' as kind", "id * 7919 as k2", "cast(id % 3 > 0 as int) as fold", "cast(id % 2 as int) as y", "true as made")
+    few = spark.range(90).selectExpr("'card' as kind", "(1L << 30) - 1 as k2", "cast(id % 3 > 0 as int) as fold", "1 as y", "true as made")
+    rows = many.unionByName(few).selectExpr("*", "cast(kind = 'card' as double) as a", "cast(y as double) as b")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    _, limits = personal_data.train(rows)
+    assert set(limits) == {"card", "phone"}
