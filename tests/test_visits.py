@@ -47,4 +47,4 @@ def test_user_domain_lists_is_collect_list_multiset(spark):
 def test_semi_join_to_top(spark):
     df = spark.createDataFrame([("u1", "a"), ("u2", "b"), ("u3", "a")], "uid string, domain string")
     top = spark.createDataFrame([("a", 2)], "domain string, count long")
-    assert sorted(r.uid for r in V.visits_to_top_domains(df, top, 1).collect()) == ["u1", "u3"]
+    assert sorted(r.uid for r in V.visits_to_top_domains(df, top).collect()) == ["u1", "u3"]
