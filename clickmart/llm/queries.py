@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.llm import fingerprints, line_dedup, maxent_lm, mixing, packing, parity_join, permutation_index, personal_data, token_files, toxicity
+from clickmart.llm import divergence, fingerprints, line_dedup, maxent_lm, mixing, packing, parity_join, permutation_index, personal_data, token_files, toxicity
 from clickmart.llm.common import documents
 
 
@@ -25,10 +25,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": _on_documents(parity_join.query),
     "op9_mixing": _on_documents(mixing.query),
     "op10_line_dedup": _on_documents(line_dedup.query),
+    "op12_divergence": _on_documents(divergence.query),
 }
 
 ORACLE: dict[str, str] = {
     "op8_parity_join": parity_join.SQL,
     "op9_mixing": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op12_divergence": divergence.SQL,
 }
