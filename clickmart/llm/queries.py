@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.llm import divergence, fingerprints, line_dedup, maxent_lm, mixing, packing, parity_join, permutation_index, personal_data, token_files, toxicity
+from clickmart.llm import divergence, exact_topk, fingerprints, hard_negatives, line_dedup, maxent_lm, mixing, packing, parity_join, permutation_index, personal_data, token_files, toxicity
 from clickmart.llm.common import documents
 
 
@@ -25,12 +25,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": _on_documents(parity_join.query),
     "op9_mixing": _on_documents(mixing.query),
     "op10_line_dedup": _on_documents(line_dedup.query),
+    "op11_exact_topk": lambda spark, sf_dir: exact_topk.query(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
     "op12_divergence": _on_documents(divergence.query),
+    "op13_hard_negatives": lambda spark, sf_dir: hard_negatives.query(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
 }
 
 ORACLE: dict[str, str] = {
     "op8_parity_join": parity_join.SQL,
     "op9_mixing": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_exact_topk": exact_topk.SQL,
     "op12_divergence": divergence.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }

@@ -1,0 +1,124 @@
+"""Hard negatives against all scores."""
+
+import math
+
+import numpy as np
+import pytest
+
+from clickmart.llm import hard_negatives as H
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def whole(v):
+    return [math.floor(256 * float(np.float32(x))) for x in v]
+
+
+def brute(rows, positives=5, negatives=3, every=50):
+    """Result rows from (vec_id, vector, label) rows, with Python's own whole numbers."""
+    rows = [(i, whole(v), c) for i, v, c in rows]
+    out = []
+    for a in sorted({i for i, _, _ in rows if i % every == 0}):
+        label, own = min((c, v) for i, v, c in rows if i == a)
+        scored = sorted((-sum(x * y for x, y in zip(own, v, strict=True)), i, c) for i, v, c in rows if i != a)
+        for k, (s, p, _) in enumerate([t for t in scored if t[2] == label][:positives], 1):
+            ps = -s
+            hard = [(i, -n) for n, i, c in scored if c != label and 50 * ps <= 100 * -n <= 95 * ps]
+            out += [(a, k, p, r, i, ps, n) for r, (i, n) in enumerate(hard[:negatives], 1)]
+    return out
+
+
+def result(df):
+    return sorted((r.anchor_id, r.positive_rank, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in v], c) for i, v, c in rows], SCHEMA).repartition(3)
+
+
+def mined(spark, rows, **kw):
+    df = frame(spark, rows)
+    return result(H.mine(df, df.where("vec_id % 50 = 0"), **kw))
+
+
+def made(n, d, seed, labels=4, spread=0.6):
+    rng = np.random.default_rng(seed)
+    kind = rng.integers(0, labels, n)
+    kind[rng.random(n) < 1 / 3] = 0  # a hot label
+    at = rng.normal(size=(labels, d))[kind] + spread * rng.normal(size=(n, d))
+    return [(i, v, int(c)) for i, (v, c) in enumerate(zip(at.tolist(), kind, strict=True))]
+
+
+@pytest.mark.parametrize("block", [40, 200, 8192])
+def test_many_blocks(spark, block):
+    rows = made(900, 8, 1)
+    want = brute(rows)
+    assert want and mined(spark, rows, block=block) == want
+
+
+def test_hot_vector_and_ties(spark):
+    rows = [(i, v if i % 3 else [0.5, 1.0, 0.0], c) for i, v, c in made(700, 3, 2)]
+    rows = [(i, [round(2 * x) / 2 for x in v], c) for i, v, c in rows]
+    assert mined(spark, rows, block=60) == brute(rows)
+
+
+def test_labels_move_and_edge_rows(spark):
+    """Every seventh id changes its label first; rows that can't be scored are left out."""
+    nan, inf = float("nan"), float("inf")
+    good = [(i, v, (c + 1) % 10 if i % 7 == 0 else c) for i, v, c in made(300, 4, 3, labels=10)]
+    good += [(350, [0.0] * 4, 1), (11, [0.0] * 4, 2), (12, [3.0] * 4, 3), (12, [3.0] * 4, 3), (-50, [1.0, 0.0, 2.0, 1.0], 2), (-50, [1.0, 0.0, 2.0, 1.0], 2)]
+    bad = [(400, None, 1), (450, [1.0, None, 1.0, 1.0], 1), (500, [nan] * 4, 1), (13, [inf] * 4, 1), (None, [1.0] * 4, 1), (550, [1.0] * 4, None), (600, [1.0] * 3, 1), (650, [], 1)]
+    before = [(i, v, (c - 1) % 10 if i % 7 == 0 else c) for i, v, c in good]
+    clash = "vec_id long, embedding array<float>, label int, id string, vec string, cell string, score string, rank string, norm string, place string"
+    df = spark.createDataFrame([(*r, *"abcdefg") for r in before + bad], clash)
+    assert result(H.query(df)) == brute(good)
+
+
+def test_negative_and_zero_scores(spark):
+    """A window under a negative score is empty; under a score of 0 it holds 0 alone."""
+    rows = [(0, [1.0, 0.0], 1), (1, [-1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [-0.75, 0.0], 2), (4, [0.0, 2.0], 2), (5, [0.0, 0.0], 2)]
+    want = brute(rows)
+    assert {r[2] for r in want} == {2} and mined(spark, rows) == want
+
+
+def test_empty_and_lone_rows(spark):
+    assert H.query(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert mined(spark, [(1, [1.0], 1)]) == []
+    assert mined(spark, [(50, [1.0], 1)]) == []
+    assert mined(spark, [(50, [1.0], 1), (1, [0.7], 2)]) == []
+
+
+def test_scores_that_do_not_fit(spark):
+    rows = [(i, [2.0**18 + i, 2.0**17 - i * 9], i % 3) for i in range(60)]
+    assert mined(spark, rows, block=10) == brute(rows)
+    with pytest.raises(ValueError, match="fit in a long"):
+        mined(spark, [(50, [1e8], 1), (1, [1e8], 1)])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bounds_hold_every_score(seed):
+    """No score lies outside its rounded bounds, with parallel, opposite, tiny, huge and zero vectors."""
+    rng = np.random.default_rng(seed)
+    vecs = rng.integers(-300, 300, (80, 5)) * 10 ** rng.integers(0, 6, (80, 1))
+    vecs[10:20] = vecs[:10] * 3
+    vecs[20:30] = -vecs[:10]
+    vecs[30] = 0
+    directions = H.references(vecs.astype(float), 6)
+    norms, angles = H.angles_of(vecs.astype(float), directions)
+    low, high = H.score_bounds(norms, angles, norms, angles)
+    score = vecs @ vecs.T
+    assert (low <= score).all() and (score <= high).all()
+
+
+def test_few_rows_get_integer_scoring():
+    """In narrow clusters the triangle filter leaves most pairs unscored."""
+    rows = made(2000, 6, 9, labels=8, spread=0.05)
+    vecs = np.array([whole(v) for _, v, _ in rows])
+    directions = H.references(vecs.astype(float), 16)
+    norms, angles = H.angles_of(vecs.astype(float), directions)
+    import pyarrow as pa
+
+    table = pa.table({"id": np.arange(len(vecs)), "label": [c for _, _, c in rows], "norm": norms, "angles": H.as_column(angles), "vec": H.as_column(vecs)})
+    block = H.Block(table)
+    H.best_rows(5)(block, table.slice(0, 40).combine_chunks().to_batches()[0])
+    assert block.scored < 0.5 * block.bounded
