@@ -7,8 +7,8 @@ then the user-item matrix columns. A user must have a visit to a top
 domain and a matrix row (inner joins).
 
 Plan: visits are pre-aggregated once to ``(uid, domain, weekday, hour)``
-counts; the time features, the domain counts and the top-N list are all
-derived from that one aggregate (its shuffle is reused, not recomputed).
+counts, written once to the shared folder; the time features, the domain
+counts and the top-N list are all derived from that one aggregate.
 Weekday and hour are small integers in the aggregate; their names, and the
 work and evening flags that follow from the hour, come after it. The top-N
 list carries each domain's place, and a user's dense array is laid out from
@@ -17,12 +17,12 @@ its sorted (place, count) entries and the zeros between them. No Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
 from clickmart.operators import visits as V
-from clickmart.operators.ranking import top_rows
+from clickmart.operators.ranking import staged, top_rows
 
 TOP_DOMAINS = V.TOP_DOMAINS
 
@@ -60,9 +60,9 @@ def time_features(cube: DataFrame) -> DataFrame:
 def top_domain_list(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     """``domain, place`` of the ``n`` most visited domains, in alphabetical order."""
     counts = cube.groupBy("domain").agg(F.sum("n").alias("count"))
-    # At most n rows: numbering them in one ordered window is bounded.
-    place = F.row_number().over(Window.orderBy("domain")) - 1
-    return top_rows(counts, n, "count", "domain").select("domain", place.alias("place"))
+    # At most n entries, as many as every user's array has.
+    names = top_rows(counts, n, "count", "domain").agg(F.array_sort(F.collect_list("domain")).alias("names"))
+    return names.select(F.posexplode("names").alias("place", "domain")).select("domain", "place")
 
 
 def domain_feature_array(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
@@ -74,9 +74,6 @@ def domain_feature_array(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
     """
     top = top_domain_list(cube, n)
     per_domain = cube.groupBy("uid", "domain").agg(F.sum("n").alias("n"))
-    # An inner join with the (unique, at most n) top domains keeps the same
-    # rows as a semi join, but is not pushed below the aggregate: the visit
-    # aggregate's shuffle stays shared with the other feature branches.
     kept = per_domain.join(top, "domain")
     entry = F.struct("place", F.col("n").cast("double").alias("n"))
     per_user = kept.groupBy("uid").agg(F.array_sort(F.collect_list(entry)).alias("e"))
@@ -90,7 +87,7 @@ def domain_feature_array(cube: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
 
 
 def user_features(weblogs: DataFrame, item_matrix: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:
-    cube = visit_cube(weblogs)
+    cube = staged(visit_cube(weblogs), "visit-cube")
     t = time_features(cube)
     d = domain_feature_array(cube, n)
     return d.join(t, "uid").join(item_matrix, "uid")

@@ -35,7 +35,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.operators import visits as V
@@ -85,10 +85,7 @@ def fit_vocabulary(bags: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: int =
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= min_df)
     )
-    top = top_rows(totals, vocab_size, "total", "domain")
-    # At most vocab_size rows: numbering them in one ordered window is bounded.
-    w = Window.orderBy(F.col("total").desc(), F.col("domain").asc())
-    return top.select("domain", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+    return top_rows(totals, vocab_size, "total", "domain", place="idx").select("domain", F.col("idx").cast("int").alias("idx"))
 
 
 def index_domains(df: DataFrame, vocab: DataFrame) -> DataFrame:

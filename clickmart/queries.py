@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickmart import oracle as O
 from clickmart.functions import columns as C
 from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA
-from clickmart.operators import matrix, metrics, pivots, visits
+from clickmart.operators import matrix, metrics, pivots, ranking, visits
 from clickmart.operators import events as E
 from clickmart.plans import features, mart, matrix_job, model, split
 from clickmart.session import prepare, staging_path
@@ -424,7 +424,7 @@ DFEAT_CTE = TOP_CTE + """,
 @register("domain_feature_array", _sql(["clean_visits"], DFEAT_CTE, "SELECT uid, domain_features FROM dfeat"))
 def q_domain_feature_array(spark, sf_dir):
     """M2: per-user visit counts over the top domains, alphabetical order."""
-    return features.domain_feature_array(features.visit_cube(D.weblogs(spark, sf_dir)))
+    return features.domain_feature_array(ranking.staged(features.visit_cube(D.weblogs(spark, sf_dir)), "visit-cube"))
 
 
 _TFEAT_COLS = ", ".join(

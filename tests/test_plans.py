@@ -48,5 +48,6 @@ def test_event_type_filter_reaches_the_scan(plans):
     assert "PushedFilters: [In(event_type, [purchase,view])]" in plans["events_newest_first"]
 
 
-def test_top_n_is_a_bounded_top_k(plans):
-    assert "TakeOrderedAndProject" in plans["top_domains"]
+def test_top_n_has_no_merge_of_all_partitions(plans):
+    for name in ("top_domains", "visits_to_top_domains", "count_vectors", "domain_feature_array", "user_features"):
+        assert "TakeOrderedAndProject" not in plans[name], name
