@@ -89,7 +89,7 @@ def job_agg(spark: SparkSession, a) -> None:
     metrics = metrics_stream.hourly_metrics_stream(src, a.watermark)
     n = metrics_stream.STATE_PARTITIONS
     if a.out_topic:
-        with sinks.state_width(spark, n):
+        with sinks.starting_with(spark, n):
             q = K.write_kafka_stream(metrics_stream.kafka_value_stream(metrics), a.kafka_servers, a.out_topic,
                                      a.checkpoint, "update", a.trigger, available_now=a.available_now)
         q.awaitTermination()
@@ -149,9 +149,9 @@ def job_test(spark: SparkSession, a) -> None:
     if a.available_now:
         # timeouts would keep batches without data coming
         drain = sinks.run_until_caught_up if a.state_ttl_ms else sinks.run_available
-        drain(bags, sink, a.checkpoint, "update", state_partitions=n)
+        drain(bags, sink, a.checkpoint, "update", state_partitions=n, conf=scoring_stream.STATE_CONF)
     else:
-        sinks.start(bags, sink, a.checkpoint, "update", a.trigger, state_partitions=n).awaitTermination()
+        sinks.start(bags, sink, a.checkpoint, "update", a.trigger, state_partitions=n, conf=scoring_stream.STATE_CONF).awaitTermination()
 
 
 def job_dashboard(spark: SparkSession, a) -> None:

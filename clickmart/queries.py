@@ -741,7 +741,7 @@ def q_stream_hourly_metrics(spark, sf_dir):
     """Hourly metrics as a stream (update mode, checkpointed),
     one message file per micro-batch; final table equals the batch result."""
     src = _stage_text(spark, D.event_messages(spark, sf_dir), "messages")
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    stream = sinks.stream_session(spark).readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
     return metrics_stream.run_to_table(
         spark, stream, staging_path(spark, "metrics-out"), staging_path(spark, "metrics-ckpt")
     )
@@ -754,7 +754,7 @@ def q_stream_score_users(spark, sf_dir):
     logs = D.weblogs(spark, sf_dir)
     messages = logs.select(F.to_json(F.struct("uid", "visits")).alias("value"))
     src = _stage_text(spark, messages, "weblog-messages")
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    stream = sinks.stream_session(spark).readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
     streamed = scoring_stream.run_to_table(
         spark, stream, loaded, staging_path(spark, "score-out"), staging_path(spark, "score-ckpt"),
         partitions=int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -778,7 +778,7 @@ def q_stream_type_counts(spark, sf_dir):
     """Events per type as a stream in complete mode, upper-cased in the sink
     (the malformed message counts as the NULL type); the last batch is the final table."""
     src = _stage_text(spark, D.event_messages(spark, sf_dir), "type-messages")
-    stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    stream = sinks.stream_session(spark).readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
     counts = E.decode_events(stream).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     out = staging_path(spark, "type-counts")
     sink = sinks.VersionedSink(out, lambda batch: batch.withColumn("event_type", F.upper("event_type")))

@@ -3,13 +3,14 @@
 Messages (``value`` = JSON web-log line) -> visits -> domains. Visits are
 counted per ``(uid, domain)`` inside each Arrow batch before the shuffle, so
 a busy user sends one row a domain and batch to the state, not one a visit.
-Each user's state is a bag of counts per domain (``applyInPandasWithState``,
-keyed by uid) with every domain seen, as in the reference; it knows no
-model, so a retrained one can be used on an old checkpoint. After each
-micro-batch the full bags of the users that changed are emitted; the
-micro-batch sink looks the domains up in the model's vocabulary, scores the
-vectors with the fitted pipeline and writes ``uid, gender_age`` (update
-semantics: newest row per user).
+A user's state is a map from domain to count (``transformWithState``, keyed
+by uid, RocksDB with a change log): a batch writes the entries that it
+changes, not the user's whole bag. Every domain seen is kept, as in the
+reference; the state knows no model, so a retrained one can be used on an old
+checkpoint. After each micro-batch the full bags of the users that changed are
+emitted; the micro-batch sink looks the domains up in the model's vocabulary,
+scores the vectors with the fitted pipeline and writes ``uid, gender_age``
+(update semantics: newest row per user).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from clickmart.functions import columns as C
 from clickmart.functions.schemas import WEBLOG_SCHEMA
@@ -28,7 +29,14 @@ from clickmart.plans.model import LABEL, DomainModel
 from clickmart.streaming import sinks
 
 BAG_SCHEMA = "uid string, domain string, n long"
-STATE_SCHEMA = "domains array<string>, counts array<long>"
+# Settings a query with map state must be started with: RocksDB, with a log of
+# the changed entries for each batch.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+# Rows of one emitted frame: a bag of any size leaves in pieces.
+EMIT_ROWS = 10_000
 # State partitions of a new checkpoint (fixed for its life): enough for a
 # large cluster, whatever number of cores is there when the query first starts.
 STATE_PARTITIONS = 200
@@ -48,49 +56,58 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from counted.select(["uid", "domain", "count_all"]).rename_columns(["uid", "domain", "n"]).to_batches()
 
 
-def _update_bag(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int | None = None) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        # idle longer than the time-to-live: forget the user, emit nothing
-        state.remove()
-        return
-    counts: dict[str, int] = {}
-    if state.exists:
-        domains, ns = state.get
-        counts = dict(zip(domains, ns))
-    for pdf in batches:
-        for d, n in pdf.dropna(subset=["domain"]).groupby("domain")["n"].sum().items():
-            counts[d] = counts.get(d, 0) + int(n)
-    state.update((list(counts), [int(x) for x in counts.values()]))
-    if ttl_ms is not None:
-        state.setTimeoutDuration(ttl_ms)
-    uid = key[0]
-    if counts:
-        yield pd.DataFrame({"uid": [uid] * len(counts), "domain": list(counts), "n": list(counts.values())})
-    else:
-        # A user without any usable domain is still scored (empty bag).
-        yield pd.DataFrame({"uid": [uid], "domain": pd.array([None], dtype="string"), "n": [0]})
+class DomainBag(StatefulProcessor):
+    """A user's counts per domain; entries idle for longer than the time-to-live are forgotten."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.bag = handle.getMapState("domains", "domain string", "n long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
+        new: dict[str, int] = {}
+        for pdf in rows:
+            for d, n in pdf.dropna(subset=["domain"]).groupby("domain")["n"].sum().items():
+                new[d] = new.get(d, 0) + int(n)
+        uid, empty = key[0], True
+        domains, counts = [], []
+        for (domain,), (n,) in self.bag.iterator():
+            if domain in new:
+                new[domain] += n
+                continue
+            domains.append(domain)
+            counts.append(n)
+            if len(domains) == EMIT_ROWS:
+                yield pd.DataFrame({"uid": uid, "domain": domains, "n": counts})
+                domains, counts, empty = [], [], False
+        for domain, n in new.items():
+            self.bag.updateValue((domain,), (n,))
+            domains.append(domain)
+            counts.append(n)
+        if domains:
+            yield pd.DataFrame({"uid": uid, "domain": domains, "n": counts})
+        elif empty:
+            # A user without any usable domain is still scored (empty bag).
+            yield pd.DataFrame({"uid": [uid], "domain": pd.array([None], dtype="string"), "n": [0]})
+
+    def close(self) -> None:
+        pass
 
 
 def user_bag_stream(messages: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
     """``uid, domain, n``: full current bag of every user updated in a batch.
 
-    By default a user's state is kept for ever (as in the reference).
-    ``state_ttl_ms`` bounds it instead: a user idle for longer (processing
-    time) is forgotten, and a returning user starts a fresh bag.
+    Start it with ``STATE_CONF`` (``sinks``' functions take it as ``conf``). By
+    default a user's state is kept for ever (as in the reference).
+    ``state_ttl_ms`` bounds it instead: a domain that a user hasn't visited for
+    longer (processing time) leaves the bag, and a user idle for longer starts a
+    fresh one.
     """
     counted = visit_domain_stream(messages).mapInArrow(_combine, BAG_SCHEMA)
-    if state_ttl_ms is None:
-        return counted.groupBy("uid").applyInPandasWithState(
-            _update_bag, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
-        )
-    ttl = int(state_ttl_ms)
-
-    def update(key, batches, state):
-        return _update_bag(key, batches, state, ttl)
-
-    return counted.groupBy("uid").applyInPandasWithState(
-        update, BAG_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    mode = "None" if state_ttl_ms is None else "ProcessingTime"
+    processor = DomainBag(None if state_ttl_ms is None else int(state_ttl_ms))
+    return counted.groupBy("uid").transformWithStateInPandas(processor, BAG_SCHEMA, "Update", mode)
 
 
 def scoring_sink(model: DomainModel, out: str, compact_every: int | None = None) -> sinks.VersionedSink:
@@ -111,5 +128,5 @@ def run_to_table(
 ) -> DataFrame:
     stream = user_bag_stream(messages, state_ttl_ms)
     drain = sinks.run_available if state_ttl_ms is None else sinks.run_until_caught_up
-    drain(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=partitions)
+    drain(stream, scoring_sink(model, out), checkpoint, "update", state_partitions=partitions, conf=STATE_CONF)
     return sinks.latest(spark, out, ("uid",))

@@ -100,26 +100,43 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int | None:
     return upto
 
 
-class state_width:  # noqa: N801 - used as a function
-    """Pin the shuffle width a new stateful query records in its checkpoint.
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for streams, with the same settings.
+
+    What a query must have set when it starts (state partitions, state store) is
+    set on its stream's session; on one of its own no other plan sees it.
+    """
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and own.conf.get(k, None) != v and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
+
+
+class starting_with:  # noqa: N801 - used as a function
+    """Settings that a new query records: ``partitions`` of its state and ``conf``.
 
     The number of state partitions is fixed when a query first starts; a
     key space that stays small (e.g. hour windows) needs few of them, each
     costing a task per micro-batch. A resumed query keeps the number stored
-    in its checkpoint whatever is set here.
+    in its checkpoint whatever is set here. The session has its own settings
+    back once the query has started.
     """
 
-    def __init__(self, spark: SparkSession, n: int | None):
-        self.spark, self.n, self.old = spark, n, None
+    def __init__(self, spark: SparkSession, partitions: int | None, conf: dict[str, str] | None = None):
+        self.spark, self.new = spark, dict(conf or {})
+        if partitions:
+            self.new["spark.sql.shuffle.partitions"] = str(partitions)
+        self.old: dict[str, str | None] = {}
 
     def __enter__(self):
-        if self.n:
-            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        for k, v in self.new.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
 
     def __exit__(self, *exc):
-        if self.n:
-            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        for k, v in self.old.items():
+            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
 
 def run_available(
@@ -129,6 +146,7 @@ def run_available(
     output_mode: str = "update",
     name: str | None = None,
     state_partitions: int | None = None,
+    conf: dict[str, str] | None = None,
 ):
     """Process everything available now, then stop (batch-like runs, tests).
 
@@ -138,7 +156,7 @@ def run_available(
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    with state_width(stream.sparkSession, state_partitions):
+    with starting_with(stream.sparkSession, state_partitions, conf):
         q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
@@ -153,6 +171,7 @@ def run_until_caught_up(
     checkpoint: str,
     output_mode: str = "update",
     state_partitions: int | None = None,
+    conf: dict[str, str] | None = None,
 ):
     """Process everything available, then stop, for queries with state timeouts.
 
@@ -165,7 +184,7 @@ def run_until_caught_up(
     old = spark.conf.get(NO_DATA_BATCHES)
     spark.conf.set(NO_DATA_BATCHES, "false")
     try:
-        return run_available(stream, sink, checkpoint, output_mode, state_partitions=state_partitions)
+        return run_available(stream, sink, checkpoint, output_mode, state_partitions=state_partitions, conf=conf)
     finally:
         spark.conf.set(NO_DATA_BATCHES, old)
 
@@ -178,10 +197,11 @@ def start(
     processing_time: str = "5 seconds",
     name: str | None = None,
     state_partitions: int | None = None,
+    conf: dict[str, str] | None = None,
 ):
     """Start a long-running query with a processing-time trigger."""
     w = stream.writeStream.outputMode(output_mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    with state_width(stream.sparkSession, state_partitions):
+    with starting_with(stream.sparkSession, state_partitions, conf):
         return w.trigger(processingTime=processing_time).start()

@@ -51,7 +51,7 @@ def test_scoring_stream_state_is_bag(spark):
 
     # every domain is kept, whatever a model's vocabulary holds
     bags = scoring_stream.user_bag_stream(stream)
-    sinks.run_available(bags, sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"))
+    sinks.run_available(bags, sinks.VersionedSink(out), staging_path(spark, "t-bags-ck"), state_partitions=2, conf=scoring_stream.STATE_CONF)
     final = sinks.latest(spark, out, ("uid", "domain")).collect()
     got = sorted((r.uid, r.domain or "", r.n) for r in final)
     assert got == [("u1", "a.com", 2), ("u1", "b.com", 1), ("u2", "", 0)]
@@ -117,7 +117,7 @@ def test_scoring_stream_resumes_with_state(spark):
     def run():
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
         sinks.run_available(scoring_stream.user_bag_stream(stream),
-                            scoring_stream.scoring_sink(model, out), ck, "update")
+                            scoring_stream.scoring_sink(model, out), ck, "update", conf=scoring_stream.STATE_CONF)
 
     for half in (0, 1):  # a user's lines arrive in both halves
         part = logs.where(F.col("_h") == half).select(F.to_json(F.struct("uid", "visits")).alias("value"))
@@ -144,7 +144,7 @@ def test_scoring_state_ttl_forgets_idle_users(spark):
     def run():
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
         bags = scoring_stream.user_bag_stream(stream, state_ttl_ms=1000)
-        sinks.run_until_caught_up(bags, sinks.VersionedSink(out), ck)
+        sinks.run_until_caught_up(bags, sinks.VersionedSink(out), ck, conf=scoring_stream.STATE_CONF)
 
     add("u1", 2)
     run()
@@ -173,7 +173,7 @@ def test_retrained_model_reads_an_old_checkpoint(spark):
         vocab = spark.createDataFrame(list(vocabulary.items()), "domain string, idx int")
         stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
         sink = sinks.VersionedSink(out, lambda batch, vocab=vocab: Mo.index_domains(batch, vocab))
-        sinks.run_available(scoring_stream.user_bag_stream(stream), sink, ck)
+        sinks.run_available(scoring_stream.user_bag_stream(stream), sink, ck, conf=scoring_stream.STATE_CONF)
         seen.append({(r.domain, r.idx, r.n) for r in sinks.newest(spark, out).collect()})
     assert seen == [{("a.com", 0, 1)}, {("a.com", 2, 1), ("c.com", 1, 1), ("z.com", None, 1)}]
 
@@ -201,16 +201,16 @@ def test_drain_reads_new_input_after_an_unfinished_batch(spark):
             raise RuntimeError("lost")
         sinks.VersionedSink(out)(batch, batch_id)
 
-    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2)
+    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2, conf=scoring_stream.STATE_CONF)
     fail["on"] = True
-    q = sinks.start(bags(), sink, ck, processing_time="100 milliseconds", state_partitions=2)  # plans a batch without data, which fails
+    q = sinks.start(bags(), sink, ck, processing_time="100 milliseconds", state_partitions=2, conf=scoring_stream.STATE_CONF)  # plans a batch without data, which fails
     deadline = _t.monotonic() + 60
     while q.isActive and _t.monotonic() < deadline:
         _t.sleep(0.2)
     q.stop()
     fail["on"] = False
     add("u2")
-    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2)
+    sinks.run_until_caught_up(bags(), sink, ck, state_partitions=2, conf=scoring_stream.STATE_CONF)
     assert {r.uid for r in sinks.latest(spark, out, ("uid", "domain")).collect()} == {"u1", "u2"}
 
 
@@ -221,3 +221,34 @@ def test_busy_user_is_counted_before_the_shuffle(spark):
     counted = visits.mapInArrow(scoring_stream._combine, scoring_stream.BAG_SCHEMA).collect()
     hot = [r for r in counted if r.uid == "hot"]
     assert len(hot) == 2 and sum(r.n for r in hot) == 2000 and len(counted) == 102
+
+
+def test_state_writes_follow_the_changes(spark):
+    """One more visit of a user with 3,000 domains writes one entry, not the bag."""
+    import os
+
+    from clickmart.streaming import sinks
+
+    src, out, ck = (staging_path(spark, f"t-delta-{k}") for k in ("src", "out", "ck"))
+    written = []
+    for domains in ([f"d{i}.com" for i in range(3000)], ["d7.com"]):
+        spark.createDataFrame([(_message("u", *domains),)], "value string").coalesce(1).write.mode("append").text(src)
+        stream = spark.readStream.schema("value string").text(src)
+        sinks.run_available(scoring_stream.user_bag_stream(stream), sinks.VersionedSink(out), ck, state_partitions=1, conf=scoring_stream.STATE_CONF)
+        logs = [os.path.join(d, f) for d, _, fs in os.walk(ck.removeprefix("file:") + "/state") for f in fs if f.endswith(".changelog")]
+        written.append(sum(os.path.getsize(f) for f in logs))
+    bag = {r.domain: r.n for r in sinks.newest(spark, out).collect()}
+    assert len(bag) == 3000 and bag["d7.com"] == 2 and sum(bag.values()) == 3001
+    assert 0 < written[1] - written[0] < written[0] / 20
+
+
+def test_stream_settings_stay_in_their_session(spark):
+    from clickmart.streaming import sinks
+
+    own = sinks.stream_session(spark)
+    assert own.conf.get("spark.sql.session.timeZone") == "UTC" and own.conf.get("spark.sql.shuffle.partitions") == "4"
+    with sinks.starting_with(own, 9, scoring_stream.STATE_CONF):
+        assert own.conf.get("spark.sql.shuffle.partitions") == "9"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert own.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert "RocksDB" not in own.conf.get("spark.sql.streaming.stateStore.providerClass")

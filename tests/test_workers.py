@@ -34,7 +34,7 @@ SCRIPT = textwrap.dedent(
     spark.createDataFrame([('{{"uid":"u1","visits":[{{"url":"http://a.com/","timestamp":1}}]}}',)], "value string").write.text(src)
     stream = spark.readStream.schema("value string").text(src)
     out = staging_path(spark, "w-out")
-    sinks.run_available(scoring_stream.user_bag_stream(stream), sinks.VersionedSink(out), staging_path(spark, "w-ck"))
+    sinks.run_available(scoring_stream.user_bag_stream(stream), sinks.VersionedSink(out), staging_path(spark, "w-ck"), state_partitions=2, conf=scoring_stream.STATE_CONF)
     assert spark.read.parquet(out).count() == 1
     print("WORKERS-OK")
     """
