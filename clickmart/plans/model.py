@@ -10,14 +10,14 @@ produce (term counts over the vocabulary).
 * Vocabulary: domains by total visits (desc, then domain), at most
   ``vocab_size`` (the count vectoriser's default, 2^18), with
   ``min_df`` documents. Whether it is broadcast to the per-user join is left
-  to AQE; it is saved next to the model with its size.
+  to AQE; it is saved in the pipeline's first stage.
 * Label indexer: fitted on all labelled users before the split (as the
   reference does), frequency order with alphabetical ties.
 * Split: a hash of ``uid`` and the seed, stable under repartitioning.
 * Classifier: multinomial logistic regression, ``maxIter`` 100,
-  ``regParam`` 0.001, inside a ``Pipeline`` with the label indexer and the
-  index-to-label stage; the fitted ``PipelineModel`` is saved and loaded
-  with Spark ML's own writer.
+  ``regParam`` 0.001, inside a ``Pipeline`` with the vectoriser, the label
+  indexer and the index-to-label stage. The fitted ``PipelineModel`` is one
+  artefact: ``PipelineModel.load`` alone scores bag rows.
 
 Assembling the ``SparseVector`` column is the only Python step (Spark SQL
 has no vector constructor): an Arrow-batched pandas UDF that puts the
@@ -30,11 +30,12 @@ from dataclasses import dataclass
 
 import pandas as pd
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,41 +120,86 @@ def split_column(uid: str = "uid", seed: int = SEED, train_fraction: float = TRA
     return F.when(h % 100 < int(round(train_fraction * 100)), F.lit("train")).otherwise(F.lit("test"))
 
 
+class BagVectorizer(Transformer, MLWritable, MLReadable):
+    """ML stage: bag rows ``keys..., domain, n`` -> ``keys..., features``, one row a key.
+
+    The keys are all columns but ``domain`` and ``n``. The vocabulary
+    (``domain, idx``) is kept as a table, joined and not looked up row by row,
+    and is saved inside the stage with its size and fingerprint.
+    """
+
+    def __init__(self, vocabulary: DataFrame | None = None):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return vectorize(dataset, self.vocabulary, tuple(c for c in dataset.columns if c not in ("domain", "n")))
+
+    def write(self) -> MLWriter:
+        return _BagVectorizerWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _BagVectorizerReader()
+
+
+class _BagVectorizerWriter(MLWriter):
+    def __init__(self, stage: BagVectorizer):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802 - Spark's name
+        spark = self.stage.vocabulary.sparkSession
+        self.stage.vocabulary.write.parquet(f"{path}/vocabulary")
+        kept = vocabulary_print(spark.read.parquet(f"{path}/vocabulary")).first()
+        DefaultParamsWriter.saveMetadata(self.stage, path, spark, extraMetadata={"vocabulary": kept.asDict()})
+
+
+class _BagVectorizerReader(MLReader):
+    def load(self, path: str) -> BagVectorizer:
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        stage = BagVectorizer(spark.read.parquet(f"{path}/vocabulary"))
+        stage._resetUid(metadata["uid"])
+        if vocabulary_print(stage.vocabulary).first().asDict() != metadata["vocabulary"]:
+            raise ValueError(f"{path}: the vocabulary is not the one that was saved")
+        return stage
+
+
 @dataclass
 class DomainModel:
-    """A fitted vocabulary plus the fitted pipeline (indexer, LR, un-indexer)."""
+    """The fitted pipeline (vectoriser, label indexer, LR, un-indexer) with what the scorers ask of it.
+
+    What is saved is the plain ``PipelineModel``: ``PipelineModel.load`` gives
+    a pipeline that scores bag rows by itself.
+    """
 
-    vocabulary: DataFrame
     pipeline: PipelineModel
 
     def save(self, path: str) -> None:
-        """Vocabulary, pipeline, and a manifest that ties the two together."""
-        self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = self.vocabulary.sparkSession
-        print_of = vocabulary_print(spark.read.parquet(f"{path}/vocabulary"))
-        manifest = print_of.withColumn("features", F.lit(self.n_features))
-        manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+        self.pipeline.write().overwrite().save(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "DomainModel":
-        model = cls(spark.read.parquet(f"{path}/vocabulary"), PipelineModel.load(f"{path}/pipeline"))
-        kept = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest").first()
-        found = vocabulary_print(model.vocabulary).first()
-        if (kept.size, kept.fingerprint, kept.features) != (found.size, found.fingerprint, model.n_features):
-            raise ValueError(f"{path}: vocabulary and pipeline do not belong together")
-        return model
+        return cls(PipelineModel.load(path))
+
+    def _stage(self, kind: type):
+        return next(s for s in self.pipeline.stages if isinstance(s, kind))
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        return self._stage(BagVectorizer).vocabulary
 
     @property
     def n_features(self) -> int:
-        return int(self.pipeline.stages[1].numFeatures)
+        return int(self._stage(LogisticRegressionModel).numFeatures)
 
     @property
     def labels(self) -> list[str]:
-        return list(self.pipeline.stages[0].labels)
+        return list(self._stage(StringIndexerModel).labels)
 
     def transform(self, bags: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        return self.pipeline.transform(vectorize(bags, self.vocabulary, keys))
+        return self.pipeline.transform(bags.select(*keys, "domain", "n"))
 
     def score(self, bags: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         """``keys..., gender_age`` = predicted label."""
@@ -161,9 +207,6 @@ class DomainModel:
         return out.select(*keys, F.col("predictedLabel").alias(LABEL))
 
 
-MANIFEST_SCHEMA = "size long, fingerprint string, features long"
-
-
 def vocabulary_print(vocab: DataFrame) -> DataFrame:
     """One row: ``size`` and an order-free ``fingerprint`` of the vocabulary."""
     total = F.sum(F.xxhash64("domain", "idx").cast("decimal(38,0)"))
@@ -181,13 +224,17 @@ def train(
     reg_param: float = REG_PARAM,
     train_fraction: float = TRAIN_FRACTION,
     vocab_size: int = VOCAB_SIZE,
+    written: bool = False,
 ) -> tuple[DomainModel, DataFrame]:
-    """Fit on the train share; returns the model and the test predictions."""
+    """Fit on the train share; returns the model and the test predictions.
+
+    ``written`` says that ``bags`` is a table and needs no copy of its own.
+    """
     keys = ("uid", LABEL)
     shared_root(bags.sparkSession)
     # The bags feed the indexer, the vocabulary, the vectors and the test
     # share: computed once and kept in the shared folder.
-    bags = bags.checkpoint(eager=True)
+    bags = bags if written else bags.checkpoint(eager=True)
     users = bags.select(*keys).distinct()
     indexer = label_indexer(users).fit(users)
     split = split_column(seed=seed, train_fraction=train_fraction)
@@ -206,7 +253,7 @@ def train(
     # instead of re-running the whole derivation.
     train_vec = vectorize(train_bags, vocab, keys).checkpoint(eager=True)
     pipeline = Pipeline(stages=[indexer, lr, to_label]).fit(train_vec)
-    model = DomainModel(vocab, pipeline)
+    model = DomainModel(PipelineModel([BagVectorizer(vocab), *pipeline.stages]))
     return model, model.transform(test_bags, keys)
 
 

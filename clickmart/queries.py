@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -682,7 +683,7 @@ def q_train_test_split(spark, sf_dir):
 def _trained(spark, sf_dir):
     """Train, save, load back: the scorers use the loaded model. Also the test predictions and the bags, which are written once."""
     bags = files.read_parquet(spark, files.write_parquet(_labelled_bags(spark, sf_dir), staging_path(spark, "bags")))
-    m, test_pred = model.train(bags)
+    m, test_pred = model.train(bags, written=True)
     path = staging_path(spark, "model")
     m.save(path)
     return model.DomainModel.load(spark, path), test_pred, bags
@@ -719,6 +720,22 @@ def q_train_score_roundtrip(spark, sf_dir):
     return loaded.score(bags.drop(model.LABEL), ("uid",)).select("uid", _is_label(loaded))
 
 
+@register(
+    "score_by_loaded_pipeline",
+    _sql(["clean_visits", "clients_banded"], LABEL_USERS_CTE, "SELECT uid, TRUE AS same_as_fitted, TRUE AS fitted_label FROM users"),
+)
+def q_score_by_loaded_pipeline(spark, sf_dir):
+    """K8/M6/M8: the saved artefact read with Spark ML's own ``PipelineModel.load`` scores bag rows as the fitted model does."""
+    bags = files.read_parquet(spark, files.write_parquet(_labelled_bags(spark, sf_dir), staging_path(spark, "bags")))
+    fitted, _ = model.train(bags, written=True)
+    path = staging_path(spark, "model")
+    fitted.save(path)
+    rows = bags.drop(model.LABEL)
+    loaded = PipelineModel.load(path).transform(rows).select("uid", F.col("predictedLabel").alias(model.LABEL))
+    both = loaded.join(fitted.score(rows, ("uid",)).withColumnRenamed(model.LABEL, "fitted"), "uid", "full")
+    return both.select("uid", F.col(model.LABEL).eqNullSafe(F.col("fitted")).alias("same_as_fitted"), _is_label(fitted))
+
+
 @register("score_users_by_day", O.with_ctes(["visits"], "SELECT DISTINCT uid, date, TRUE AS fitted_label FROM visits"))
 def q_score_users_by_day(spark, sf_dir):
     """Predicted gender/age per user and day from dated web logs (users without a usable domain too)."""

@@ -1,3 +1,7 @@
+import os
+
+import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
@@ -48,6 +52,34 @@ def test_train_save_load_score(spark):
     assert set(by_day.columns) == {"uid", "gender_age", "date"} and by_day.count() > 0
 
 
+def test_plain_pipeline_load_scores_alone(spark):
+    """One artefact: Spark ML's own loader gives a pipeline that takes bag rows of any keys."""
+    bags = Mo.labelled_bags(D.labelled_weblogs(spark, SF))
+    model, _ = Mo.train(bags, max_iter=5)
+    path = staging_path(spark, "t-pipeline")
+    model.save(path)
+    rows = bags.drop(Mo.LABEL)
+    loaded = PipelineModel.load(path)
+    got = loaded.transform(rows).select("uid", "predictedLabel")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, model.score(rows, ("uid",)).collect()))
+    dated = loaded.transform(rows.withColumn("date", F.lit("20240101")))
+    assert {"date", "uid", "features", "predictedLabel"} <= set(dated.columns) and dated.count() == rows.select("uid").distinct().count()
+    assert loaded.stages[0].uid == model.pipeline.stages[0].uid
+    # users without any known domain are scored too
+    assert loaded.transform(spark.createDataFrame([("x", None, 0), ("y", "unseen.example", 3)], rows.schema)).count() == 2
+
+
+def test_changed_vocabulary_is_refused(spark):
+    bags = Mo.labelled_bags(D.labelled_weblogs(spark, SF))
+    model, _ = Mo.train(bags, max_iter=1)
+    path = staging_path(spark, "t-changed")
+    model.save(path)
+    stage = next(d for d in os.listdir(f"{path}/stages".removeprefix("file:")) if "BagVectorizer" in d)
+    spark.createDataFrame([("other.example", 0)], "domain string, idx int").write.mode("overwrite").parquet(f"{path}/stages/{stage}/vocabulary")
+    with pytest.raises(ValueError, match="vocabulary"):
+        PipelineModel.load(path)
+
+
 def test_label_indexer_frequency_then_alpha(spark):
     users = spark.createDataFrame([("u1", "b"), ("u2", "a"), ("u3", "c"), ("u4", "c")], "uid string, gender_age string")
     idx = Mo.label_indexer(users).fit(users)
