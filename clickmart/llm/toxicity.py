@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,8 @@ from clickmart.llm.tokens import worker_store
 
 BUCKETS, WIDTH = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
-#: Most training documents of each class (taken by a hash of their id), and most distinct words of one (by a hash too).
-SAMPLE_DOCS, SAMPLE_WORDS = (6_000, 3_000), 4_096
+#: Most training documents of each class (taken by a hash of their id); all words of each are used.
+SAMPLE_DOCS = (6_000, 3_000)
 EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.5, 1e-6
 FOLDS = 5
 CACHE_WORDS = 800_000
@@ -54,11 +56,31 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def train(bags: list[tuple[list[str], list[int]]], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> Model:
+class Bags(NamedTuple):
+    """Distinct words of documents and how often each has them: document i has the entries ``ends[i]`` to ``ends[i + 1]``."""
+
+    lexicon: list[str]
+    words: np.ndarray  # places in the lexicon
+    counts: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, words: pa.ListArray, counts: pa.ListArray) -> Bags:
+        """From columns of lists; strings are made of the distinct words only."""
+        coded = words.flatten().dictionary_encode()
+        return cls(coded.dictionary.to_pylist(), coded.indices.to_numpy(), counts.flatten().to_numpy(), words.offsets.to_numpy() - words.offsets[0].as_py())
+
+
+def slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of many slices, one after another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def train(bags: Bags, labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Joint training of embeddings and softmax: Adagrad on the weighted log loss, a batch of documents at a time.
 
-    ``bags`` has distinct words and counts of each document, ``weights`` what a
-    document counts for. With one class only, or none, the model knows no words.
+    ``weights`` are what a document counts for. With one class only, or none,
+    the model knows no words.
     """
     total = weights.sum()
     share = float((weights * labels).sum() / total) if total else 0.0
@@ -66,15 +88,15 @@ def train(bags: list[tuple[list[str], list[int]]], labels: np.ndarray, weights:
     prior = float(np.log(share / (1 - share)))
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
-    known: dict[str, np.ndarray] = {}
-    rows, parts = [], []
-    for words, counts in bags:
-        grams = [known[w] if w in known else known.setdefault(w, np.array(subwords(w), dtype=np.int32)) for w in words]
-        n = max(1, sum(counts))
-        part = [np.full(len(g), SCALE * c / n / len(g), dtype=np.float32) for g, c in zip(grams, counts, strict=True)]
-        used, at = np.unique(np.concatenate(grams) if grams else np.zeros(0, dtype=np.int32), return_inverse=True)
-        rows.append(used)
-        parts.append(np.bincount(at, np.concatenate(part) if part else None, minlength=len(used)).astype(np.float32))
+    grams, sizes = array("i"), array("q")
+    for word in bags.lexicon:
+        own = subwords(word)
+        grams.extend(own)
+        sizes.append(len(own))
+    flat, sizes = np.frombuffer(grams, np.intc), np.frombuffer(sizes, np.int64)
+    firsts = np.cumsum(sizes) - sizes
+    lengths = np.diff(bags.ends)
+    n_words = np.maximum(1, np.add.reduceat(np.append(bags.counts, 0), bags.ends[:-1]) * (lengths > 0))
 
     rng = np.random.default_rng(7)
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
@@ -85,11 +107,14 @@ def train(bags: list[tuple[list[str], list[int]]], labels: np.ndarray, weights:
     trained = np.zeros(BUCKETS, dtype=bool)
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
-        order = rng.permutation(len(bags))
+        order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             docs = order[at : at + BATCH]
-            row, part = np.concatenate([rows[i] for i in docs]), np.concatenate([parts[i] for i in docs])
-            doc = np.repeat(np.arange(len(docs)), [len(rows[i]) for i in docs])
+            entry = slices(bags.ends[docs], lengths[docs])  # distinct words of these documents
+            of = np.repeat(np.arange(len(docs)), lengths[docs])
+            word = bags.words[entry]
+            row, doc = flat[slices(firsts[word], sizes[word])], np.repeat(of, sizes[word])
+            part = np.repeat(SCALE * bags.counts[entry] / n_words[docs][of] / sizes[word], sizes[word]).astype(np.float32)
             project = table[row] @ soft  # of each entry
             odds = np.bincount(doc, part * project, minlength=len(docs)) + bias
             error = ((1 / (1 + np.exp(-odds)) - labels[docs]) * weight[docs] / len(docs)).astype(np.float32)
@@ -117,7 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: tuple[
     """Train on labelled rows (doc_id, ``label`` 0 or 1): at most about ``sample`` documents of each class.
 
     The sample is weighted back to the classes' true shares. Rows without a label
-    or id are left out; a document with several labels has the largest.
+    or id are left out; a document with several labels has the largest. Long texts
+    are taken whole, NULL texts as empty; a repeated document counts each time.
+    Without labelled documents the model is a prior of almost 0.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max((F.col(label) > 0).cast("int")).alias("_label"))
     count = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
@@ -129,24 +156,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: tuple[
         for batch in batches:
             words, counts = [], []
             for text in batch.column("text").to_pylist():
-                c = Counter(words_of(text))
-                kept = sorted(c) if len(c) <= SAMPLE_WORDS else sorted(sorted(c, key=lambda w: zlib.crc32(w.encode("utf-8", "surrogatepass")))[:SAMPLE_WORDS])
-                words.append(kept)
-                counts.append([c[w] for w in kept])
+                c = sorted(Counter(words_of(text)).items())
+                words.append([w for w, _ in c])
+                counts.append([n for _, n in c])
             columns = [batch.column("doc_id"), batch.column("_label"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_label", "words", "counts"])
 
     texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")  # the sample's size is bounded
-    rows = texts.mapInArrow(bag, "doc_id long, _label int, words array<string>, counts array<int>").toArrow().sort_by("doc_id").to_pydict()
-    y = np.array(rows["_label"], dtype=np.float32)
+    rows = texts.mapInArrow(bag, "doc_id long, _label int, words array<string>, counts array<int>").toArrow()
+    rows = rows.take(pa.compute.sort_indices(rows, [("doc_id", "ascending")])).combine_chunks()
+    y = rows["_label"].to_numpy().astype(np.float32)
     weights = np.where(y > 0, 1 / max(share[1], 1e-12), 1 / max(share[0], 1e-12))
-    return train(list(zip(rows["words"], rows["counts"], strict=True)), y, weights)
+    bags = Bags.of(*(rows[c].combine_chunks() if rows[c].num_chunks != 1 else rows[c].chunk(0) for c in ("words", "counts")))
+    return train(bags, y, weights)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 of its whole text, from the text alone.
 
-    NULL and empty texts, and texts without words, have the model's prior.
+    NULL and empty texts, and texts without words, have the model's prior; long
+    texts are scored whole. An empty table gives an empty one.
     Repeated texts score alike. Other columns pass through; one named ``column``
     is replaced.
     """

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickmart.llm import toxicity
@@ -79,3 +80,22 @@ def test_edge_rows_and_tables(spark):
     assert all(r.score < 0.5 for r in toxicity.score(docs, nothing).collect())
     one_class = toxicity.fit(docs, labels.where("toxic = 1"))
     assert all(r.score > 0.5 for r in toxicity.score(docs, one_class).collect())
+
+
+def test_every_word_of_a_long_training_text_counts(spark):
+    """The marked word is one of 20,000 distinct words of its documents; no sample of words is taken."""
+    rng = random.Random(5)
+    filler = [f"{a}{b}{c}{d}" for a in "bcdfghjklmnp" for b in "aeiou" for c in "bcdfghjklmnprst" for d in range(25)]
+    long = [(i, " ".join(rng.sample(filler, 20_000) + (["zzyzzyx"] * 400 if i % 2 else []))) for i in range(1, 25)]
+    docs = spark.createDataFrame(long, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in long], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    word = {w: float(model.margins[toxicity.subwords(w)].mean()) for w in ["zzyzzyx", *filler[:200]]}
+    assert max(word, key=word.get) == "zzyzzyx"
+
+
+def test_bags_of_sliced_columns():
+    words, counts = pa.array([["x"], ["a", "b"], [], ["b", "c"]]), pa.array([[9], [1, 2], [], [3, 4]], pa.list_(pa.int32()))
+    bags = toxicity.Bags.of(words.slice(1), counts.slice(1))
+    assert [bags.lexicon[i] for i in bags.words] == ["a", "b", "b", "c"]
+    assert bags.counts.tolist() == [1, 2, 3, 4] and bags.ends.tolist() == [0, 2, 2, 4]
