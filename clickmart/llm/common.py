@@ -44,9 +44,20 @@ def row_key(*columns: Column) -> tuple[Column, Column]:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
+    return staged_as(df, name)[0]
+
+
+def staged_as(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stage`` that also tells the folder, for ``discard`` when nothing reads it any more."""
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``staged_as`` made, once what came of it is written elsewhere."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -31,20 +31,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import stage, text_of
+from clickmart.llm.common import discard, stage, staged_as, text_of
 from clickmart.llm.tokens import worker_store
+from clickmart.llm.vectors import sweep
 
 WORDS, PERCENT = 4, 85
 #: A band's largest size against its smallest.
 BAND = 1.5
-#: 64-bit words of the sketch that pairs are sifted by.
-SKETCH_WORDS = 32
+#: Fewest 64-bit words of the sketch that pairs are sifted by; larger sets have a bit a shingle or more.
+SKETCH_WORDS = 4
 #: Rounds in which a key's members are compared with one of them, before the rest are compared in pairs.
 ROUNDS = 2
 #: Pairs up to which they are broadcast to the table of sets, first bare and then with a sketch (about 300 bytes each).
 FEW_PAIRS = 50_000
 #: Documents to compare closely, up to which their ids are broadcast to the scan (8 bytes each).
 FEW_IDS = 1_000_000
+#: Members of a key up to which they are joined with themselves in SQL; more are dealt into blocks of so many.
+FEW_MEMBERS, BLOCK_MEMBERS = 64, 4_096
+#: Sketch words that are compared at once.
+TILE = 1 << 22
 CACHE_WORDS = 800_000
 _ALL = (1 << 64) - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -132,10 +137,14 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """A parity sketch of fixed length, to compare any two sets."""
-    out = np.zeros(SKETCH_WORDS, dtype=np.uint64)
+    """A parity sketch whose length is a power of two, as the set's size asks for.
+
+    The XOR of its halves is the sketch of half the length, so any two can be compared.
+    """
+    words = max(SKETCH_WORDS, 1 << max(0, (len(s) - 1) // 64).bit_length())
+    out = np.zeros(words, dtype=np.uint64)
     at = mix64(s + _M2)
-    np.bitwise_xor.at(out, (at >> np.uint64(32)) % np.uint64(SKETCH_WORDS), np.uint64(1) << (at & np.uint64(63)))
+    np.bitwise_xor.at(out, (at >> np.uint64(32)) & np.uint64(words - 1), np.uint64(1) << (at & np.uint64(63)))
     return out
 
 
@@ -181,7 +190,15 @@ def with_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def sketch_distance(one: str, other: str) -> Column:
-    return F.aggregate(F.zip_with(one, other, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    """Bits that differ, at the length of the shorter sketch (NULL for lengths further apart than twofold: such sets never link)."""
+
+    def folded(own: str, to: str) -> Column:
+        half = F.shiftright(F.size(own), 1)
+        halves = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(own) > F.size(to), halves).otherwise(F.col(own))
+
+    bits = F.zip_with(folded(one, other), folded(other, one), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda s, v: s + v)
 
 
 def may_link(n1: str, n2: str, sketch1: str, sketch2: str, percent: int) -> Column:
@@ -196,20 +213,85 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
     def side(c: str) -> DataFrame:
         return classes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}"))
 
-    pairs = stage(pairs, "candidates")
+    spark = docs.sparkSession
+    pairs, looked_at = staged_as(pairs, "candidates")
     small = F.broadcast if pairs.count() <= FEW_PAIRS else (lambda x: x)
     near = side("b").join(small(side("a").join(small(pairs), "a")), "b").where(may_link("na", "nb", "sketcha", "sketchb", percent))
     near = stage(near.select("a", "b").distinct(), "pairs")
+    discard(spark, looked_at)
     if not near.take(1):
         return near
     ids = stage(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     few = ids.count() <= FEW_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = stage(with_sets(texts, words), "sets")  # rows that repeat an id meet as equal links
+    sets, heavy = staged_as(with_sets(texts, words), "sets")  # rows that repeat an id meet as equal links
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = near.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return stage(both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
+    links = stage(both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct(), "links")
+    discard(spark, heavy)
+    return links
+
+
+class Members:
+    """Members of a common key, with sketches at the length of the shortest."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch):
+        self.ids, self.groups, self.n = (table[c].to_numpy() for c in ("id", "group", "n"))
+        lists = [np.asarray(v.values, dtype=np.int64).view(np.uint64) for v in table["sketch"]]
+        self.words = min(map(len, lists))
+        self.sketches = np.stack([self.folded(v, self.words) for v in lists])
+
+    @staticmethod
+    def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+    def at(self, words: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(self.sketches.reshape(len(self.ids), -1, words), axis=1)
+
+
+def _near_members(percent: int):
+    """Pairs of members in different groups whose sizes and sketches leave room for the similarity."""
+
+    def answer(block: Members, batch: pa.RecordBatch) -> pa.RecordBatch:
+        asked = Members(batch)
+        words = min(block.words, asked.words)
+        own, other = block.at(words), asked.at(words)
+        low, high = np.minimum, np.maximum
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        step = max(1, TILE // (len(own) * words))
+        for at in range(0, len(other), step):
+            part = slice(at, at + step)
+            n, m = asked.n[part, None], block.n[None, :]
+            apart = np.bitwise_count(other[part, None, :] ^ own[None, :, :]).sum(axis=2, dtype=np.int64)
+            near = (asked.ids[part, None] < block.ids[None, :]) & (asked.groups[part, None] != block.groups[None, :])
+            near &= (100 * low(n, m) >= percent * high(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+            i, j = np.nonzero(near)
+            a.append(asked.ids[part][i])
+            b.append(block.ids[j])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return answer
+
+
+def near_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """a, b: members (key, size of the key, rep, group, n, sketch) of one key in different groups that may link.
+
+    Keys of few members are joined with themselves. Members of a common key are
+    dealt into blocks, which all of its members pass in Arrow batches: no task
+    holds more than a block and a batch of it.
+    """
+    few = members.where(F.col("size") <= FEW_MEMBERS)
+    x, y = (few.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("rep", "group", "n", "sketch"))) for i in (1, 2))
+    near = (F.col("rep1") < F.col("rep2")) & (F.col("group1") != F.col("group2")) & may_link("n1", "n2", "sketch1", "sketch2", percent)
+    pairs = x.join(y, (x["key"] == y["key"]) & near).select(F.col("rep1").alias("a"), F.col("rep2").alias("b"))
+    many = members.where(F.col("size") > FEW_MEMBERS).withColumnRenamed("rep", "id").withColumn("blocks", F.ceil(F.col("size") / BLOCK_MEMBERS))
+    largest = many.agg(F.max("size")).first()[0]
+    if largest is None:
+        return pairs
+    index = many.withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).drop("blocks", "size")
+    asked = many.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks", "size")
+    return pairs.union(sweep(index, asked, ["key", "block"], largest, Members, _near_members(percent), "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,8 +326,9 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sets, and rows of one id with several texts are one document with the links of
     them all. Extra columns are left out; an empty table gives an empty table.
     """
-    nodes = stage(shingled(docs, words, percent), "shingled")
-    some = nodes.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    spark = docs.sparkSession
+    whole, heavy = staged_as(shingled(docs, words, percent), "shingled")
+    some = whole.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stage(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
     # Copies have equal keys: they are posted by class, and keys of one class bring nothing together.
@@ -253,6 +336,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     w = Window.partitionBy("key")
     shared = posted.withColumns({"low": F.min("c1").over(w), "high": F.max("c1").over(w)}).where("low <> high").select("key", "c1").distinct()
     members = stage(shared.join(classes.select("c1", "rep"), "c1").select("key", "rep"), "members")
+    nodes = stage(whole.select("doc_id", "n", "c1", "c2"), "nodes")
+    discard(spark, heavy)  # sketches are with the classes, keys with the members
 
     edges = found = None
     for r in range(ROUNDS + 1):
@@ -260,26 +345,25 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             grouped = members.withColumn("group", F.col("rep"))
         else:
             grouped = members.join(found, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("group"))
-        grouped = grouped.withColumns({"low": F.min("group").over(w), "high": F.max("group").over(w), "size": F.count(F.lit(1)).over(w)})
-        grouped = grouped.where((F.col("low") != F.col("high")) & (F.col("size") > (1 if r == 0 else 2)))  # the first round has seen pairs
+        # At first one member for all keys it is in, as far as can be; then another one a key.
+        draw = F.xxhash64(F.lit(r), "rep") if r == 0 else F.xxhash64(F.lit(r), "key", "rep")
+        first = F.min(F.struct(draw.alias("draw"), F.col("rep").alias("a"), "group"))
+        open_keys = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("size"), first.alias("first"))
+        open_keys = open_keys.where((F.col("low") != F.col("high")) & (F.col("size") > (1 if r == 0 else 2)))  # the first round has seen pairs
+        grouped = grouped.join(open_keys.select("key", "first", "size"), "key")
         if r < ROUNDS:
-            # At first one member for all keys it is in, as far as can be; then another one a key.
-            draw = F.xxhash64(F.lit(r), "rep") if r == 0 else F.xxhash64(F.lit(r), "key", "rep")
-            first = F.min(F.struct(draw.alias("draw"), F.col("rep").alias("a"), "group")).over(w)
-            pairs = grouped.withColumn("first", first).where(F.col("group") != F.col("first.group")).select("first.a", F.col("rep").alias("b"))
+            pairs = grouped.where(F.col("group") != F.col("first.group")).select("first.a", F.col("rep").alias("b"))
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
-            full = stage(grouped.select("key", "rep", "group").join(classes.select("rep", "n", "sketch"), "rep"), "mixed")
-            x, y = (full.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("rep", "group", "n", "sketch"))) for i in (1, 2))
-            near = (F.col("rep1") < F.col("rep2")) & (F.col("group1") != F.col("group2")) & may_link("n1", "n2", "sketch1", "sketch2", percent)
-            pairs = x.join(y, (x["key"] == y["key"]) & near).select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
+            full = stage(grouped.select("key", "rep", "group", "size").join(classes.select("rep", "n", "sketch"), "rep"), "mixed")
+            pairs = near_pairs(full, percent).distinct()
         links = linked(pairs, docs, classes, words, percent)
         edges = links if edges is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links)
         if found is None or links.take(1):
             found = stage(components(edges), "components")
 
     rep = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep"))
-    out = nodes.select("doc_id", "n", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left").withColumn("rep", rep)
+    out = nodes.join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left").withColumn("rep", rep)
     out = out.join(found, F.col("rep") == F.col("id"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 

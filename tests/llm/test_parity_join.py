@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickmart.llm import parity_join
 
@@ -121,3 +122,35 @@ def test_components_of_chains_and_stars(spark):
     links = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in links]
     got = dict(map(tuple, parity_join.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, **{i: 200 for i in range(200, 260)}, 300: 300, 301: 300, 302: 300}
+
+
+def test_sketches_of_two_lengths_are_compared_at_the_shorter(spark):
+    """The larger set's sketch is folded; what is left still bounds the difference from below."""
+    rng = np.random.default_rng(8)
+    rows, apart = [], []
+    for n, m in ((250, 262), (500, 530), (4000, 4200), (100, 2000)):
+        s = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        t = np.unique(np.concatenate([s, rng.integers(0, 1 << 63, m - n, dtype=np.uint64)]))
+        one, other = parity_join.sketch(s), parity_join.sketch(t)
+        rows.append((len(rows), one.view(np.int64).tolist(), other.view(np.int64).tolist()))
+        apart.append(len(t) - len(s))
+    df = spark.createDataFrame(rows, "i int, a array<long>, b array<long>")
+    got = [r.d for r in df.orderBy("i").select(parity_join.sketch_distance("a", "b").alias("d")).collect()]
+    back = [r.d for r in df.orderBy("i").select(parity_join.sketch_distance("b", "a").alias("d")).collect()]
+    assert len(rows[1][1]) * 2 == len(rows[1][2]) and got == back
+    assert all(0 < d <= x for d, x in zip(got[:3], apart[:3], strict=True)) and got[3] is None
+
+
+def test_a_common_key_in_blocks_gives_the_pairs_of_the_join(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    rows = []
+    for i in range(150):
+        s = np.unique(np.concatenate([base[: rng.integers(150, 300)], rng.integers(0, 1 << 63, rng.integers(0, 60), dtype=np.uint64)]))
+        rows.append((7 if i % 3 else 8, 150, i, i // 4, len(s), parity_join.sketch(s).view(np.int64).tolist()))
+    df = spark.createDataFrame(rows, "key long, size long, rep long, group long, n long, sketch array<long>")
+    want = {tuple(r) for r in parity_join.near_pairs(df.withColumn("size", F.lit(2)), 85).collect()}
+    monkeypatch.setattr(parity_join, "BLOCK_MEMBERS", 40)
+    got = [tuple(r) for r in parity_join.near_pairs(df, 85).collect()]
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 100
+    assert len(got) < 4 * len(want)  # folded to the shortest sketch, a few more may pass
