@@ -27,7 +27,7 @@ PIVOTS, KEPT, SAMPLE = 256, 32, 4_096
 #: Rows of a block and queries of a batch: what one task holds of each.
 BLOCK, BATCH = 16_384, 1_024
 #: Share of a block that is reranked, and how many rows of it at least.
-SHARE, LEAST = 0.2, 1_024
+SHARE, LEAST = 0.4, 512
 TOP, EVERY = 20, 20
 
 

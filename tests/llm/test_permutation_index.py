@@ -79,3 +79,25 @@ def test_footrule_agreement_of_inverted_files():
     footrule = [sum(abs(place(q, p) - place(o, p)) for p in range(20)) for o in orders]
     most = 2 * sum(6 - i for i in range(6))
     assert [most - g for g in files.agreement(q)] == footrule
+
+
+@pytest.mark.parametrize("block", [16_384, 500])
+def test_recall_on_the_given_embeddings(spark, monkeypatch, block):
+    """Of the true 20 nearest of the table's own queries, in one block and in several blocks and batches."""
+    monkeypatch.setattr(permutation_index, "BLOCK", block)
+    monkeypatch.setattr(permutation_index, "BATCH", 1_024 if block > 500 else 40)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, full = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float)
+    got = by_query(permutation_index.search(df, df.where("vec_id % 20 = 0"), least=0))
+    hit = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = full @ full[i]
+        s[i] = -np.inf
+        want = set(ids[np.argsort(-s, kind="stable")[:20]].tolist())
+        found = [r[1] for r in got[ids[i]]]
+        assert len(found) == len(set(found)) == 20
+        hit += len(want & set(found))
+        total += 20
+    print("recall", hit / total)
+    assert hit / total >= 0.9
