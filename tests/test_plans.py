@@ -8,7 +8,7 @@ from clickmart.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # writes happen while these queries are built, so they are planned separately
-PYTHON_OK = {"model_accuracy", "train_score_roundtrip", "score_users_by_day", "stream_score_users", "count_vectors"}
+PYTHON_OK = {"model_accuracy", "train_score_roundtrip", "score_by_loaded_pipeline", "score_users_by_day", "stream_score_users", "count_vectors"}
 
 
 def _plan(df) -> str:
