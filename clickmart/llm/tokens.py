@@ -12,7 +12,7 @@ import re
 import sys
 import types
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,10 @@ import pyarrow as pa
 CACHE_PIECES = 800_000
 
 # A piece is white space with the word behind it. A blank or line feed after
-# anything else starts a piece, and so does a mark of this list after a letter:
-# no pre-token of either vocabulary reaches across.
-_BYTE_PIECES = re.compile(r"[ \n]*(?:[^\W\d_]+(?=[,.;:!?|])|[^ \n]+)|[ \n]+")
-_WORD_PIECES = re.compile(r"[^\W\d_]+(?=[,.;:!?|])|[^ \n]+")
+# anything else starts a piece: no pre-token of either vocabulary reaches across.
+# Texts without runs of white space are cut by ``str.split``, which is faster.
+_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_RUNS = re.compile(r"[ \n][ \n]")
 # Runs of mixed white space are one unit for the byte-level vocabulary: such a text is encoded whole.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
@@ -48,6 +48,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.drops_space = self.tokenizer.normalizer is not None
+        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         # Tokens are written with one character a byte; "</w>" marks a word's end.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -67,41 +68,61 @@ class Encoder:
             return len((unicodedata.normalize("NFC", piece).lower() if self.drops_space else piece).encode("utf-8", "surrogatepass"))
 
         text = (" " if self.drops_space else "").join(pieces)
-        ends = np.cumsum([size(p) for p in pieces])
+        ends = np.cumsum(list(map(len if text.isascii() else size, pieces)))
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         at = np.cumsum(self.bytes_of[ids])
         cuts = np.searchsorted(at, ends, side="left") + 1
         if not len(ids) or cuts[-1] != len(ids) or (at[cuts - 1] != ends).any():
             return self._plain(pieces)  # a character whose normal form has another length
-        return [ids[i:j].tobytes() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+        raw, stops = ids.tobytes(), (4 * cuts).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops[:-1]], stops, strict=True)]
 
-    def _encode_new(self, pieces: list[str]) -> None:
-        """Learn pieces. Those that start with white space (or any, where it is dropped) can stand side by side."""
-        side = [p for p in pieces if self.drops_space or (p[0] in " \n" and p[-1] not in " \n")]
-        alone = [] if self.drops_space else [p for p in pieces if not (p[0] in " \n" and p[-1] not in " \n")]
+    def _encode_new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces. Those that start with white space (or any, where it is dropped) can stand side by side."""
+        side = [i for i, p in enumerate(pieces) if p and (self.drops_space or (p[0] in " \n" and p[-1] not in " \n"))]
+        out: list[bytes] = [b""] * len(pieces)
         for at in range(0, len(side), JOINED):
             part = side[at : at + JOINED]
-            self.pieces.update(zip(part, self._join(part), strict=True))
-        self.pieces.update(zip(alone, self._plain(alone), strict=True))
+            for i, ids in zip(part, self._join([pieces[i] for i in part]), strict=True):
+                out[i] = ids
+        alone = sorted({*range(len(pieces))}.difference(side))
+        for i, ids in zip(alone, self._plain([pieces[i] for i in alone]), strict=True):
+            out[i] = ids
+        return out
+
+    def _look_up(self, store: dict[str, bytes], lists: list[list[str]], whole: Callable[[str], str]) -> list[bytes]:
+        """Ids of texts that are cut; ``whole`` gives the string that a part stands for."""
+        known = [list(map(store.get, parts)) for parts in lists]
+        holes = [None in ids for ids in known]
+        new = list({p for parts, ids, hole in zip(lists, known, holes, strict=True) if hole for p, found in zip(parts, ids, strict=True) if found is None})
+        if len(self.words) + len(self.pieces) + len(new) > CACHE_PIECES:
+            self.words.clear()
+            self.pieces.clear()
+        store.update(zip(new, self._encode_new(list(map(whole, new))), strict=True))
+        return [
+            b"".join([store[p] if found is None else found for p, found in zip(parts, ids, strict=True)] if hole else ids)
+            for parts, ids, hole in zip(lists, known, holes, strict=True)
+        ]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        pattern = _WORD_PIECES if self.drops_space else _BYTE_PIECES
+        if self.drops_space:
+            return self._look_up(self.words, [text.replace("\n", " ").split(" ") for text in texts], str)
         out: list[bytes | None] = [None] * len(texts)
-        lists: dict[int, list[str]] = {}
+        plain, runs, words = [], [], []
         for i, text in enumerate(texts):
-            if not self.drops_space and _OTHER_SPACE.search(text):
-                out[i] = self._plain([text])[0]
-            else:
-                lists[i] = pattern.findall(text)
-        every = set().union(*lists.values())
-        new = every.difference(self.pieces)
-        if len(self.pieces) + len(new) > CACHE_PIECES:
-            self.pieces.clear()
-            new = every
-        self._encode_new(list(new))
-        look = self.pieces.__getitem__
-        for i, pieces in lists.items():
-            out[i] = b"".join(map(look, pieces))
+            (plain if _OTHER_SPACE.search(text) else runs if _RUNS.search(text) else words).append(i)
+        # A word without its blank stands for both; the first of a text has no blank before it.
+        cut = [texts[i].replace("\n", " \n").split(" ") for i in words]
+        heads = self._plain([parts.pop(0) for parts in cut])
+        tails = self._look_up(self.words, cut, lambda w: w if w.startswith("\n") else " " + w)
+        found = (
+            (plain, self._plain([texts[i] for i in plain])),
+            (runs, self._look_up(self.pieces, [_PIECES.findall(texts[i]) for i in runs], str)),
+            (words, map(bytes.__add__, heads, tails)),
+        )
+        for part, ids in found:
+            for i, one in zip(part, ids, strict=True):
+                out[i] = one
         return out
 
     def encode(self, text: str) -> bytes:
