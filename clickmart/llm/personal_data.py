@@ -236,6 +236,27 @@ def with_score(spans: DataFrame, model: GBTClassificationModel) -> DataFrame:
     return model.transform(spans).withColumn("score", vector_to_array("probability")[1])
 
 
+def apart(spans: DataFrame) -> DataFrame:
+    """All base spans, and added ones that touch none of them and no better added span that stays.
+
+    ``spans``: k1, k2, kind, start, end, base, score. Ties go to the earlier, then longer span. A text falls into
+    islands of spans that overlap in a chain; each takes its spans from the best on.
+    """
+    w = Window.partitionBy("k1", "k2").orderBy("start", "end", "kind")
+    far = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("new", (far.isNull() | (F.col("start") >= far)).cast("int")).withColumn("island", F.sum("new").over(w))
+    one = F.struct((~F.col("base")).alias("added"), (-F.col("score")).alias("rank"), "start", (-F.col("end")).alias("far"), "kind")
+    islands = spans.groupBy("k1", "k2", "island").agg(F.array_sort(F.collect_list(one)).alias("found"))
+
+    def take(kept: Column, s: Column) -> Column:
+        touched = F.exists(kept, lambda k: (k["start"] < -s["far"]) & (s["start"] < -k["far"]))
+        return F.when(s["added"] & touched, kept).otherwise(F.concat(kept, F.array(s)))
+
+    kept = F.aggregate("found", F.filter("found", lambda s: F.lit(False)), take)
+    rows = islands.select("k1", "k2", F.explode(F.when(F.size("found") == 1, F.col("found")).otherwise(kept)).alias("s"))
+    return rows.select("k1", "k2", "s.kind", "s.start", (-F.col("s.far")).alias("end"), (~F.col("s.added")).alias("base"), (-F.col("s.rank")).alias("score"))
+
+
 def redactions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keys of all rows, and their spans: k1, k2, kind, start, end (code points, end exclusive), base, score.
 
@@ -256,12 +277,7 @@ def redactions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return keys, base
     limit = reduce(lambda c, k: c.when(F.col("kind") == k, limits[k]), list(limits)[1:], F.when(F.col("kind") == list(limits)[0], limits[list(limits)[0]]))
     added = with_score(loose.where("y = 0"), model).where(F.col("score") >= limit)
-    both = base.unionByName(added.select("k1", "k2", "kind", "start", "end", F.lit(False).alias("base"), "score"))
-    w = Window.partitionBy("k1", "k2").orderBy("start", "end", "kind")
-    far = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    both = both.withColumn("new", (far.isNull() | (F.col("start") >= far)).cast("int")).withColumn("island", F.sum("new").over(w))
-    best = Window.partitionBy("k1", "k2", "island").orderBy(F.desc("base"), F.desc("score"), "start", F.desc("end"), "kind")
-    return keys, both.withColumn("place", F.row_number().over(best)).where("base or place = 1").drop("new", "island", "place")
+    return keys, apart(base.unionByName(added.select("k1", "k2", "kind", "start", "end", F.lit(False).alias("base"), "score")))
 
 
 def joined(spans: str) -> Column:

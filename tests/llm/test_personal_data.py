@@ -108,6 +108,21 @@ def test_phones_without_a_prefix_are_scored_and_numbers_are_left(spark):
     assert [got[i].spans for i in got if i >= 2000 and i != 3001] == [""] * 4, [got[i].spans for i in got if i >= 2000]
 
 
+def test_an_added_span_stays_if_it_touches_none_that_stays(spark):
+    """Chains of overlapping spans of two texts, against taking them one by one."""
+    spans = [(1, "phone", 0, 5, 0.9), (1, "card", 4, 10, 0.95), (1, "phone", 9, 15, 0.8), (1, "card", 14, 20, 0.7), (1, "ip", 30, 34, 0.5)]
+    spans += [(2, "email", 3, 9, 1.0), (2, "phone", 8, 12, 1.0), (2, "card", 11, 16, 0.9), (2, "ip", 15, 18, 0.6), (2, "ip", 15, 19, 0.6), (2, "card", 0, 3, 0.4)]
+    base_spans = {(2, "email", 3, 9), (2, "phone", 8, 12)}
+    rows = [(k, k, kind, s, e, (k, kind, s, e) in base_spans, p) for k, kind, s, e, p in spans]
+    want = set()
+    for k, _, kind, s, e, b, _ in sorted(rows, key=lambda r: (not r[5], -r[6], r[3], -r[4], r[2])):
+        if b or not any(k == o[0] and o[2] < e and s < o[3] for o in want):
+            want.add((k, kind, s, e, b))
+    df = spark.createDataFrame(rows, "k1 long, k2 long, kind string, start long, end long, base boolean, score double")
+    got = [(r.k1, r.kind, r.start, r.end, r.base) for r in personal_data.apart(df).collect()]
+    assert set(got) == want and len(got) == len(want) == 7
+
+
 def test_a_rare_kind_has_its_threshold(spark):
     """Cards beside masses of numbers, with hashes that no small sample takes, still calibrate."""
     many = spark.range(180_000).selectExpr("'phone' as kind", "id * 7919 as k2", "cast(id % 3 > 0 as int) as fold", "cast(id % 2 as int) as y", "true as made")
