@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import oracle as O
 from clickmart.functions import columns as C
-from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA
-from clickmart.operators import matrix, metrics, pivots, ranking, visits
+from clickmart.functions.schemas import DATED_WEBLOG_SCHEMA, EVENT_SCHEMA
+from clickmart.operators import checks, matrix, metrics, pivots, ranking, snapshots, visits
 from clickmart.operators import events as E
 from clickmart.plans import features, mart, matrix_job, model, split
 from clickmart.session import prepare, staging_path
@@ -452,14 +453,27 @@ def q_user_features(spark, sf_dir):
     """Feature table = domain counts x time features x item matrix.
 
     The item columns come back as the row's sorted non-zero cells."""
-    m = matrix.user_item_matrix(D.split_visits(spark, sf_dir))
+    return _feature_cells(D.weblogs(spark, sf_dir), matrix.user_item_matrix(D.split_visits(spark, sf_dir)))
+
+
+def _feature_cells(weblogs: DataFrame, m: DataFrame) -> DataFrame:
     names = [c for c in m.columns if c != "uid"]
-    wide = features.user_features(D.weblogs(spark, sf_dir), m)
+    wide = features.user_features(weblogs, m)
     cells, zeros, nulls = _cells(wide, names, lambda n: n.isNotNull() & (n != 0))
     fixed = [c for c in wide.columns if c not in set(names)]
     return wide.select(*fixed, cells.alias("items"), F.lit(len(names)).cast("long").alias("width"), zeros.alias("zeros"), nulls.alias("nulls"))
 
 
+@register("user_features_bucketed", FEATURES_SQL)
+def q_user_features_bucketed(spark, sf_dir):
+    """The feature table from a matrix stored in buckets of users, which the join doesn't shuffle."""
+    path = staging_path(spark, "matrix-buckets")
+    table = "matrix_" + path.rsplit("-", 1)[1]
+    m = matrix.user_item_matrix(D.split_visits(spark, sf_dir))
+    stored = snapshots.write_bucketed(m, table, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _feature_cells(D.weblogs(spark, sf_dir), stored)
+
+
 # ---------------------------------------------------------------- item matrix
 
 
@@ -615,6 +629,54 @@ def q_carry_over_matrix(spark, sf_dir):
     return cells_of(files.read_parquet(spark, path))
 
 
+def _snapshot_days(spark, sf_dir):
+    """Both parts of the visits, the earlier written as a snapshot of a dataset; the root, the later part and the newest day."""
+    sv = D.split_visits(spark, sf_dir)
+    old, new = sv.where(F.col("day_index") < D.SNAPSHOT_SPLIT_DAY), sv.where(F.col("day_index") >= D.SNAPSHOT_SPLIT_DAY)
+    root = staging_path(spark, "snapshots")
+    snapshots.add_snapshot(spark, matrix.user_item_matrix(old), root, matrix.latest_day(old).first()[0])
+    return root, new, matrix.latest_day(new).first()[0]
+
+
+@register("snapshot_dataset_previous", O.with_ctes(["item_rows"], item_cells_sql("day_index < 2")))
+def q_snapshot_dataset_previous(spark, sf_dir):
+    """Newest snapshot strictly older than the newest day, from a dataset that already holds that day's own snapshot."""
+    root, new, day = _snapshot_days(spark, sf_dir)
+    snapshots.add_snapshot(spark, matrix.user_item_matrix(new), root, day)
+    return cells_of(snapshots.previous_snapshot(spark, root, day))
+
+
+@register("snapshot_dataset_carry_over", O.with_ctes(["item_rows"], union_cells_sql()))
+def q_snapshot_dataset_carry_over(spark, sf_dir):
+    """The newest day's matrix with the rows of the snapshot before, added to a dataset of snapshots."""
+    root, new, day = _snapshot_days(spark, sf_dir)
+    return cells_of(snapshots.add_snapshot(spark, matrix.user_item_matrix(new), root, day))
+
+
+# Every snapshot of the dataset read at once: an item that a snapshot lacks is NULL there.
+SNAPSHOT_ROWS_SQL = O.with_ctes(
+    ["item_rows", "split_visits"],
+    """
+SELECT CAST(p.day AS INTEGER) AS snapshot, c.uid, c.item_name, c.n
+FROM (SELECT uid, item_name, day_index < 2 AS part, count(*) AS n FROM item_rows GROUP BY ALL) c
+JOIN (SELECT TRUE AS part, (SELECT max(date) FROM split_visits WHERE day_index < 2) AS day
+      UNION ALL SELECT TRUE, (SELECT max(date) FROM split_visits WHERE day_index >= 2)
+      UNION ALL SELECT FALSE, (SELECT max(date) FROM split_visits WHERE day_index >= 2)) p ON p.part = c.part""",
+)
+
+
+@register("snapshot_dataset_read", SNAPSHOT_ROWS_SQL)
+def q_snapshot_dataset_read(spark, sf_dir):
+    """S3/K4: all snapshots of a dataset in one read with one merged schema, as non-zero cells by snapshot."""
+    root, new, day = _snapshot_days(spark, sf_dir)
+    snapshots.add_snapshot(spark, matrix.user_item_matrix(new), root, day)
+    every = snapshots.read_snapshots(spark, root)
+    names = [c for c in every.columns if c not in ("uid", snapshots.SNAPSHOT)]
+    cells, _, _ = _cells(every, names, lambda n: n.isNotNull() & (n != 0))
+    rows = every.select(snapshots.SNAPSHOT, "uid", F.explode(cells).alias("cell"))
+    return rows.select(snapshots.SNAPSHOT, "uid", F.col("cell.name").alias("item_name"), F.col("cell.n").alias("n"))
+
+
 def _json_field(name: str, nullable: bool = True) -> str:
     v = f"',\"{name}\":' || CAST({name} AS VARCHAR)"
     return f"coalesce({v}, '')" if nullable else v
@@ -782,6 +844,104 @@ def q_stream_score_users(spark, sf_dir):
     return both.select("uid", F.col(model.LABEL).eqNullSafe(F.col("batch_label")).alias("same_as_batch"))
 
 
+LATE = "1 day"
+LATE_EVERY = 11
+
+FINAL_HOURS_SQL = O.with_ctes(
+    ["shop_events"],
+    f"""
+SELECT (timestamp // 3600000) * 3600 AS start_ts,
+       (timestamp // 3600000) * 3600 + 3600 AS end_ts,
+       CAST(sum(CASE WHEN event_type = 'buy' THEN item_price END) AS BIGINT) AS revenue,
+       CAST(sum(CASE WHEN uid IS NOT NULL THEN 1 END) AS BIGINT) AS visitors,
+       CAST(sum(CASE WHEN event_type = 'buy' THEN 1 END) AS BIGINT) AS purchases,
+       CAST(sum(CASE WHEN event_type = 'buy' THEN item_price END) AS DOUBLE)
+         / sum(CASE WHEN event_type = 'buy' THEN 1 END) AS aov
+FROM shop_events,
+     (SELECT max(timestamp) FILTER (event_id % {LATE_EVERY} <> 0) - 86400000 AS passed, max(timestamp) - 86400000 AS final FROM shop_events)
+WHERE (event_id % {LATE_EVERY} <> 0 OR (timestamp // 3600000) * 3600000 + 3600000 > passed)
+  AND (timestamp // 3600000) * 3600000 + 3600000 <= final
+GROUP BY 1, 2""",
+)
+
+
+@register("stream_final_hours", FINAL_HOURS_SQL)
+def q_stream_final_hours(spark, sf_dir):
+    """Hours written once, in append mode, when the watermark has passed them. Every eleventh event
+    comes a run later: those of hours that are already final are dropped, the others counted."""
+    ev = D.shop_events(spark, sf_dir)
+    late = F.col("event_id") % LATE_EVERY == 0
+    src, out, ckpt = (staging_path(spark, n) for n in ("late-messages", "final-hours", "final-ckpt"))
+    own = sinks.stream_session(spark)
+    for part in (ev.where(~late), ev.where(late)):
+        part.select(C.encode_row(*[F.col(f.name) for f in EVENT_SCHEMA.fields]).alias("value")).repartition(4).write.mode("append").text(src)
+        metrics_stream.run_final(own, own.readStream.schema("value string").text(src), out, ckpt, LATE)
+    return metrics_stream.final_table(spark, out)
+
+
+class _Interrupted(Exception):
+    """Raised by ``q_stream_restart_metrics`` inside a batch."""
+
+
+@register("stream_restart_metrics", HOURLY_SQL)
+def q_stream_restart_metrics(spark, sf_dir):
+    """A metrics stream that ends inside its second batch, after the write and before the commit, and goes on
+    from its checkpoint with a processing-time trigger; the batch is replayed and the table equals the batch result."""
+    src = _stage_text(spark, D.event_messages(spark, sf_dir), "restart-messages")
+    out, ckpt = staging_path(spark, "restart-out"), staging_path(spark, "restart-ckpt")
+    own = sinks.stream_session(spark)
+    messages = own.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    stream, sink = metrics_stream.hourly_metrics_stream(messages), sinks.VersionedSink(out)
+    mark = "interrupted in batch 1"
+
+    def interrupted(batch: DataFrame, batch_id: int) -> None:
+        sink(batch, batch_id)
+        if batch_id == 1:
+            raise _Interrupted(mark)
+
+    try:
+        sinks.run_available(stream, interrupted, ckpt, "update", state_partitions=metrics_stream.STATE_PARTITIONS)
+    except StreamingQueryException as e:
+        if mark not in str(e):
+            raise
+    q = sinks.start(stream, sink, ckpt, "update", processing_time="1 second", state_partitions=metrics_stream.STATE_PARTITIONS)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return sinks.latest(spark, out, metrics_stream.KEYS)
+
+
+BATCH_COUNTS_SQL = O.with_ctes(
+    ["shop_events"],
+    """
+SELECT CAST(count(*) + 1 AS BIGINT) AS messages, CAST(1 AS BIGINT) AS malformed,
+       CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views,
+       CAST(count(*) FILTER (event_type = 'buy') AS BIGINT) AS buys, CAST(4 AS BIGINT) AS batches
+FROM shop_events""",
+)
+
+
+@register("stream_batch_counts", BATCH_COUNTS_SQL)
+def q_stream_batch_counts(spark, sf_dir):
+    """A10: counts of a metrics stream's decoded and malformed messages, reported after each batch as a table; summed over its batches."""
+    src = _stage_text(spark, D.event_messages(spark, sf_dir), "counted-messages")
+    own = sinks.stream_session(spark)
+    messages = own.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    kind = F.col("event_type")
+    counts = checks.BatchCounts(
+        own, staging_path(spark, "batch-counts"), malformed=F.count_if(F.col("timestamp").isNull()), views=F.count_if(kind == "view"), buys=F.count_if(kind == "buy")
+    )
+    with counts:
+        stream = metrics.hourly_metrics(counts.observed(E.decode_events(messages)))
+        q = sinks.run_available(
+            stream, sinks.VersionedSink(staging_path(spark, "counted-out")), staging_path(spark, "counted-ckpt"), "update",
+            state_partitions=metrics_stream.STATE_PARTITIONS,
+        )
+        table = counts.table(q)
+    return table.agg(*[F.sum(c).alias(n) for c, n in (("rows", "messages"), ("malformed", "malformed"), ("views", "views"), ("buys", "buys"))], F.count(F.lit(1)).alias("batches"))
+
+
 TYPE_COUNTS_SQL = O.with_ctes(
     ["shop_events"],
     """

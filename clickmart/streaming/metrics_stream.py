@@ -42,3 +42,27 @@ def run_to_table(
     stream = hourly_metrics_stream(messages, watermark)
     sinks.run_available(stream, sinks.VersionedSink(out), checkpoint, "update", state_partitions=state_partitions)
     return sinks.latest(spark, out, KEYS)
+
+
+def run_final(
+    spark: SparkSession,
+    messages: DataFrame,
+    out: str,
+    checkpoint: str,
+    watermark: str,
+    state_partitions: int | None = STATE_PARTITIONS,
+):
+    """Run over everything available in append mode: an hour is written once, when the watermark has passed its end.
+
+    The hour then leaves the state, and messages of it that come later are
+    dropped; hours the watermark hasn't passed stay in the checkpoint for the
+    next run. Returns the stopped query; ``final_table`` reads what is written.
+    """
+    return sinks.run_available(
+        hourly_metrics_stream(messages, watermark), sinks.VersionedSink(out), checkpoint, "append", state_partitions=state_partitions
+    )
+
+
+def final_table(spark: SparkSession, out: str) -> DataFrame:
+    """All hours that ``run_final`` has written: the batches under one another."""
+    return spark.read.parquet(out).drop(sinks.BATCH_COL)
