@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import columns as C
 from clickmart.operators import pivots, visits
+from clickmart.operators.hot_join import hot_join
+from clickmart.operators.ranking import staged
 
 SHOP_PREFIX = "shop_"
 WEB_PREFIX = "web_"
@@ -30,9 +32,17 @@ def shop_pivot(shop_visits: DataFrame, values: Sequence[str] | None = None) -> D
     return pivots.category_pivot(shop_visits, SHOP_PREFIX, values, clean=True)
 
 
-def web_category_visits(weblogs: DataFrame, domain_cats: DataFrame) -> DataFrame:
-    """``uid, domain, category``: known users' visits to catalogued domains."""
+def web_category_visits(weblogs: DataFrame, domain_cats: DataFrame, spread_hot: bool = False) -> DataFrame:
+    """``uid, domain, category``: known users' visits to catalogued domains.
+
+    With ``spread_hot`` the visits are written once to the shared folder, domains
+    above an average task's share of them are found there, and their visits are
+    joined in several tasks.
+    """
     v = visits.visit_domains(weblogs.where(F.col("uid").isNotNull()))
+    if spread_hot:
+        v = staged(v, "visit-domains")
+        return hot_join(v, domain_cats.select("domain", "category"), "domain").select("uid", "domain", "category")
     return v.join(domain_cats.select("domain", "category"), "domain").select("uid", "domain", "category")
 
 

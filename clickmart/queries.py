@@ -292,6 +292,15 @@ def q_join_domain_category(spark, sf_dir):
     return mart.web_category_visits(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir))
 
 
+@register(
+    "join_domain_category_spread",
+    _sql(["visit_domains", "domain_cats"], "," + WEB_ROWS_CTE, "SELECT uid, domain, category FROM web_rows"),
+)
+def q_join_domain_category_spread(spark, sf_dir):
+    """The same join with the visits of hot domains, found by a sketch, spread over tasks."""
+    return mart.web_category_visits(D.weblogs(spark, sf_dir), D.domain_categories(spark, sf_dir), spread_hot=True)
+
+
 @register("shop_category_pivot", _sql(["shop_visits"], "," + SHOP_PIVOT_CTE, "SELECT * FROM shop_pivot"))
 def q_shop_category_pivot(spark, sf_dir):
     """A2: user x shop category counts (NULL when none)."""
