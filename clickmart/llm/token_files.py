@@ -33,8 +33,8 @@ from clickmart.session import staging_path
 MAGIC = b"TIDZ0001"
 HEAD = "<8sIIQ32s"
 END_ID = 2
-#: The dictionary is trained on about this many documents, and on this many bytes of ids of each at most.
-SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2_000, 65_536, 65_536
+#: The dictionary is trained on about this many documents, and on this many bytes of ids of each at most, in blocks from all of it.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_BLOCK, DICTIONARY_BYTES = 2_000, 65_536, 4_096, 65_536
 SHARD_BYTES = 4 << 20
 LEVEL = 3
 
@@ -51,12 +51,21 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, samp
         return (b"".join(samples) or b"\0" * 16)[-DICTIONARY_BYTES:].ljust(16, b"\0")
 
 
+def sample_blocks(data: bytes, limit: int, block: int = SAMPLE_BLOCK) -> bytes:
+    """At most ``limit`` bytes from all over ``data``: its blocks with the smallest hashes, in order. Shorter data whole."""
+    if len(data) <= limit:
+        return data
+    starts = range(0, len(data), block)
+    chosen = sorted(starts, key=lambda at: (zlib.crc32(data[at : at + block], at & 0xFFFFFFFF), at))[: limit // block]
+    return b"".join(data[at : at + block] for at in sorted(chosen))
+
+
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(raw)
 
 
-def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int | None = None):
-    """Arrow batches of texts to id counts and frames; without a dictionary, to the serialised ids themselves."""
+def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int = SAMPLE_BYTES):
+    """Arrow batches of texts to id counts and frames; without a dictionary, to at most ``limit`` bytes of the serialised ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
@@ -69,7 +78,7 @@ def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int | No
                 ids += end
                 n.append(len(ids) // 4)
                 data = np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes()
-                frames.append(data[:limit] if pack is None else pack.compress(data))
+                frames.append(sample_blocks(data, limit) if pack is None else pack.compress(data))
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(frames, pa.binary())], [*names, "n", "frame"])
@@ -111,8 +120,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     NULL and empty texts are just the end id. Documents lie in ascending
     ``doc_id`` order (NULL first, ties by their frame): key ranges are the blocks,
-    a block's documents are sorted in one task and shards are cut by size. Extra
-    columns are left out. An empty table writes no shards.
+    a block's documents are sorted in one task and shards are cut by size. Very
+    long texts are encoded whole, as one frame. Extra columns are left out. An empty table writes no shards.
     """
     spark = docs.sparkSession
     raw = train_dictionary(docs, tokenizer, end_id)

@@ -48,3 +48,13 @@ def test_generated_table_and_empty_table(spark):
         assert got[r.doc_id] == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert token_files.query(empty_docs(spark)).count() == 0
+
+
+def test_sample_of_a_long_document_is_from_all_of_it():
+    data = np.arange(100_000, dtype="<u4").tobytes()
+    got = token_files.sample_blocks(data, 16_384)
+    assert len(got) == 16_384 and got == token_files.sample_blocks(data, 16_384)
+    places = [data.find(got[i : i + 4_096]) // 4_096 for i in range(0, len(got), 4_096)]
+    assert len(set(places)) == 4 and all(p >= 0 for p in places) and max(places) > 40
+    assert token_files.sample_blocks(data[:16_384], 16_384) == data[:16_384]
+    assert token_files.sample_blocks(b"", 16_384) == b""
