@@ -48,6 +48,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.drops_space = self.tokenizer.normalizer is not None
+        # What the normaliser does with ASCII text is to lower-case it: the same tokenizer without it takes such text faster.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.encode_special_tokens = True
+        if self.drops_space:
+            self.bare.normalizer = None
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         # Tokens are written with one character a byte; "</w>" marks a word's end.
@@ -69,7 +74,10 @@ class Encoder:
 
         text = (" " if self.drops_space else "").join(pieces)
         ends = np.cumsum(list(map(len if text.isascii() else size, pieces)))
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        tokenizer = self.tokenizer
+        if self.drops_space and text.isascii():
+            tokenizer, text = self.bare, text.lower()
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         at = np.cumsum(self.bytes_of[ids])
         cuts = np.searchsorted(at, ends, side="left") + 1
         if not len(ids) or cuts[-1] != len(ids) or (at[cuts - 1] != ends).any():
@@ -81,10 +89,11 @@ class Encoder:
         """Ids of pieces. Those that start with white space (or any, where it is dropped) can stand side by side."""
         side = [i for i, p in enumerate(pieces) if p and (self.drops_space or (p[0] in " \n" and p[-1] not in " \n"))]
         out: list[bytes] = [b""] * len(pieces)
-        for at in range(0, len(side), JOINED):
-            part = side[at : at + JOINED]
-            for i, ids in zip(part, self._join([pieces[i] for i in part]), strict=True):
-                out[i] = ids
+        for group in ([i for i in side if pieces[i].isascii()], [i for i in side if not pieces[i].isascii()]):
+            for at in range(0, len(group), JOINED):
+                part = group[at : at + JOINED]
+                for i, ids in zip(part, self._join([pieces[i] for i in part]), strict=True):
+                    out[i] = ids
         alone = sorted({*range(len(pieces))}.difference(side))
         for i, ids in zip(alone, self._plain([pieces[i] for i in alone]), strict=True):
             out[i] = ids
@@ -92,17 +101,15 @@ class Encoder:
 
     def _look_up(self, store: dict[str, bytes], lists: list[list[str]], whole: Callable[[str], str]) -> list[bytes]:
         """Ids of texts that are cut; ``whole`` gives the string that a part stands for."""
-        known = [list(map(store.get, parts)) for parts in lists]
-        holes = [None in ids for ids in known]
-        new = list({p for parts, ids, hole in zip(lists, known, holes, strict=True) if hole for p, found in zip(parts, ids, strict=True) if found is None})
+        parts = set().union(*lists)
+        new = parts.difference(store)
         if len(self.words) + len(self.pieces) + len(new) > CACHE_PIECES:
             self.words.clear()
             self.pieces.clear()
+            new = parts
+        new = list(new)
         store.update(zip(new, self._encode_new(list(map(whole, new))), strict=True))
-        return [
-            b"".join([store[p] if found is None else found for p, found in zip(parts, ids, strict=True)] if hole else ids)
-            for parts, ids, hole in zip(lists, known, holes, strict=True)
-        ]
+        return [b"".join(map(store.__getitem__, parts)) for parts in lists]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if self.drops_space:
