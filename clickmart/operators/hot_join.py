@@ -50,13 +50,13 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", sh
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    salt = "_salt"
-    while salt in left.columns or salt in right.columns:
-        salt += "_"
-    hot = F.broadcast(hot_keys(left, key, share))  # at most 1 / share rows
-    pieces = F.when(F.col(key).isNull(), F.lit(PIECES * _partitions(left))).otherwise(F.coalesce("_salts", F.lit(1)))
+    salt, salts = "_salt", "_salts"
+    while {salt, salts} & {*left.columns, *right.columns}:
+        salt, salts = salt + "_", salts + "_"
+    hot = F.broadcast(hot_keys(left, key, share).withColumnRenamed("_salts", salts))  # at most 1 / share rows
+    pieces = F.when(F.col(key).isNull(), F.lit(PIECES * _partitions(left))).otherwise(F.coalesce(salts, F.lit(1)))
     place = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]) + F.spark_partition_id()
-    salted = left.join(hot, key, "left").withColumn(salt, F.pmod(place, pieces).cast("int")).drop("_salts")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    spread = right.join(hot, key, "left").withColumn(salt, copies).drop("_salts")
+    salted = left.join(hot, key, "left").withColumn(salt, F.pmod(place, pieces).cast("int")).drop(salts)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))
+    spread = right.join(hot, key, "left").withColumn(salt, copies).drop(salts)
     return salted.join(spread, [key, salt], how).drop(salt)

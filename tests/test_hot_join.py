@@ -32,7 +32,7 @@ def test_same_rows_as_a_plain_join(spark, how):
 
 def test_repeated_rows_on_both_sides_and_clashing_names(spark):
     v = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)] * 3, "domain string, _salt int")
-    c = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "domain string, category string")
+    c = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "domain string, _salts string")
     assert _rows(hot_join(v, c, "domain")) == _rows(v.join(c, "domain"))
 
 
