@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import discard, stage, staged_as, text_of
-from clickmart.llm.tokens import worker_store
+from clickmart.llm.tokens import worker_kept
 from clickmart.llm.vectors import sweep
 
 WORDS, PERCENT = 4, 85
@@ -64,7 +64,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and how many each text has. Words end at ASCII white space; A-Z count as a-z."""
-    known = worker_store().__dict__.setdefault("word_hashes", {})
+    known = worker_kept("word_hashes", dict)
     lists = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
     new = set().union(*lists).difference(known)
     if len(known) + len(new) > CACHE_WORDS:

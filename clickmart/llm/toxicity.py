@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import text_of
-from clickmart.llm.tokens import worker_store
+from clickmart.llm.tokens import worker_kept
 
 BUCKETS, WIDTH = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("toxicity", zlib.crc32(margins.tobytes()))
-        known = worker_store().__dict__.setdefault("margins", {}).setdefault(key, {})
+        known = worker_kept("margins", dict).setdefault(key, {})
         for batch in batches:
             out = []
             for text in batch.column(batch.num_columns - 1).to_pylist():

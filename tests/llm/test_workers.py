@@ -32,3 +32,17 @@ def test_workers_run_without_installed_package():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     r = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=REPO)], cwd=cwd, env=env, capture_output=True, text=True, timeout=900)
     assert "WORKERS-OK" in r.stdout, r.stdout[-500:] + r.stderr[-3000:]
+
+
+def test_a_worker_keeps_the_words_of_one_helper_at_a_time():
+    """The words of one step go when the next step's helper starts; within a step they stay."""
+    from clickmart.llm import maxent_lm, parity_join, tokens
+
+    parity_join.word_hashes(["one two"])
+    held = tokens.worker_kept("word_hashes", dict)
+    assert held and tokens.worker_kept("word_hashes", dict) is held
+    enc = tokens.encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    assert tokens.encoder(tokens.tokenizer_path("byte_bpe_50k.json")) is enc
+    assert tokens.worker_store().kept == ("encoders", {tokens.tokenizer_path("byte_bpe_50k.json"): enc})
+    assert not hasattr(enc, "bare")  # and no second tokenizer that it never asks
+    assert maxent_lm.lexicon() is maxent_lm.lexicon()
