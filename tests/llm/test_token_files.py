@@ -58,3 +58,16 @@ def test_sample_of_a_long_document_is_from_all_of_it():
     assert len(set(places)) == 4 and all(p >= 0 for p in places) and max(places) > 40
     assert token_files.sample_blocks(data[:16_384], 16_384) == data[:16_384]
     assert token_files.sample_blocks(b"", 16_384) == b""
+
+
+def test_words_are_cut_and_looked_up_by_arrow():
+    """Blanks and line feeds cut words; every text has the ids that the tokenizer gives for the whole of it."""
+    from clickmart.llm import tokens
+
+    parts, counts = tokens._cut(tokens._strings(["a b", "", None, " c ", "dé"]))
+    assert parts.to_pylist() == ["a", "b", "", "", "c", "", "dé"] and counts.tolist() == [2, 1, 0, 3, 1]
+    texts = ["", "\n", " ", "one two", "One\ntwo  one", "  lead", "tail ", "a\tb c", "é È\n漢字 x", "one", "x " * 300]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        enc = tokens.Encoder(tokens.tokenizer_path(name))
+        assert enc.encode_all(texts) == enc._plain(texts) == enc.encode_all(texts)
+        assert enc.encode_all([]) == []
