@@ -14,8 +14,9 @@ Equal sets are one node. Sketches decide first which pairs are looked at
 closer. A key's members are compared with one member, links make components;
 this is done again with other members for keys that still hold several
 components, and at last all members of one key in different components are
-compared with each other. So groups of copies cost a few pairs a member, and
-no pair that a key brings together is left out.
+compared with each other, in common keys by 32 bits of every shingle's hash as
+well. So groups of copies cost a few pairs a member, and no pair that a key
+brings together is left out.
 
 Hashes have 64 bits (classes 128). With 6 to 11 shingles two linked sets miss
 each other with a chance below 1e-8, else below 1e-15.
@@ -23,7 +24,7 @@ each other with a chance below 1e-8, else below 1e-15.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ FEW_PAIRS = 50_000
 FEW_IDS = 1_000_000
 #: Members of a key up to which they are joined with themselves in SQL; more are dealt into blocks of so many.
 FEW_MEMBERS, BLOCK_MEMBERS = 64, 4_096
+#: Shingles of a block's members together, beyond which there are more blocks.
+BLOCK_MARKS = 1 << 22
 #: Sketch words that are compared at once.
 TILE = 1 << 22
 CACHE_WORDS = 800_000
@@ -234,10 +237,16 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
 
 
 class Members:
-    """Members of a common key, with sketches at the length of the shortest."""
+    """Members of a common key, with sketches at the length of the shortest and, where given, 32 bits of each shingle's hash."""
 
     def __init__(self, table: pa.Table | pa.RecordBatch):
         self.ids, self.groups, self.n = (table[c].to_numpy() for c in ("id", "group", "n"))
+        self.marks = None
+        if "marks" in table.schema.names:
+            chunks = table["marks"].chunks if isinstance(table, pa.Table) else [table["marks"]]
+            self.marks = np.concatenate([c.flatten().to_numpy() for c in chunks]).view(np.uint32).astype(np.uint64)
+            self.held = np.concatenate([c.value_lengths().to_numpy() for c in chunks]).astype(np.int64)
+            self.starts = np.cumsum(self.held) - self.held
         lists = [np.asarray(v.values, dtype=np.int64).view(np.uint64) for v in table["sketch"]]
         self.words = min(map(len, lists))
         self.sketches = np.stack([self.folded(v, self.words) for v in lists])
@@ -249,9 +258,30 @@ class Members:
     def at(self, words: int) -> np.ndarray:
         return np.bitwise_xor.reduce(self.sketches.reshape(len(self.ids), -1, words), axis=1)
 
+    def marks_of(self, chosen: np.ndarray) -> np.ndarray:
+        """Marks of the chosen members, each with its place among them in the upper half."""
+        n = self.held[chosen]
+        at = np.repeat(self.starts[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return (np.repeat(np.arange(len(chosen), dtype=np.uint64), n) << np.uint64(32)) | self.marks[at]
+
+
+def marks_apart(one: Members, i: np.ndarray, other: Members, j: np.ndarray) -> np.ndarray:
+    """Per pair of a member of ``one`` and one of ``other``, how many marks only one of them has (never more than shingles)."""
+    out = np.zeros(len(i), dtype=np.int64)
+    ends = np.cumsum(one.held[i] + other.held[j])
+    at = 0
+    while at < len(i):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TILE, side="right")))
+        both = np.sort(np.concatenate([one.marks_of(i[at:end]), other.marks_of(j[at:end])]))
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        odd = np.diff(np.append(first, len(both))) % 2 == 1
+        out[at:end] = np.bincount((both[first[odd]] >> np.uint64(32)).astype(np.int64), minlength=end - at)
+        at = end
+    return out
+
 
 def _near_members(percent: int):
-    """Pairs of members in different groups whose sizes and sketches leave room for the similarity."""
+    """Pairs of members in different groups whose sizes, sketches and marks leave room for the similarity."""
 
     def answer(block: Members, batch: pa.RecordBatch) -> pa.RecordBatch:
         asked = Members(batch)
@@ -267,6 +297,10 @@ def _near_members(percent: int):
             near = (asked.ids[part, None] < block.ids[None, :]) & (asked.groups[part, None] != block.groups[None, :])
             near &= (100 * low(n, m) >= percent * high(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
             i, j = np.nonzero(near)
+            if block.marks is not None and len(i):
+                # Sketches of few bits let pairs just beyond the limit pass: in a large group, a share of all its pairs.
+                close = marks_apart(asked, i + at, block, j) * (100 + percent) <= (asked.n[i + at] + block.n[j]) * (100 - percent)
+                i, j = i[close], j[close]
             a.append(asked.ids[part][i])
             b.append(block.ids[j])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
@@ -274,12 +308,26 @@ def _near_members(percent: int):
     return answer
 
 
-def near_pairs(members: DataFrame, percent: int) -> DataFrame:
+def with_marks(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``members`` with 32 bits of the hash of each shingle (marks), which are looked up by rep and n."""
+    ids, spark = stage(members.select(F.col("rep").alias("doc_id")).distinct(), "common-ids"), docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    texts = texts.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_semi")
+    marks = F.transform("shingles", lambda h: h.bitwiseAND(0xFFFFFFFF))
+    marks = F.transform(marks, lambda h: F.when(h >= 1 << 31, h - (1 << 32)).otherwise(h).cast("int"))  # no overflow in ANSI mode
+    sets = with_sets(texts, words).select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"), marks.alias("marks"))
+    # Repeated rows have equal sets; an id with several texts has each of their sets.
+    sets = sets.withColumn("mark", F.xxhash64("marks")).dropDuplicates(["rep", "n", "mark"]).drop("mark")
+    return members.join(stage(sets, "marks"), ["rep", "n"])
+
+
+def near_pairs(members: DataFrame, percent: int, marked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """a, b: members (key, size of the key, rep, group, n, sketch) of one key in different groups that may link.
 
     Keys of few members are joined with themselves. Members of a common key are
     dealt into blocks, which all of its members pass in Arrow batches: no task
-    holds more than a block and a batch of it.
+    holds more than a block and a batch of it. ``marked`` adds their marks: with
+    them, nearly all pairs that are left do link, however large the group.
     """
     few = members.where(F.col("size") <= FEW_MEMBERS)
     x, y = (few.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("rep", "group", "n", "sketch"))) for i in (1, 2))
@@ -289,6 +337,10 @@ def near_pairs(members: DataFrame, percent: int) -> DataFrame:
     largest = many.agg(F.max("size")).first()[0]
     if largest is None:
         return pairs
+    if marked is not None:
+        held = many.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_MARKS).alias("held"))
+        many = many.join(held, "key").withColumn("blocks", F.greatest("blocks", "held")).drop("held")
+        many = marked(many.withColumnRenamed("id", "rep")).withColumnRenamed("rep", "id")
     index = many.withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).drop("blocks", "size")
     asked = many.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks", "size")
     return pairs.union(sweep(index, asked, ["key", "block"], largest, Members, _near_members(percent), "a long, b long"))
@@ -356,7 +408,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
             full = stage(grouped.select("key", "rep", "group", "size").join(classes.select("rep", "n", "sketch"), "rep"), "mixed")
-            pairs = near_pairs(full, percent).distinct()
+            pairs = near_pairs(full, percent, lambda common: with_marks(common, docs, words)).distinct()
         links = linked(pairs, docs, classes, words, percent)
         edges = links if edges is None else found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links)
         if found is None or links.take(1):

@@ -154,3 +154,27 @@ def test_a_common_key_in_blocks_gives_the_pairs_of_the_join(spark, monkeypatch):
     got = [tuple(r) for r in parity_join.near_pairs(df, 85).collect()]
     assert len(got) == len(set(got)) and want <= set(got) and len(want) > 100
     assert len(got) < 4 * len(want)  # folded to the shortest sketch, a few more may pass
+
+
+def test_pairs_just_beyond_the_limit_do_not_leave_a_common_key(spark):
+    """A large group whose members differ by a little too much: short sketches let a share of all its pairs pass, marks none."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(40)]  # 37 shingles; two changed words, 8 to 16 shingles apart: the limit is 6
+    docs, rows = [], []
+    for i in range(200):
+        words = list(base)
+        words[int(rng.integers(4, 36))] = f"x{i}"
+        docs.append((i, " ".join(words)))
+        s = parity_join.shingle_sets([docs[-1][1]], 4)[0]
+        rows.append((1, 202, i, i, len(s), parity_join.sketch(s).view(np.int64).tolist()))
+    for i, text in ((200, "one two three four " + " ".join(base)), (201, " ".join(base) + " five")):  # these two link
+        docs.append((i, text))
+        s = parity_join.shingle_sets([text], 4)[0]
+        rows.append((1, 202, i, i, len(s), parity_join.sketch(s).view(np.int64).tolist()))
+    members = spark.createDataFrame(rows, "key long, size long, rep long, group long, n long, sketch array<long>")
+    table = spark.createDataFrame([*docs, docs[3], (5, "another text")], "doc_id long, text string")  # a repeated row, an id with two texts
+    sets = dict(zip((d for d, _ in docs), (set(s.tolist()) for s in parity_join.shingle_sets([t for _, t in docs], 4)), strict=True))
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = [tuple(r) for r in parity_join.near_pairs(members, 85, lambda m: parity_join.with_marks(m, table, 4)).collect()]
+    assert sorted(got) == sorted(want) and (200, 201) in want
+    assert parity_join.near_pairs(members, 85).count() > len(want) + 50
