@@ -252,3 +252,41 @@ def test_stream_settings_stay_in_their_session(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert own.conf.get("spark.sql.shuffle.partitions") == "4"
     assert "RocksDB" not in own.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+class _ListState:
+    def __init__(self):
+        self.rows, self.calls, self.written = [], 0, 0
+
+    def get(self):
+        return iter(list(self.rows))
+
+    def put(self, rows):
+        self.rows, self.calls, self.written = list(rows), self.calls + 1, self.written + len(rows)
+
+    def appendList(self, rows):  # noqa: N802 - Spark's name
+        self.rows, self.calls, self.written = self.rows + list(rows), self.calls + 1, self.written + len(rows)
+
+
+def test_a_users_batch_is_one_write_and_the_list_stays_short():
+    """Many domains cost one call, a few changes write a few entries, and what repeats is folded in time."""
+    import pandas as pd
+
+    class Handle:
+        def getListState(self, name, schema):  # noqa: N802 - Spark's name
+            return state
+
+    state, bag = _ListState(), scoring_stream.DomainBag()
+    bag.init(Handle())
+
+    def batch(domains):
+        frame = pd.DataFrame({"uid": "u", "domain": domains, "n": [1] * len(domains)})
+        return {r.domain: r.n for f in bag.handleInputRows(("u",), iter([frame]), None) for r in f.itertuples()}
+
+    first = batch([f"d{i}" for i in range(500)] + [None])
+    assert len(first) == 500 and state.calls == 1 and state.written == 500
+    for i in range(1, 1200):
+        got = batch(["d7"])
+        assert got["d7"] == i + 1 and len(got) == 500
+        assert len(state.rows) <= 1000
+    assert state.written <= 500 + 1199 + 2 * 500 + 500 and sum(n for _, n in state.rows) == 1699
