@@ -71,3 +71,28 @@ def test_words_are_cut_and_looked_up_by_arrow():
         enc = tokens.Encoder(tokens.tokenizer_path(name))
         assert enc.encode_all(texts) == enc._plain(texts) == enc.encode_all(texts)
         assert enc.encode_all([]) == []
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_known_word_with_marks_behind_it_is_not_encoded_again(name):
+    from clickmart.llm.tokens import Encoder
+
+    texts = ["x thesis föhn. ä!", "x thesis. föhn, thesis?). ä...", "x thesis!?!?! thésis... don't a.b ÷. ª. ÉÀ. İ. 3.\n."]
+    enc = Encoder(tokenizer_path(name))
+    assert enc.encode_all(texts[:1]) == enc._plain(texts[:1])
+    asked = []
+    enc._encode_letters, letters = lambda words: asked.extend(words) or letters(words), enc._encode_letters
+    assert enc.encode_all(texts[1:2]) == enc._plain(texts[1:2]) and asked == []
+    if enc.drops_space:  # nor one in upper case
+        assert enc.encode_all(["THESIS, Föhn"]) == enc._plain(["THESIS, Föhn"]) and asked == []
+    assert enc.encode_all(texts) == enc._plain(texts) and asked
+
+
+def test_chunks_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from clickmart.llm.tokens import chunks
+
+    texts = pa.array(["a" * 10, "b" * 25, None, "", "c" * 5, "d" * 5, "e"])
+    got = [c.to_pylist() for c in chunks(texts, 10)]
+    assert got == [["a" * 10], ["b" * 25], [None, "", "c" * 5, "d" * 5], ["e"]] and list(chunks(texts.slice(0, 0))) == []
