@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import discard, stage, staged_as, text_of
-from clickmart.llm.tokens import worker_kept
+from clickmart.llm.tokens import Recent, worker_kept
 from clickmart.llm.vectors import sweep
 
 WORDS, PERCENT = 4, 85
@@ -53,7 +53,8 @@ FEW_MEMBERS, BLOCK_MEMBERS = 64, 4_096
 BLOCK_MARKS = 1 << 22
 #: Sketch words that are compared at once.
 TILE = 1 << 22
-CACHE_WORDS = 800_000
+#: Words a worker keeps at least, and at most about twice as many.
+CACHE_WORDS = 250_000
 _ALL = (1 << 64) - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -67,15 +68,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and how many each text has. Words end at ASCII white space; A-Z count as a-z."""
-    known = worker_kept("word_hashes", dict)
+    known = worker_kept("word_hashes", lambda: Recent(CACHE_WORDS))
     lists = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    new = set().union(*lists).difference(known)
-    if len(known) + len(new) > CACHE_WORDS:
-        known.clear()
-        new = set().union(*lists)
-    known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+    distinct = list(set().union(*lists))
+    found = dict(zip(distinct, known.find(distinct), strict=True))
+    new = [w for w, value in found.items() if value is None]
+    found.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+    known.add(new, [found[w] for w in new])
     counts = np.array([len(x) for x in lists], dtype=np.int64)
-    return np.fromiter((known[w] for x in lists for w in x), dtype=np.uint64, count=int(counts.sum())), counts
+    return np.fromiter((found[w] for x in lists for w in x), dtype=np.uint64, count=int(counts.sum())), counts
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:

@@ -46,3 +46,54 @@ def test_a_worker_keeps_the_words_of_one_helper_at_a_time():
     assert tokens.worker_store().kept == ("encoders", {tokens.tokenizer_path("byte_bpe_50k.json"): enc})
     assert not hasattr(enc, "bare")  # and no second tokenizer that it never asks
     assert maxent_lm.lexicon() is maxent_lm.lexicon()
+
+
+def test_what_a_worker_keeps_is_bounded_and_what_comes_again_stays():
+    from clickmart.llm.tokens import Recent
+
+    known = Recent(100)
+    for i in range(1000):
+        words = ["often", f"w{i}"]
+        found = known.find(words)
+        assert found == ([None, None] if i == 0 else [7, None])
+        known.add([w for w, v in zip(words, found) if v is None], [7 for v in found if v is None])
+        assert len(known) <= 202
+    assert known.find(["w999", "w950", "w1"]) == [7, 7, None]
+
+
+def test_pipeline_steps_hold_few_words_and_toxicity_takes_texts_in_runs(monkeypatch):
+    """Scoring holds neither all texts of a batch as strings nor every word it has met."""
+    import numpy as np
+    import pyarrow as pa
+
+    from clickmart.llm import parity_join, tokens, toxicity
+
+    class Docs:
+        columns = ["doc_id"]
+        schema = type("S", (), {"add": lambda self, *a: self})()
+
+        def drop(self, _):
+            return self
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    seen = []
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 500)
+    monkeypatch.setattr(toxicity, "text_of", lambda: type("C", (), {"alias": lambda self, _: None})())
+    monkeypatch.setattr(toxicity, "words_of", lambda text: seen.append(text) or text.split())
+    monkeypatch.setattr(toxicity, "chunks", lambda texts: tokens.chunks(texts, 1_000))
+    run = toxicity.score(Docs(), toxicity.Model(np.arange(toxicity.BUCKETS, dtype=np.float32), 0.0))
+    texts = [f"the word{i} other{i}" for i in range(3_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    (out,) = run(iter([batch]))
+    assert len(seen) == out.num_rows == len(texts)
+    (kept,) = tokens.worker_store().kept[1].values()
+    assert len(kept) < 1_300 and "the" in {**kept.now, **kept.before}
+    monkeypatch.setattr(parity_join, "CACHE_WORDS", 500)
+    for text in texts:
+        parity_join.word_hashes([text])
+    assert len(tokens.worker_kept("word_hashes", dict)) <= 1_010
