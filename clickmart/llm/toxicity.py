@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import text_of
-from clickmart.llm.tokens import Recent, chunks, worker_kept
+from clickmart.llm.tokens import chunks, worker_kept
 
 BUCKETS, WIDTH = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
@@ -34,8 +34,9 @@ SHORTEST, LONGEST = 3, 5
 SAMPLE_DOCS = (6_000, 3_000)
 EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.5, 1e-6
 FOLDS = 5
-#: Words a worker keeps at least, and at most about twice as many.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+#: Bytes of texts that are strings at a time.
+CHUNK_BYTES = 1 << 19
 _WORD = re.compile(r"\w+")
 
 
@@ -184,24 +185,23 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     margins, bias = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = ("toxicity", zlib.crc32(margins.tobytes()))
         kept = worker_kept("margins", dict)
-        key = zlib.crc32(margins.tobytes())
         if key not in kept:
             kept.clear()  # another model's words
-            kept[key] = Recent(CACHE_WORDS)
-        known = kept[key]
+        known = kept.setdefault(key, {})
         for batch in batches:
             out = []
-            for texts in chunks(batch.column(batch.num_columns - 1)):
-                lists = list(map(words_of, texts.to_pylist()))
-                distinct = list(set().union(*lists))
-                found = dict(zip(distinct, known.find(distinct), strict=True))
-                new = [w for w, margin in found.items() if margin is None]
-                found.update((w, float(margins[subwords(w)].mean(dtype=np.float64))) for w in new)
-                known.add(new, [found[w] for w in new])
-                for words in lists:
-                    odds = bias + sum(map(found.__getitem__, words)) / max(1, len(words))
-                    out.append(1 / (1 + np.exp(-odds)))
+            for text in (t for part in chunks(batch.column(batch.num_columns - 1), CHUNK_BYTES) for t in part.to_pylist()):
+                words = words_of(text)
+                new = set(words).difference(known)
+                if len(known) + len(new) > CACHE_WORDS:
+                    known.clear()
+                    new = set(words)
+                for w in new:
+                    known[w] = float(margins[subwords(w)].mean(dtype=np.float64))
+                odds = bias + sum(map(known.__getitem__, words)) / max(1, len(words))
+                out.append(1 / (1 + np.exp(-odds)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], [*batch.schema.names[:-1], column])
 
     kept = docs.drop(column)
