@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import running_before, stage, text_of
-from clickmart.llm.tokens import encoded, encoder, tokenizer_path
+from clickmart.llm.tokens import batch_chunks, encoder, tokenizer_path
 
 WINDOW = 1024
 END_ID = 0
@@ -54,9 +54,9 @@ def tokenise(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, row, full = encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         seen = np.zeros(window, dtype=np.int64)
-        for batch in batches:
+        for doc_ids, texts in ((some.column("doc_id"), some.column("text")) for batch in batches for some in batch_chunks(batch, "text")):
             out = []
-            for ids in encoded(enc, batch.column("text")):
+            for ids in enc.encode_all(texts):
                 ids += end
                 n = len(ids) // 4
                 rest = n % window
@@ -65,12 +65,12 @@ def tokenise(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int
                 seen[rest] += 1
                 full += n // window
                 row += 1
-            columns = list(zip(*out, strict=True)) or [[]] * 7
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                [doc_ids, *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))],
                 ["doc_id", "n", "part", "row", "rank", "full_before", "sums", "ids"],
             )
+        enc.forget()
 
     rows = docs.select("doc_id", text_of().alias("text"))
     return rows.mapInArrow(run, f"doc_id {id_type}, n long, part int, row long, rank long, full_before long, sums binary, ids binary")

@@ -53,7 +53,7 @@ FEW_MEMBERS, BLOCK_MEMBERS = 64, 4_096
 BLOCK_MARKS = 1 << 22
 #: Sketch words that are compared at once.
 TILE = 1 << 22
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
 _ALL = (1 << 64) - 1
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -78,6 +78,12 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((known[w] for x in lists for w in x), dtype=np.uint64, count=int(counts.sum())), counts
 
 
+def forget_words() -> None:
+    """At a task's end its words go: a worker without a task would hold them while the next step's workers run."""
+    worker_kept("word_hashes", dict).clear()
+    pa.default_memory_pool().release_unused()
+
+
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """Per text its distinct shingle hashes, ascending: runs of ``words`` words, or all words if there are fewer."""
     hashes, counts = word_hashes(texts)
@@ -174,6 +180,7 @@ def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _long(c1), _long(c2)]
                 columns += [_lists([sketch(s) for s in sets]), _lists([block_keys(s, percent) for s in sets])]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "c1", "c2", "sketch", "keys"])
+        forget_words()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(run, "doc_id long, n long, c1 long, c2 long, sketch array<long>, keys array<long>")
@@ -188,6 +195,7 @@ def with_sets(docs: DataFrame, words: int) -> DataFrame:
                 part = batch.slice(at, 1000)
                 sets = shingle_sets(part.column("text").to_pylist(), words)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(sets)], ["id", "shingles"])
+        forget_words()
 
     return docs.mapInArrow(run, "id long, shingles array<long>")
 

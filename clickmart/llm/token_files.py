@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import block_of, range_cuts, running_before, shuffle_partitions, text_of
-from clickmart.llm.tokens import encoded, encoder, tokenizer_path
+from clickmart.llm.tokens import batch_chunks, encoder, tokenizer_path
 from clickmart.session import staging_path
 
 MAGIC = b"TIDZ0001"
@@ -72,9 +72,9 @@ def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int = SA
         width = 2 if max(enc.vocabulary, end_id + 1) <= 1 << 16 else 4
         end = int(end_id).to_bytes(4, "little")
         pack = None if raw is None else zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
-        for batch in batches:
+        for batch in (some for batch in batches for some in batch_chunks(batch, "text")):
             n, frames = [], []
-            for ids in encoded(enc, batch.column("text")):
+            for ids in enc.encode_all(batch.column("text")):
                 ids += end
                 n.append(len(ids) // 4)
                 data = np.frombuffer(ids, dtype="<u4").astype(f"<u{width}").tobytes()
@@ -82,6 +82,7 @@ def _encode_with(tokenizer: str, end_id: int, raw: bytes | None, limit: int = SA
             kept = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(frames, pa.binary())], [*names, "n", "frame"])
+        enc.forget()
 
     return run
 

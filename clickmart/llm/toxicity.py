@@ -34,7 +34,7 @@ SHORTEST, LONGEST = 3, 5
 SAMPLE_DOCS = (6_000, 3_000)
 EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.5, 1e-6
 FOLDS = 5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Bytes of texts that are strings at a time.
 CHUNK_BYTES = 1 << 19
 _WORD = re.compile(r"\w+")

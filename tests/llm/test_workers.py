@@ -97,3 +97,65 @@ def test_pipeline_steps_hold_few_words_and_toxicity_takes_texts_in_runs(monkeypa
     list(other(iter([batch.slice(0, 5)])))  # another model's words go
     (kept,) = tokens.worker_store().kept[1].values()
     assert len(kept) == 11
+
+
+def test_known_words_are_columns_and_those_that_come_again_stay():
+    import numpy as np
+    import pyarrow as pa
+
+    from clickmart.llm.tokens import Known
+
+    known = Known(100)
+    for i in range(1000):
+        words = pa.array(["often", f"w{i}"], pa.large_string())
+        at = known.find(words)
+        assert (at < 0).tolist() == [i == 0, True]
+        new = np.flatnonzero(at < 0)
+        known.add(words.take(pa.array(new)), np.repeat(np.array([7, i], "<u4")[new], 2), np.full(len(new), 2))
+        assert len(known) <= 202
+    at = known.find(pa.array(["w999", "w950", "w1", "often"], pa.large_string()))
+    ids = known.ids.reshape(-1, 2)
+    assert at[2] < 0 and [ids[i].tolist() for i in at[[0, 1, 3]]] == [[999, 999], [950, 950], [7, 7]]
+
+
+def test_a_worker_without_a_task_holds_no_words_and_ids_come_in_runs(monkeypatch):
+    """Batches are not gathered, and what a task has learned goes when it ends."""
+    import pyarrow as pa
+
+    from clickmart.llm import packing, parity_join, tokens
+
+    class Docs:
+        schema = {"doc_id": type("F", (), {"dataType": type("T", (), {"simpleString": staticmethod(lambda: "bigint")})})}
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    for module in (packing, parity_join):
+        monkeypatch.setattr(module, "text_of", lambda: type("C", (), {"alias": lambda self, _: None})())
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("C", (), {"partitionId": lambda self: 3})())
+    monkeypatch.setattr(parity_join.F, "col", lambda _: type("C", (), {"cast": lambda self, _: self, "alias": lambda self, _: self})())
+    texts = [f"the word{i} other{i} " + "x" * 10_000 for i in range(1_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    name = tokens.tokenizer_path("byte_bpe_50k.json")
+    got = list(packing.tokenise(Docs(), name)(iter([batch, batch.slice(0, 0)])))
+    assert len(got) > 4 and [i for b in got for i in b.column("row").to_pylist()] == list(range(1_000))
+    assert got[0].column("ids")[0].as_py() == tokens.encoder(name).encode(texts[0]) + bytes(4)
+    tokens.encoder(name).forget()
+    list(packing.tokenise(Docs(), name)(iter([batch])))
+    assert len(tokens.encoder(name).words) == 0
+    list(parity_join.shingled(Docs(), 4, 85)(iter([batch])))
+    assert not tokens.worker_kept("word_hashes", dict)
+
+
+def test_other_white_space_is_what_python_calls_it():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from clickmart.llm import tokens
+
+    signs = [chr(i) for i in range(0x11000) if not 0xD800 <= i < 0xE000]
+    found = pc.match_substring_regex(pa.array(signs), tokens._OTHER_SPACE).to_pylist()
+    assert found == [s.isspace() and s not in " \n" for s in signs]
