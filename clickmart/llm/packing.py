@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import running_before, stage, text_of
+from clickmart.llm.common import running_before, stage, text_batches, text_of
 from clickmart.llm.tokens import batch_chunks, encoder, tokenizer_path
 
 WINDOW = 1024
@@ -239,7 +239,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     NULL ids are rows like any other; extra columns are left out. An empty table
     has no pieces.
     """
-    tokens = stage(tokenise(docs, tokenizer, window, end_id), "token-ids")
+    with text_batches(docs.sparkSession):
+        tokens = stage(tokenise(docs, tokenizer, window, end_id), "token-ids")
     meta = tokens.select("doc_id", "n", "part", "row", "rank", "full_before", "sums")
     rest = (F.col("n") % window).cast("int")
     by_length = meta.groupBy(rest.alias("rest"), "part").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.floor(F.col("n") / window)).alias("windows"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import discard, stage, staged_as, text_of
+from clickmart.llm.common import discard, stage, staged_as, text_batches, text_of
 from clickmart.llm.tokens import worker_kept
 from clickmart.llm.vectors import sweep
 
@@ -88,7 +88,7 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """Per text its distinct shingle hashes, ascending: runs of ``words`` words, or all words if there are fewer."""
     hashes, counts = word_hashes(texts)
     rolled = hashes.copy()
-    for i in range(1, words):
+    for i in range(1, min(words, len(rolled))):  # all texts together may have fewer words
         rolled[: len(rolled) - i] = rolled[: len(rolled) - i] * _M1 + hashes[i:]
     rolled = mix64(rolled)
     out, at = [], 0
@@ -235,7 +235,8 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, pe
     ids = stage(near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct(), "ids")
     few = ids.count() <= FEW_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets, heavy = staged_as(with_sets(texts, words), "sets")  # rows that repeat an id meet as equal links
+    with text_batches(spark):
+        sets, heavy = staged_as(with_sets(texts, words), "sets")  # rows that repeat an id meet as equal links
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = near.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
@@ -326,7 +327,9 @@ def with_marks(members: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     sets = with_sets(texts, words).select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"), marks.alias("marks"))
     # Repeated rows have equal sets; an id with several texts has each of their sets.
     sets = sets.withColumn("mark", F.xxhash64("marks")).dropDuplicates(["rep", "n", "mark"]).drop("mark")
-    return members.join(stage(sets, "marks"), ["rep", "n"])
+    with text_batches(spark):
+        sets = stage(sets, "marks")
+    return members.join(sets, ["rep", "n"])
 
 
 def near_pairs(members: DataFrame, percent: int, marked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -387,7 +390,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     them all. Extra columns are left out; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    whole, heavy = staged_as(shingled(docs, words, percent), "shingled")
+    with text_batches(spark):
+        whole, heavy = staged_as(shingled(docs, words, percent), "shingled")
     some = whole.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stage(some.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
